@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import SEED, col, melt, pearson, row_hash, unit_interval
 from ..functions.order_stats import quantile_columns
-from .profile import distinct_up_to, quartiles
+from ..session import local_table
+from .profiling import distinct_up_to, quartiles
 
 # A numeric column with more distinct values than this is binned, and a
 # density curve has this many points over bins this fine.
@@ -194,7 +195,7 @@ def correlation_matrix_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for i, a in enumerate(columns)
         for j, b in enumerate(columns)
     ]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    return local_table(df.sparkSession, rows, "a string, b string, r double")
 
 
 def strongest_pairs(matrix: DataFrame, k: int) -> DataFrame:

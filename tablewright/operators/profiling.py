@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import col, dtype_name, melt, numeric_columns
 from ..functions.order_stats import quantile_columns
+from ..session import local_table
 
 # More distinct target values than this are described, not counted.
 TARGET_VALUES = 20
@@ -29,7 +30,7 @@ def column_table(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(position, column, dtype): one row per column, from the schema."""
     types = {f.name: f.dataType for f in df.schema.fields}
     rows = [(i, c, dtype_name(types[c])) for i, c in enumerate(columns)]
-    return df.sparkSession.createDataFrame(rows, "position int, column string, dtype string")
+    return local_table(df.sparkSession, rows, "position int, column string, dtype string")
 
 
 def audit(df: DataFrame, row_id: str, columns: Sequence[str] | None = None) -> DataFrame:

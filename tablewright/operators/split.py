@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import SEED, col, row_hash
 from ..functions.order_stats import exact_quantiles
+from ..session import local_table
 
 TEST_SIZE = 0.20
 FOLDS = 5
@@ -102,7 +103,7 @@ def _assign(df: DataFrame, by: Sequence[str], cuts: DataFrame, eager: bool) -> D
     """Adds ``_slot``: how many cut digests lie before the row's digest."""
     by = list(by)
     if eager:
-        cuts = df.sparkSession.createDataFrame(cuts.collect(), cuts.schema)
+        cuts = local_table(df.sparkSession, cuts.collect(), cuts.schema)
     if not by:
         out = df.withColumn("_cuts", cuts.select("_cuts").scalar())
     else:

@@ -1,4 +1,4 @@
 """All queries in one place; importing the modules registers them."""
 
-from . import tables  # noqa: F401
+from . import scores, tables  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401

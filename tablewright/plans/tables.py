@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.exprs import rounded
-from ..operators import explore, profile, split
+from ..operators import explore, profiling, split
 from ..sources import contracts
 from .fixtures import (
     CLF_TARGET,
@@ -115,7 +115,7 @@ def _audit_sql(columns: list[tuple[str, str]]) -> str:
     ),
 )
 def column_audit(spark, sf):
-    return profile.audit(view(spark, sf, "null_view"), "row_id", NULLABLE)
+    return profiling.audit(view(spark, sf, "null_view"), "row_id", NULLABLE)
 
 
 @query(
@@ -130,7 +130,7 @@ def column_audit(spark, sf):
     'l_quantity,l_extendedprice,l_returnflag,l_linestatus' AS columns, TRUE AS target_present""",
 )
 def dataset_summary(spark, sf):
-    return profile.summary(view(spark, sf, "null_view"), "l_linestatus", NULLABLE)
+    return profiling.summary(view(spark, sf, "null_view"), "l_linestatus", NULLABLE)
 
 
 @query(
@@ -138,7 +138,7 @@ def dataset_summary(spark, sf):
     "SELECT event_type AS value, count(*) AS count FROM events GROUP BY 1",
 )
 def target_counts(spark, sf):
-    return profile.target_profile(table(spark, sf, "events"), "event_type")
+    return profiling.target_profile(table(spark, sf, "events"), "event_type")
 
 
 def _describe_sql(source: str, c: str) -> str:
@@ -150,7 +150,7 @@ def _describe_sql(source: str, c: str) -> str:
 
 @query("c3_target_description", _describe_sql("events", "value"))
 def target_description(spark, sf):
-    out = profile.target_profile(table(spark, sf, "events"), "value")
+    out = profiling.target_profile(table(spark, sf, "events"), "value")
     return out.select(
         "column", "count", "min", "max",
         *[rounded(F.col(c), 8).alias(c) for c in ("mean", "std", "p25", "p50", "p75")],
@@ -164,7 +164,7 @@ def target_description(spark, sf):
     AS duplicate_rows FROM dup_view""",
 )
 def duplicate_rows(spark, sf):
-    return profile.duplicate_rows(view(spark, sf, "dup_view"))
+    return profiling.duplicate_rows(view(spark, sf, "dup_view"))
 
 
 def _describe_text_sql(source: str, c: str) -> str:
@@ -192,7 +192,7 @@ def _describe_number_sql(source: str, c: str) -> str:
     ),
 )
 def describe_all(spark, sf):
-    out = profile.describe(view(spark, sf, "null_view"), NULLABLE)
+    out = profiling.describe(view(spark, sf, "null_view"), NULLABLE)
     return out.select(
         "column", "count", "unique", "top", "freq", "min", "max",
         *[rounded(F.col(c), 8).alias(c) for c in ("mean", "std", "p25", "p50", "p75")],
@@ -206,7 +206,7 @@ def describe_all(spark, sf):
     FROM dup_rows GROUP BY ALL""",
 )
 def drop_duplicates(spark, sf):
-    return profile.drop_duplicates(view(spark, sf, "dup_rows"), DUP, "row_id")
+    return profiling.drop_duplicates(view(spark, sf, "dup_rows"), DUP, "row_id")
 
 
 @query(
@@ -218,7 +218,7 @@ def drop_duplicates(spark, sf):
     FROM dup_view, d""",
 )
 def duplicate_policy(spark, sf):
-    return profile.duplicate_policy(view(spark, sf, "dup_view"), DUP)
+    return profiling.duplicate_policy(view(spark, sf, "dup_view"), DUP)
 
 
 @query(
@@ -228,7 +228,7 @@ def duplicate_policy(spark, sf):
     count(*) FILTER (overload = 1) AS overload_1 FROM clf_view GROUP BY 1""",
 )
 def leakage_crosstab(spark, sf):
-    return profile.cross_tabulation(view(spark, sf, "clf_view"), "overload_reason", "overload", [0, 1])
+    return profiling.cross_tabulation(view(spark, sf, "clf_view"), "overload_reason", "overload", [0, 1])
 
 
 @query(
@@ -239,7 +239,7 @@ def leakage_crosstab(spark, sf):
     + " AS possible, count(*) AS rows FROM dup_view",
 )
 def input_combinations(spark, sf):
-    return profile.input_combinations(view(spark, sf, "dup_view"), DUP)
+    return profiling.input_combinations(view(spark, sf, "dup_view"), DUP)
 
 
 @query(

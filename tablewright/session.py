@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def local_session(cores: str = "8", app: str = "tablewright") -> SparkSession:
@@ -14,6 +19,7 @@ def local_session(cores: str = "8", app: str = "tablewright") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", "16g")
+        .config("spark.pyspark.python", sys.executable)
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
@@ -43,3 +49,27 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other job uses."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def local_table(spark: SparkSession, rows: Iterable[Sequence], schema: str | T.StructType) -> DataFrame:
+    """A handful of driver-side rows as a relation the optimizer knows the size of."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    arrow = to_arrow_schema(schema)
+    rows = [tuple(r) for r in rows]
+    columns = [pa.array([r[i] for r in rows], type=f.type) for i, f in enumerate(arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=arrow), schema=schema)
+
+
+def spread_out(df: DataFrame, key: str) -> DataFrame:
+    """Rows over all cores when the source has fewer splits than there are cores.
+
+    A source of many splits is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
+def fetched(df: DataFrame) -> DataFrame:
+    """A result table of a few rows (one per model, fold or check), computed now."""
+    return local_table(df.sparkSession, df.collect(), df.schema)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import col
+from ..session import local_table
 
 
 class MissingColumns(KeyError):
@@ -163,7 +164,7 @@ def exclusion_report(raw: DataFrame, prepared: DataFrame, spec: DatasetSpec) ->
     """(column_name, reason, excluded) for every leakage and identifier column of ``raw``."""
     reasons = [(c, "leakage") for c in spec.leakage] + [(c, "identifier") for c in spec.identifiers]
     rows = [(c, why, c not in prepared.columns) for c, why in reasons if c in raw.columns]
-    return raw.sparkSession.createDataFrame(rows, "column_name string, reason string, excluded boolean")
+    return local_table(raw.sparkSession, rows, "column_name string, reason string, excluded boolean")
 
 
 def shape_report(df: DataFrame, dataset: str, expected: tuple[int, int]) -> DataFrame:
