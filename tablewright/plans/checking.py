@@ -51,23 +51,35 @@ def _cell(i: int, j: int) -> str:
     return f"c{max(i, j)}_{min(i, j)}"
 
 
-def _cholesky(k: int, matrix, right, prefix: str = "") -> list[str]:
-    """Select items solving a symmetric system: ``{prefix}b1..bk``."""
-    p = prefix
-    items = []
+def _cholesky(k: int, matrix, right) -> list[list[str]]:
+    """Layers of select items solving a symmetric system: the last ones give b1..bk."""
+    layers = []
     for j in range(1, k + 1):
-        own = "".join(f" - {p}l{j}_{m} * {p}l{j}_{m}" for m in range(1, j))
-        items.append(f"sqrt({matrix(j, j)}{own}) AS {p}l{j}_{j}")
+        own = "".join(f" - l{j}_{m} * l{j}_{m}" for m in range(1, j))
+        layers.append([f"sqrt({matrix(j, j)}{own}) AS l{j}_{j}"])
+        below = []
         for i in range(j + 1, k + 1):
-            cross = "".join(f" - {p}l{i}_{m} * {p}l{j}_{m}" for m in range(1, j))
-            items.append(f"({matrix(i, j)}{cross}) / {p}l{j}_{j} AS {p}l{i}_{j}")
+            cross = "".join(f" - l{i}_{m} * l{j}_{m}" for m in range(1, j))
+            below.append(f"({matrix(i, j)}{cross}) / l{j}_{j} AS l{i}_{j}")
+        if below:
+            layers.append(below)
     for i in range(1, k + 1):
-        known = "".join(f" - {p}l{i}_{m} * {p}f{m}" for m in range(1, i))
-        items.append(f"({right(i)}{known}) / {p}l{i}_{i} AS {p}f{i}")
+        known = "".join(f" - l{i}_{m} * f{m}" for m in range(1, i))
+        layers.append([f"({right(i)}{known}) / l{i}_{i} AS f{i}"])
     for i in range(k, 0, -1):
-        known = "".join(f" - {p}l{m}_{i} * {p}b{m}" for m in range(i + 1, k + 1))
-        items.append(f"({p}f{i}{known}) / {p}l{i}_{i} AS {p}b{i}")
-    return items
+        known = "".join(f" - l{m}_{i} * b{m}" for m in range(i + 1, k + 1))
+        layers.append([f"(f{i}{known}) / l{i}_{i} AS b{i}"])
+    return layers
+
+
+def _layered(name: str, source: str, layers: list[list[str]]) -> str:
+    """One materialised step per layer: later items see the columns of earlier ones."""
+    parts, last = [], source
+    for t, items in enumerate(layers):
+        step = name if t == len(layers) - 1 else f"{name}_{t}"
+        parts.append(f"{step} AS MATERIALIZED (SELECT *, {', '.join(items)} FROM {last})")
+        last = step
+    return ",\n".join(parts)
 
 
 def _moments(name: str, rows: str, terms: Sequence[str]) -> str:
@@ -95,31 +107,28 @@ def least_squares(name: str, rows: str, terms: Sequence[str], ridge: float = 0.0
     def cell(i: int, j: int) -> str:
         return f"({_cell(i, j)} + {ridge!r}::DOUBLE / n)" if i == j and ridge else _cell(i, j)
 
-    items = _cholesky(k, cell, lambda i: f"r{i}")
-    return f"""{_moments(name, rows, terms)},
-{name}_f AS MATERIALIZED (SELECT *, {', '.join(items)} FROM {name}_m),
-{_predicted(name, k)}"""
+    solve = _layered(f"{name}_f", f"{name}_m", _cholesky(k, cell, lambda i: f"r{i}"))
+    return f"{_moments(name, rows, terms)},\n{solve},\n{_predicted(name, k)}"
 
 
-def elastic_net(name: str, rows: str, terms: Sequence[str], alpha: float, ratio: float, sweeps: int = 25) -> str:
+def elastic_net(name: str, rows: str, terms: Sequence[str], alpha: float, ratio: float, sweeps: int = 10) -> str:
     """Coordinate descent written out sweep by sweep."""
     k = len(terms)
     current = {i: "0.0::DOUBLE" for i in range(1, k + 1)}
-    items = []
+    layers = []
     for s in range(sweeps):
         for j in range(1, k + 1):
             rest = "".join(f" - {_cell(i, j)} * {current[i]}" for i in range(1, k + 1) if i != j)
             g = f"g{s}_{j}"
-            items.append(f"r{j}{rest} AS {g}")
+            layers.append([f"r{j}{rest} AS {g}"])
             new = f"v{s}_{j}"
-            items.append(
-                f"sign({g}) * greatest(abs({g}) - {alpha * ratio!r}, 0) / (c{j}_{j} + {alpha * (1 - ratio)!r}) AS {new}"
+            layers.append(
+                [f"sign({g}) * greatest(abs({g}) - {alpha * ratio!r}, 0) / (c{j}_{j} + {alpha * (1 - ratio)!r}) AS {new}"]
             )
             current[j] = new
-    items += [f"{current[i]} AS b{i}" for i in range(1, k + 1)]
-    return f"""{_moments(name, rows, terms)},
-{name}_f AS MATERIALIZED (SELECT *, {', '.join(items)} FROM {name}_m),
-{_predicted(name, k)}"""
+    layers.append([f"{current[i]} AS b{i}" for i in range(1, k + 1)])
+    solve = _layered(f"{name}_f", f"{name}_m", layers)
+    return f"{_moments(name, rows, terms)},\n{solve},\n{_predicted(name, k)}"
 
 
 def logistic(name: str, rows: str, k: int, penalty: float, rounds: int = 14) -> str:
@@ -142,16 +151,19 @@ def logistic(name: str, rows: str, k: int, penalty: float, rounds: int = 14) ->
             for i in range(k + 1)
         ]
         olds = ", ".join(f"max(w{i}) AS o{i}" for i in range(k + 1))
-        items = _cholesky(
-            k + 1,
-            lambda i, j: f"h{max(i, j) - 1}_{min(i, j) - 1}",
-            lambda i: f"g{i - 1}",
+        solve = _layered(
+            f"{name}_s{t}",
+            f"{name}_a{t}",
+            _cholesky(
+                k + 1, lambda i, j: f"h{max(i, j) - 1}_{min(i, j) - 1}", lambda i: f"g{i - 1}"
+            ),
         )
         new = ", ".join(f"o{i} + b{i + 1} AS w{i}" for i in range(k + 1))
         parts.append(
             f"""{name}_a{t} AS MATERIALIZED (SELECT {', '.join(hess)}, {', '.join(grad)}, {olds} FROM
   (SELECT *, 1 / (1 + exp(-({line}))) AS q FROM {name}_t, {name}_{t} WHERE is_train)),
-{name}_{t + 1} AS MATERIALIZED (SELECT {new} FROM (SELECT *, {', '.join(items)} FROM {name}_a{t}))"""
+{solve},
+{name}_{t + 1} AS MATERIALIZED (SELECT {new} FROM {name}_s{t})"""
         )
     parts.append(
         f"{name} AS MATERIALIZED (SELECT *, 1 / (1 + exp(-({line}))) AS score FROM {name}_t, {name}_{rounds})"
