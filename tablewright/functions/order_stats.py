@@ -35,15 +35,19 @@ def exact_quantiles(
     points = [max(0.0, p - SLACK) for p in probs] + [min(1.0, p + SLACK) for p in probs]
     sketch = cells.groupBy(*by, "column").agg(
         F.count("*").alias("_n"),
+        F.min("value").alias("_min"),
+        F.max("value").alias("_max"),
         F.percentile_approx("value", points, ACCURACY).alias("_cuts"),
     )
+    # with few rows the slack is less than a rank: take the whole column then
+    few = F.col("_n") * F.lit(SLACK) < 4
     k = len(probs)
     wanted = F.array(
         *[
             F.struct(
                 F.lit(p).alias("prob"),
-                F.col("_cuts")[i].alias("lo"),
-                F.col("_cuts")[k + i].alias("hi"),
+                F.when(few, F.col("_min")).otherwise(F.col("_cuts")[i]).alias("lo"),
+                F.when(few, F.col("_max")).otherwise(F.col("_cuts")[k + i]).alias("hi"),
             )
             for i, p in enumerate(probs)
         ]

@@ -92,7 +92,7 @@ def density(
     span = F.col("hi") - F.col("lo")
     centre = F.col("lo") + (F.col("bin") + 0.5) * span / F.lit(fine)
     x = F.col("lo") + F.col("point") * span / F.lit(points - 1)
-    z = (F.col("x") - F.col("centre")) / F.col("h")
+    z = F.try_divide(F.col("x") - F.col("centre"), F.col("h"))
     return (
         _binned(df, columns, plan)
         .join(F.broadcast(plan), "column")

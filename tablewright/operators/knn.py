@@ -112,6 +112,10 @@ def top_k(q: np.ndarray, r: np.ndarray, k: int, metric: str) -> tuple[list[np.nd
     return places, gaps
 
 
+def _empty(**dtypes) -> pd.DataFrame:
+    return pd.DataFrame({c: pd.Series([], dtype=t) for c, t in dtypes.items()})
+
+
 def _matrix(values) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=float) for v in values])
 
@@ -124,9 +128,9 @@ def with_neighbours(
     broadcast_bytes: int = BROADCAST_BYTES,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """``queries`` (id, x, ...) plus ``neighbours`` (ids, distances, labels), nearest first.
+    """``queries`` (_id, _x, ...) plus ``neighbours`` (ids, distances, labels), nearest first.
 
-    ``reference`` holds (id, x, label); x is an array of doubles on both sides.
+    ``reference`` holds (id, x, label); _x and x are arrays of doubles.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
@@ -147,7 +151,7 @@ def _broadcast_search(queries: DataFrame, reference: DataFrame, k: int, metric:
     def search(x: pd.Series) -> pd.DataFrame:
         ids, points, labels = shared.value
         if len(x) == 0:
-            return pd.DataFrame({"ids": [], "distances": [], "labels": []})
+            return _empty(ids=object, distances=object, labels=object)
         places, gaps = top_k(_matrix(x), points, k, metric)
         return pd.DataFrame(
             {
@@ -159,7 +163,7 @@ def _broadcast_search(queries: DataFrame, reference: DataFrame, k: int, metric:
 
     # each row costs a pass over the reference side, far more than moving it once
     tasks = queries.sparkSession.sparkContext.defaultParallelism
-    return queries.repartition(tasks, "id").withColumn("neighbours", search("x"))
+    return queries.repartition(tasks, "_id").withColumn("neighbours", search("_x"))
 
 
 def _cell_search(
@@ -184,7 +188,7 @@ def _cell_search(
     @F.pandas_udf("cell int, gap double")
     def nearest_cell(x: pd.Series) -> pd.DataFrame:
         if len(x) == 0:
-            return pd.DataFrame({"cell": [], "gap": []})
+            return _empty(cell="int32", gap=float)
         q = _matrix(x)
         cells, gaps = [], []
         for start in range(0, len(q), 2048):
@@ -207,7 +211,7 @@ def _cell_search(
     radius_shared = spark.sparkContext.broadcast(radius)
     block_table = local_table(spark, sorted(blocks.items()), "cell int, blocks int")
 
-    asked = queries.select(col("id").cast("string").alias("qid"), F.col("x").alias("qx"))
+    asked = queries.select(col("_id").cast("string").alias("qid"), F.col("_x").alias("qx"))
     home = asked.withColumn("cell", nearest_cell("qx")["cell"])
     first = _visit(home, placed, block_table, k, metric, block_rows)
     order = Window.partitionBy("qid").orderBy("d", "id")
@@ -260,7 +264,7 @@ def _cell_search(
             ).alias("neighbours"),
         )
     )
-    return queries.join(best, col("id").cast("string") == F.col("qid"), "left").drop("qid")
+    return queries.join(best, col("_id").cast("string") == F.col("qid"), "left").drop("qid")
 
 
 def _written(df: DataFrame, label: str) -> DataFrame:
@@ -298,7 +302,7 @@ def _visit(
 
     def search(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
         if q.empty or r.empty:
-            return pd.DataFrame({"qid": [], "id": [], "d": [], "label": []})
+            return _empty(qid=object, id=object, d=float, label=float)
         r = r.sort_values("id", kind="stable")
         places, gaps = top_k(_matrix(q["qx"]), _matrix(r["x"]), k, metric)
         flat = np.concatenate(places)
@@ -402,9 +406,9 @@ class NearestNeighboursModel(Model, _KnnParams, MLReadable, MLWritable):
         return spark.read.parquet(self.getOrDefault("path"))
 
     def neighbours(self, df: DataFrame, k: int | None = None) -> DataFrame:
-        """``df`` plus id, x and neighbours."""
-        queries = df.withColumn("id", col(self.getOrDefault("idCol")).cast("string")).withColumn(
-            "x", vector_to_array(self.getFeaturesCol())
+        """``df`` plus _id, _x and neighbours."""
+        queries = df.withColumn("_id", col(self.getOrDefault("idCol")).cast("string")).withColumn(
+            "_x", vector_to_array(self.getFeaturesCol())
         )
         return with_neighbours(
             queries, self.reference(df.sparkSession), k or self.getOrDefault("k"), self.getOrDefault("metric")
@@ -425,7 +429,7 @@ class NearestNeighboursModel(Model, _KnnParams, MLReadable, MLWritable):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         found = self.vote(self.neighbours(df), self.getOrDefault("k"), self.getOrDefault("weights"))
-        return found.drop("id", "x", "neighbours")
+        return found.drop("_id", "_x", "neighbours")
 
     def write(self) -> MLWriter:
         return _KnnWriter(self)

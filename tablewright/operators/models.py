@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import SEED, col
+from ..session import checkpoints_ready
 from . import features as fe
 from .kernel import SupportVectorClassifier, SupportVectorRegressor
 from .knn import NearestNeighbours
@@ -293,6 +294,7 @@ class FittingRoom:
 
     def __init__(self, train: DataFrame, inputs: Inputs):
         self.train, self.inputs = train, inputs
+        checkpoints_ready(train.sparkSession)  # long boosting runs cut their lineage there
         self._prepared: dict[tuple, tuple[PipelineModel, DataFrame]] = {}
 
     def __enter__(self) -> "FittingRoom":

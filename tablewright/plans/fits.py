@@ -790,11 +790,14 @@ def tuning_table(spark, sf):
 
 @query("k5_neighbour_grid")
 def neighbour_grid(spark, sf):
-    rows = split.k_folds(
-        _train(clf_rows(spark, sf)), ["row_id"], stratify=CLF_TARGET, eager=True
-    ).persist()
-    trace, _ = selection.grid_search(
-        models.classifiers()[models.KNN_C], rows, CLF, selection.F1W, folds=5
+    """Both neighbour parameters over the vectors: one search per fold serves all points."""
+    cells = [f"e{i}" for i in range(64)]
+    rows = table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("string").alias("row_id"), "label",
+        *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cells)],
     )
+    rows = split.k_folds(spread_out(rows, "row_id"), ["row_id"], stratify="label", eager=True).persist()
+    inputs = models.Inputs(tuple(cells), (), "label")
+    trace, _ = selection.grid_search(models.classifiers()[models.KNN_C], rows, inputs, selection.F1W)
     rows.unpersist()
     return selection.grid_summary(trace).drop("mean_fit_time")

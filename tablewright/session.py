@@ -73,3 +73,9 @@ def spread_out(df: DataFrame, key: str) -> DataFrame:
 def fetched(df: DataFrame) -> DataFrame:
     """A result table of a few rows (one per model, fold or check), computed now."""
     return local_table(df.sparkSession, df.collect(), df.schema)
+
+
+def checkpoints_ready(spark: SparkSession) -> None:
+    """Points checkpoints at the shared folder unless the session already has one."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(shared_dir(spark))

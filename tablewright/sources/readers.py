@@ -57,9 +57,10 @@ def misfits(spark: SparkSession, spec: DatasetSpec, root: str) -> DataFrame:
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(source_path(spec, root))
     )
-    # all columns are parsed, so the corrupt-row column is filled
-    return rows.withColumn("_all", F.struct(*[col(c) for c in rows.columns])).where(
-        F.col(f"_all.{CORRUPT}").isNotNull()
+    # the corrupt-row column is filled only when the columns themselves are parsed too
+    parsed = F.hash(*[col(c) for c in spec.schema.fieldNames()])
+    return rows.withColumn("_parsed", parsed).where(
+        F.col(CORRUPT).isNotNull() & F.col("_parsed").isNotNull()
     ).select(F.col(CORRUPT).alias("raw"))
 
 
