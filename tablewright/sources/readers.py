@@ -49,7 +49,7 @@ def load_raw(spark: SparkSession, spec: DatasetSpec, root: str) -> DataFrame:
 
 
 def misfits(spark: SparkSession, spec: DatasetSpec, root: str) -> DataFrame:
-    """The raw text of CSV rows that do not fit the declared schema."""
+    """CSV rows that do not fit the declared schema: their text as ``raw``, then what parsed."""
     schema = T.StructType([*spec.schema.fields, T.StructField(CORRUPT, T.StringType())])
     rows = (
         spark.read.schema(schema)
@@ -57,11 +57,10 @@ def misfits(spark: SparkSession, spec: DatasetSpec, root: str) -> DataFrame:
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(source_path(spec, root))
     )
-    # the corrupt-row column is filled only when the columns themselves are parsed too
-    parsed = F.hash(*[col(c) for c in spec.schema.fieldNames()])
-    return rows.withColumn("_parsed", parsed).where(
-        F.col(CORRUPT).isNotNull() & F.col("_parsed").isNotNull()
-    ).select(F.col(CORRUPT).alias("raw"))
+    # Spark fills the corrupt-row column only when the others are read with it
+    return rows.where(F.col(CORRUPT).isNotNull()).select(
+        F.col(CORRUPT).alias("raw"), *[col(c) for c in spec.schema.fieldNames()]
+    )
 
 
 def sweep(spark: SparkSession, specs: Iterable[DatasetSpec], root: str) -> DataFrame:
