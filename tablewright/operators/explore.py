@@ -169,18 +169,35 @@ def distributions(
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, r) for every ordered pair: one aggregate, one output row per pair."""
+    """(a, b, r) for every ordered pair, over the rows where both are present.
+
+    One pass takes a deviation per column and a covariance per pair; only pairs that
+    lose rows to NULLs need their own deviations, in a second pass.
+    """
     columns = list(columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    one = df.agg(*[pearson(col(a), col(b)).alias(f"_r{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
+    x = {c: col(c).cast("double") for c in columns}
+    aggs = []
+    for i, c in enumerate(columns):
+        aggs += [F.stddev_pop(x[c]).alias(f"s{i}"), F.count(x[c]).alias(f"n{i}")]
     for i, (a, b) in enumerate(pairs):
-        sides = {(a, b), (b, a)}
-        cells += [
-            F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.col(f"_r{i}").alias("r"))
-            for x, y in sorted(sides)
-        ]
-    return one.select(F.explode(F.array(*cells)).alias("_c")).select("_c.*")
+        aggs.append(F.covar_pop(x[a], x[b]).alias(f"c{i}"))
+    total = F.count(F.lit(1)).alias("n")
+    row = df.agg(total, *aggs).first()
+    whole = {c for i, c in enumerate(columns) if row[f"n{i}"] == row["n"]}
+    spread = {c: row[f"s{i}"] for i, c in enumerate(columns)}
+    found: dict[tuple[str, str], float | None] = {}
+    for i, (a, b) in enumerate(pairs):
+        if a in whole and b in whole:
+            scale = (spread[a] or 0.0) * (spread[b] or 0.0)
+            found[a, b] = row[f"c{i}"] / scale if scale else None
+    partial = [p for p in pairs if p not in found]
+    if partial:
+        own = df.agg(*[pearson(x[a], x[b]).alias(f"r{i}") for i, (a, b) in enumerate(partial)]).first()
+        found.update({p: own[f"r{i}"] for i, p in enumerate(partial)})
+    rows = [(a, b, r) for (a, b), r in found.items()]
+    rows += [(b, a, r) for a, b, r in rows if a != b]
+    return local_table(df.sparkSession, rows, "a string, b string, r double")
 
 
 def correlation_matrix_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:

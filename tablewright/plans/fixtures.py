@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import row_hash
+from ..session import spread_out
 
 NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 REG_CATEGORICAL = ["l_linestatus"]
@@ -94,7 +95,9 @@ RISK_CUT = 0.75
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; one of few splits is spread over the cores by its key column."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_out(df, df.columns[0])
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
