@@ -33,6 +33,18 @@ from ..session import local_table
 FEATURES = "features"
 
 
+# MLlib cannot address a column whose name holds a dot, so inner names carry another sign.
+_DOT = "\u2024"
+
+
+def _inner(kind: str, name: str) -> str:
+    return f"{kind}|{name.replace('.', _DOT)}"
+
+
+def _source(inner: str) -> str:
+    return inner.split("|", 1)[1].replace(_DOT, ".")
+
+
 def _number(x: float) -> str:
     return f"CAST('{x!r}' AS DOUBLE)"
 
@@ -102,39 +114,39 @@ class TabularFeatures(Estimator, _TableParams, DefaultParamsReadable, DefaultPar
                 if centre:
                     mean, sd = centre[c]
                     x = f"({x} - {_number(mean)}) / {_number(sd or 1.0)}"
-                name = f"num|{c}"
+                name = _inner("num", c)
                 exprs.append(f"{x} AS {quoted(name)}")
                 inputs.append(name)
             stages.append(SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__"))
         if categorical:
             mode = most_frequent(df, categorical)
             exprs = [
-                f"coalesce(CAST({quoted(c)} AS STRING), {_text(mode[c])}) AS {quoted(f'txt|{c}')}"
+                f"coalesce(CAST({quoted(c)} AS STRING), {_text(mode[c])}) AS {quoted(_inner('txt', c))}"
                 for c in categorical
             ]
             filler = SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")
             stages.append(filler)
             indexer = StringIndexer(
-                inputCols=[f"txt|{c}" for c in categorical],
-                outputCols=[f"idx|{c}" for c in categorical],
+                inputCols=[_inner("txt", c) for c in categorical],
+                outputCols=[_inner("idx", c) for c in categorical],
                 stringOrderType="alphabetAsc",
                 handleInvalid="keep",
             ).fit(filler.transform(df))
             # indices above the known categories are the dropped last slot: all zeros
             encoder = OneHotEncoder(
-                inputCols=[f"idx|{c}" for c in categorical],
-                outputCols=[f"hot|{c}" for c in categorical],
+                inputCols=[_inner("idx", c) for c in categorical],
+                outputCols=[_inner("hot", c) for c in categorical],
                 dropLast=True,
             ).fit(indexer.transform(filler.transform(df)))
             stages += [indexer, encoder]
             for c, labels in zip(categorical, indexer.labelsArray):
                 if len(labels) == 2:
                     stages.append(
-                        VectorSlicer(inputCol=f"hot|{c}", outputCol=f"bin|{c}", indices=[1])
+                        VectorSlicer(inputCol=_inner("hot", c), outputCol=_inner("bin", c), indices=[1])
                     )
-                    inputs.append(f"bin|{c}")
+                    inputs.append(_inner("bin", c))
                 else:
-                    inputs.append(f"hot|{c}")
+                    inputs.append(_inner("hot", c))
         out = self.getOrDefault("outputCol")
         stages.append(VectorAssembler(inputCols=inputs, outputCol=out))
         return PipelineModel(stages)
@@ -151,10 +163,10 @@ def feature_names(model: PipelineModel) -> list[str]:
     for stage in inner.stages:
         if hasattr(stage, "labelsArray"):
             for c, values in zip(stage.getInputCols(), stage.labelsArray):
-                labels[c.split("|", 1)[1]] = list(values)
+                labels[_source(c)] = list(values)
         if isinstance(stage, VectorAssembler):
             for c in stage.getInputCols():
-                kind, source = c.split("|", 1)
+                kind, source = c.split("|", 1)[0], _source(c)
                 if kind == "num":
                     names.append(source)
                 else:

@@ -100,7 +100,7 @@ class PenalisedLogistic(Estimator, _Columns, DefaultParamsReadable, DefaultParam
         model = LogisticRegression(
             featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(),
             predictionCol=self.getPredictionCol(), regParam=1.0 / (self.getOrDefault("C") * n),
-            elasticNetParam=0.0, standardization=False, maxIter=self.getOrDefault("maxIter"), tol=1e-12,
+            elasticNetParam=0.0, standardization=False, maxIter=self.getOrDefault("maxIter"), tol=1e-10,
         )
         if self.getOrDefault("balanced"):
             df = df.withColumn(WEIGHT, balanced_weight(df, self.getLabelCol()))

@@ -149,8 +149,10 @@ def run_regression(
     cv = t.table(selection.cross_validate(specs, folded, inputs, selection.R2, FOLDS), "cv_all")
     folded.unpersist()
     tunable = {n: specs[n] for n in t.choose(cv, specs)}
-    tuning, tuned, traces = tune_models(tunable, rows, inputs, selection.R2, cv)
-    t.table(tuning, "tuning")
+    tuned, traces = {}, {}
+    if tunable:
+        tuning, tuned, traces = tune_models(tunable, rows, inputs, selection.R2, cv)
+        t.table(tuning, "tuning")
     for name, trace in traces.items():
         t.table(selection.grid_summary(trace), f"grid_{name.split('.')[0]}")
     t.log.add("tuning", f"{len(tuned)} models tuned")
@@ -224,8 +226,10 @@ def run_classification(
     cv = t.table(selection.cross_validate(specs, folded, inputs, selection.F1W, FOLDS), "cv_all")
     folded.unpersist()
     tunable = {n: specs[n] for n in t.choose(cv, specs)}
-    tuning, tuned, traces = tune_models(tunable, rows, inputs, selection.F1W, cv, stratify=spec.target)
-    t.table(tuning, "tuning")
+    tuned, traces = {}, {}
+    if tunable:
+        tuning, tuned, traces = tune_models(tunable, rows, inputs, selection.F1W, cv, stratify=spec.target)
+        t.table(tuning, "tuning")
     for name, trace in traces.items():
         t.table(selection.grid_summary(trace), f"grid_{name.split('.')[0]}")
     t.log.add("tuning", f"{len(tuned)} models tuned")
