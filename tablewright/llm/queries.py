@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import mixing, simhash
-from tablewright.llm.common import stored, table, words_in
+from tablewright.llm import mixing, simhash, token_count, token_files
+from tablewright.llm.common import stored, table, tokenizer_path, words_in
+from tablewright.session import scratch_path
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +16,18 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under the 50k byte-level vocabulary."""
+    return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written to a file set and read back."""
+    folder = scratch_path(spark, "token-files")
+    token_files.write_ids(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), folder)
+    return token_files.read_ids(spark, folder, ids=False)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     sizes = table(spark, sf_dir, "documents").select("doc_id", "source", words_in(F.col("text")).alias("size"))
@@ -53,5 +66,10 @@ FROM (SELECT ranked.*, source_size, target,
       FROM ranked JOIN targets ON ranked.source IS NOT DISTINCT FROM targets.source)
 """
 
-QUERIES = {"op3_simhash": op3_simhash, "op10_mixing": op10_mixing}
+QUERIES = {
+    "op3_simhash": op3_simhash,
+    "op4_token_counts": op4_token_counts,
+    "op8_token_files": op8_token_files,
+    "op10_mixing": op10_mixing,
+}
 ORACLES = {"op10_mixing": OP10_SQL}
