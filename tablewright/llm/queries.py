@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import mixing, simhash, token_count, token_files
+from tablewright.llm import mixing, simhash, suffix_dedup, token_count, token_files
 from tablewright.llm.common import stored, table, tokenizer_path, words_in
 from tablewright.session import scratch_path
 
@@ -21,6 +21,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without passages that came before."""
+    return suffix_dedup.removed(table(spark, sf_dir, "documents"), length=100)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written to a file set and read back."""
     folder = scratch_path(spark, "token-files")
@@ -69,6 +74,7 @@ FROM (SELECT ranked.*, source_size, target,
 QUERIES = {
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_files": op8_token_files,
     "op10_mixing": op10_mixing,
 }
