@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import mixing, simhash, suffix_dedup, token_count, token_files
+from tablewright.llm import mixing, simhash, suffix_dedup, token_count, token_files, top_k
 from tablewright.llm.common import stored, table, tokenizer_path, words_in
 from tablewright.session import scratch_path
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best inner products of every hundredth vector among all others."""
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, distance=4)
@@ -40,6 +45,21 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+OP2_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS w
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 10
+"""
+
 OP10_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
@@ -72,10 +92,11 @@ FROM (SELECT ranked.*, source_size, target,
 """
 
 QUERIES = {
+    "op2_top_k": op2_top_k,
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_files": op8_token_files,
     "op10_mixing": op10_mixing,
 }
-ORACLES = {"op10_mixing": OP10_SQL}
+ORACLES = {"op2_top_k": OP2_SQL, "op10_mixing": OP10_SQL}
