@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import mixing, simhash, suffix_dedup, token_count, token_files, top_k
+from tablewright.llm import mixing, simhash, suffix_dedup, token_count, token_files, top_k, winnow
 from tablewright.llm.common import stored, table, tokenizer_path, words_in
 from tablewright.session import scratch_path
 
@@ -26,6 +26,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed fingerprints of every document and of its edited text."""
+    found = winnow.fingerprints_of_edits(table(spark, sf_dir, "documents"))
+    texts = [winnow.spelled(F.col(c)).alias(n) for c, n in (("hashes", "fingerprint"), ("edited_hashes", "edited_fingerprint"))]
+    return found.select("doc_id", "n_chars", "edited_sha256", *texts, "near_edited", "near_next")
+
+
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without passages that came before."""
     return suffix_dedup.removed(table(spark, sf_dir, "documents"), length=100)
@@ -95,6 +102,7 @@ QUERIES = {
     "op2_top_k": op2_top_k,
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
+    "op6_winnowing": op6_winnowing,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_files": op8_token_files,
     "op10_mixing": op10_mixing,
