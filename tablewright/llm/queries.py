@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import mixing, simhash, suffix_dedup, token_count, token_files, top_k, winnow
+from tablewright.llm import mixing, simhash, suffix_dedup, token_count, token_files, top_k, warc, winnow
 from tablewright.llm.common import stored, table, tokenizer_path, words_in
 from tablewright.session import scratch_path
 
@@ -45,6 +45,39 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_ids(spark, folder, ids=False)
 
 
+def captures_of(pages: DataFrame) -> DataFrame:
+    """A crawl of the pages: each is fetched once, and asked for again later with its validators.
+
+    Of ten second requests one has a weak tag, one a wrong tag, one a date alone and one nothing; all
+    send a content type that must not be taken over, and a fresh cache-control.
+    """
+    tag = F.concat(F.lit('"'), F.substring(F.md5(F.coalesce("html", F.lit(""))), 1, 16), F.lit('"'))
+    moment = lambda seconds: F.timestamp_seconds(F.lit(1_700_000_000) + seconds)
+    number, case = F.col("page_id"), F.coalesce(F.pmod("page_id", F.lit(10)), F.lit(0))
+    since = F.date_format(moment(number), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    header = lambda *pairs: F.map_filter(F.create_map(*(F.lit(x) if isinstance(x, str) else x for p in pairs for x in p)), lambda k, v: v.isNotNull())
+    full = header(("content-type", "text/html; charset=utf-8"), ("etag", tag), ("last-modified", since), ("cache-control", "max-age=60"))
+    sent = F.when(case == 3, F.concat(F.lit("W/"), tag)).when(case == 5, F.lit('"stale"')).when(~case.isin(7, 9), tag)
+    again = header(("content-type", "text/plain"), ("etag", sent), ("last-modified", F.when(case != 9, since)), ("cache-control", F.concat(F.lit("max-age="), case.cast("string"))))
+    first = pages.select(F.concat(F.lit("urn:page:"), number).alias("record_id"), F.lit("response").alias("kind"), "url", moment(number * 10).alias("time"), full.alias("headers"), F.col("html").alias("payload"))
+    second = pages.select(F.concat(F.lit("urn:visit:"), number).alias("record_id"), F.lit("revisit").alias("kind"), "url", moment(number * 20 + 5).alias("time"), again.alias("headers"), F.lit(None).cast("string").alias("payload"))
+    return first.unionByName(second)
+
+
+def op9_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A crawl of all pages written as WARC, read back, and its revisits resolved."""
+    folder = scratch_path(spark, "warc")
+    warc.write_warc(captures_of(table(spark, sf_dir, "pages")), folder)
+    body = {"html_md5": F.md5("payload"), "html_bytes": F.octet_length("payload").cast("long")}
+    slim = stored(warc.read_warc(spark, folder).withColumns(body).drop("payload"), "captures")
+    found = warc.resolve_revisits(slim, carried=("html_md5", "html_bytes"))
+    number = lambda c: F.regexp_extract(c, r"(-?\d+)$", 1).cast("long")
+    return found.select(
+        number(F.col("record_id")).alias("visit_id"), number(F.col("response_id")).alias("page_id"), "canonical_url", "outcome",
+        F.col("headers")["content-type"].alias("content_type"), F.col("headers")["cache-control"].alias("cache_control"), "html_md5", "html_bytes",
+    )
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of every document the mix takes."""
     sizes = table(spark, sf_dir, "documents").select("doc_id", "source", words_in(F.col("text")).alias("size"))
@@ -67,6 +100,39 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 10
 """
 
+OP9_SQL = r"""
+WITH p AS (
+  SELECT *, page_id * 10 AS t, page_id * 20 + 5 AS t2, page_id % 10 AS k, substr(md5(html), 1, 16) AS tag,
+         regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?', ['s', 'h', 'p', 'q']) AS u
+  FROM pages),
+c AS (
+  SELECT *, lower(u.s) || '://'
+         || regexp_replace(lower(u.h), CASE lower(u.s) WHEN 'http' THEN ':80$' ELSE ':443$' END, '')
+         || CASE WHEN u.p = '' THEN '/' ELSE u.p END
+         || CASE WHEN len(u.q) > 1 THEN '?' || array_to_string(list_sort(string_split(substr(u.q, 2), '&')), '&')
+                 ELSE '' END AS canonical_url
+  FROM p),
+visits AS (
+  SELECT page_id AS visit_id, canonical_url, t2, k, page_id AS since, CASE WHEN k NOT IN (7, 9) THEN
+         CASE WHEN k = 5 THEN 'stale' ELSE tag END END AS sent
+  FROM c),
+met AS (
+  SELECT v.visit_id, v.canonical_url, v.k, v.sent, v.since, c.page_id, c.tag, c.html,
+         row_number() OVER (PARTITION BY v.visit_id ORDER BY c.t DESC NULLS LAST) AS r
+  FROM visits v LEFT JOIN c ON c.canonical_url = v.canonical_url AND c.t < v.t2),
+judged AS (
+  SELECT *, CASE WHEN page_id IS NULL THEN 'orphan' WHEN k = 9 THEN 'unvalidated'
+                 WHEN coalesce(sent = tag, since = page_id) THEN 'resolved' ELSE 'mismatch' END AS outcome
+  FROM met WHERE r = 1)
+SELECT visit_id, page_id, canonical_url, outcome,
+       CASE WHEN outcome IN ('resolved', 'unvalidated') THEN 'text/html; charset=utf-8' ELSE 'text/plain' END
+         AS content_type,
+       'max-age=' || k AS cache_control,
+       CASE WHEN outcome IN ('resolved', 'unvalidated') THEN md5(html) END AS html_md5,
+       CASE WHEN outcome IN ('resolved', 'unvalidated') THEN strlen(html) END::BIGINT AS html_bytes
+FROM judged
+"""
+
 OP10_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
@@ -105,6 +171,7 @@ QUERIES = {
     "op6_winnowing": op6_winnowing,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_files": op8_token_files,
+    "op9_warc_revisits": op9_warc_revisits,
     "op10_mixing": op10_mixing,
 }
-ORACLES = {"op2_top_k": OP2_SQL, "op10_mixing": OP10_SQL}
+ORACLES = {"op2_top_k": OP2_SQL, "op9_warc_revisits": OP9_SQL, "op10_mixing": OP10_SQL}
