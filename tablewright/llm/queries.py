@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import mixing, simhash, suffix_dedup, token_count, token_files, top_k, warc, winnow
+from tablewright.llm import mixing, quality, simhash, suffix_dedup, token_count, token_files, top_k, warc, winnow
 from tablewright.llm.common import stored, table, tokenizer_path, words_in
 from tablewright.session import scratch_path
 
@@ -26,6 +26,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document, the threshold of its language, and the decision."""
+    found = quality.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.drop("digest")
+
+
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed fingerprints of every document and of its edited text."""
     found = winnow.fingerprints_of_edits(table(spark, sf_dir, "documents"))
@@ -168,6 +174,7 @@ QUERIES = {
     "op2_top_k": op2_top_k,
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
+    "op5_quality": op5_quality,
     "op6_winnowing": op6_winnowing,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_files": op8_token_files,
