@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import mixing, quality, simhash, suffix_dedup, token_count, token_files, top_k, warc, winnow
+from tablewright.llm import mixing, quality, sentence_pieces, simhash, suffix_dedup, token_count, token_files, top_k, warc, winnow
 from tablewright.llm.common import stored, table, tokenizer_path, words_in
 from tablewright.session import scratch_path
 
 
+def op1_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of every whole text: how many, their checksum, and whether they decode to the text."""
+    found = sentence_pieces.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+    return found.select("row.doc_id", F.octet_length("row.text").cast("long").alias("n_bytes"), "n_pieces", "ids_crc32", "same")
+
+
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best inner products of every hundredth vector among all others."""
     return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
@@ -171,6 +177,7 @@ FROM (SELECT ranked.*, source_size, target,
 """
 
 QUERIES = {
+    "op1_sentence_pieces": op1_sentence_pieces,
     "op2_top_k": op2_top_k,
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,

@@ -71,14 +71,15 @@ def fingerprint(data: bytes, words: int) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """Rows (doc_id, fingerprint) for every document; a null text counts as empty."""
+    """Rows (doc_id, digest, fingerprint) for every document; a null text counts as empty."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t.as_py() or b"", words) for t in batch.column(1)], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fingerprint"])
+            found = np.array([fingerprint(t.as_py() or b"", words) for t in batch.column(2)], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found.view(np.int64))], ["doc_id", "digest", "fingerprint"])
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, "doc_id long, fingerprint long")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("digest"), F.col("text").cast("binary").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, digest long, fingerprint long")
 
 
 def _entries(prints: DataFrame) -> DataFrame:
@@ -108,7 +109,8 @@ def _linked(keys: np.ndarray, probe: np.ndarray, prints: np.ndarray, distance: i
         if not len(at):
             break
         other = at + step
-        near = np.bitwise_count((prints[at] ^ prints[other]).view(np.uint64)) <= distance  # unsigned: of signed numbers it counts the magnitude
+        differing = (prints[at] ^ prints[other]).view(np.uint64)  # of signed numbers the magnitude is counted
+        near = np.bitwise_count(differing) <= distance
         near &= (probe[at] & probe[other]) == 0
         left.append(at[near])
         right.append(other[near])
@@ -167,17 +169,19 @@ def links(prints: DataFrame, distance: int = 4) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 4, distance: int = 4) -> DataFrame:
-    """Rows (doc_id, fingerprint, component_id), one per document.
+    """Rows (doc_id, digest, fingerprint, component, component_id), one per document.
 
     component_id is the smallest doc_id that links of ``distance`` or fewer differing bits
     reach. Null and empty texts have fingerprint 0 and link like any other. A null doc_id
     keeps its row and is never a component's id unless the component has no other. Equal texts
-    meet as one fingerprint before any search. An empty table gives no rows.
+    meet as one fingerprint before any search. ``component`` tells components apart and
+    ``digest`` texts of one doc_id. An empty table gives no rows.
     """
     prints = stored(fingerprints(docs, words), "fingerprints")
     distinct = stored(prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first")), "distinct")
     roots = components(links(distinct.select("fp"), distance), "simhash")
     placed = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = placed.groupBy("root").agg(F.min("first").alias("component_id"))
-    placed = placed.join(least, "root").select("fp", "component_id")
-    return prints.join(placed, prints["fingerprint"] == placed["fp"]).select("doc_id", "fingerprint", "component_id")
+    placed = placed.join(least, "root").select("fp", F.col("root").alias("component"), "component_id")
+    columns = ("doc_id", "digest", "fingerprint", "component", "component_id")
+    return prints.join(placed, prints["fingerprint"] == placed["fp"]).select(*columns)
