@@ -72,7 +72,7 @@ def write_warc(captures: DataFrame, folder: str, compression: str = "none") -> N
         F.octet_length("block").cast("string"),
         F.lit(_END),
     )
-    rows = captures.select("*", block.alias("block")).select(F.concat(head, F.col("block")).alias("value"))
+    rows = captures.select("kind", "record_id", "url", "time", block.alias("block")).select(F.concat(head, F.col("block")).alias("value"))
     rows.write.option("lineSep", _END).option("maxRecordsPerFile", RECORDS).option("compression", compression).text(folder)
 
 
