@@ -26,21 +26,29 @@ from tablewright.llm.units import FIRST, UnitCache, spelled
 #: Rows of a batch encoded together, units joined into one call, ids aimed at in a segment.
 ROWS, JOINED, SEGMENT = 1000, 100, 1 << 24
 
+_ENDS = (",", ".")
 _LENGTHS = (np.arange(256)[:, None] >> (2 * np.arange(4)) & 3) + 1
 _TOTALS = _LENGTHS.sum(axis=1)
 _OFFSETS = np.cumsum(_LENGTHS, axis=1) - _LENGTHS
 _KEPT = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], dtype=np.uint32)
 
 
-def pack(numbers: np.ndarray) -> tuple[bytes, bytes]:
-    """Control and data bytes of numbers below 2**32; the last four are filled up with zeros."""
-    padded = np.zeros(-(-len(numbers) // 4) * 4, dtype="<u4")
-    padded[: len(numbers)] = numbers
+def pack_all(lists: list[np.ndarray]) -> tuple[list[bytes], list[bytes]]:
+    """Control and data bytes of lists of numbers below 2**32; each list's last four are filled up with zeros."""
+    sizes = np.array([len(x) for x in lists], dtype=np.int64)
+    fours = -(-sizes // 4)
+    flat = np.concatenate(lists) if lists else np.zeros(0)
+    starts = np.cumsum(fours) * 4 - fours * 4
+    padded = np.zeros(int(fours.sum()) * 4, dtype="<u4")
+    padded[np.arange(len(flat)) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)] = flat
     lengths = 1 + (padded > 0xFF).astype(np.uint8) + (padded > 0xFFFF) + (padded > 0xFFFFFF)
-    fours = (lengths - 1).reshape(-1, 4).astype(np.uint8)
-    control = fours[:, 0] | fours[:, 1] << 2 | fours[:, 2] << 4 | fours[:, 3] << 6
-    data = padded.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]]
-    return control.tobytes(), data.tobytes()
+    codes = (lengths - 1).reshape(-1, 4).astype(np.uint8)
+    control = (codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6).tobytes()
+    data = padded.view(np.uint8).reshape(-1, 4)[np.arange(4) < lengths[:, None]].tobytes()
+    ends = np.concatenate([[0], np.cumsum(fours)])
+    places = np.concatenate([[0], np.cumsum(lengths.reshape(-1, 4).sum(axis=1, dtype=np.int64))])[ends].tolist()
+    ends = ends.tolist()
+    return [control[a:b] for a, b in zip(ends, ends[1:])], [data[a:b] for a, b in zip(places, places[1:])]
 
 
 def unpack(control: bytes, data: bytes) -> np.ndarray:
@@ -70,27 +78,39 @@ class IdEncoder:
         for token, number in vocab.items():
             self.lengths[number] = len(token.encode()) if token in special else len(token)
         self.kind = "<u2" if self.size <= 1 << 16 else "<u4"
+        encoded = ((e, self.tokenizer.encode(e, add_special_tokens=False).ids) for e in _ENDS)
+        self.ends = {e: np.array(ids, dtype=self.kind).tobytes() for e, ids in encoded}
         self.cache = UnitCache(self.ids_of)
 
     def ids_of(self, new: list[str]) -> list[bytes]:
-        """The ids of each unit. Units are joined, and the byte lengths of tokens part them again."""
-        out: dict[str, bytes] = {}
-        joined = [u for u in new if u[:1] != FIRST and spelled(u)[-1:].strip()]
-        alone = [u for u in new if u[:1] == FIRST or not spelled(u)[-1:].strip()]
-        blocks = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)] + [[u] for u in alone]
-        texts = [[spelled(u) for u in block] for block in blocks]
-        found = self.tokenizer.encode_batch_fast(["".join(t) for t in texts], add_special_tokens=False)
-        for block, parts, encoding in zip(blocks, texts, found):
+        """The ids of each unit.
+
+        A comma or full stop after letters is a pre-token of its own, so such units are put together
+        from two. Others are joined, and the byte lengths of tokens part them again.
+        """
+        known, out = self.cache.known, {}
+        ended = [u for u in new if u[-1:] in _ENDS and u[:-1].isalpha()]
+        plain = set(new).difference(ended)
+        plain.update(c for c in {u[:-1] for u in ended} if c not in known)
+        joined, alone = [], []
+        for unit in plain:
+            (alone if unit[:1] == FIRST or not unit[-1:].strip() else joined).append(unit)
+        blocks = [joined[i : i + JOINED] for i in range(0, len(joined), JOINED)]
+        texts = [" " + " ".join(block) for block in blocks] + [spelled(u) for u in alone]
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        for unit, encoding in zip(alone, found[len(blocks) :]):
+            out[unit] = np.array(encoding.ids, dtype=self.kind).tobytes()
+        for block, encoding in zip(blocks, found):
             ids = np.array(encoding.ids, dtype=self.kind)
-            if len(block) == 1:
-                out[block[0]] = ids.tobytes()
-                continue
-            stops = np.cumsum([len(p.encode()) for p in parts])
+            stops = np.cumsum([len(u.encode()) + 1 for u in block])
             at = np.searchsorted(np.cumsum(self.lengths[ids]), stops) + 1
             raw, width, start = ids.tobytes(), ids.itemsize, 0
             for unit, stop in zip(block, (at * width).tolist()):
                 out[unit] = raw[start:stop]
                 start = stop
+        for unit in ended:
+            core = out.get(unit[:-1])
+            out[unit] = (known[unit[:-1]] if core is None else core) + self.ends[unit[-1]]
         return [out[u] for u in new]
 
 
@@ -135,8 +155,8 @@ def write_ids(docs: DataFrame, path: str, folder: str, end: int = 0) -> None:
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                seen += np.bincount(_raw(ids.as_py(), kind), minlength=size)
+            for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
+                seen += np.bincount(np.concatenate([_raw(ids.as_py(), kind) for ids in part.column(0)]), minlength=size)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["id", "n"])
 
@@ -155,10 +175,11 @@ def write_ids(docs: DataFrame, path: str, folder: str, end: int = 0) -> None:
     upto = Window.partitionBy("segment").orderBy("doc_id", "_tie").rowsBetween(Window.unboundedPreceding, 0)
 
     def shrink(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            packed = [pack(to_rank[_raw(ids.as_py(), kind)]) for ids in batch.column(3)]
-            parts = [pa.array([p[i] for p in packed], type=pa.binary()) for i in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *parts], ["segment", "doc_id", "n_tokens", "control", "data"])
+        for whole in batches:
+            for batch in (whole.slice(i, ROWS) for i in range(0, whole.num_rows, ROWS)):
+                packed = pack_all([to_rank[_raw(ids.as_py(), kind)] for ids in batch.column(3)])
+                parts = [pa.array(p, type=pa.binary()) for p in packed]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:3], *parts], ["segment", "doc_id", "n_tokens", "control", "data"])
 
     small = placed.select("segment", "doc_id", "n_tokens", "ids").mapInArrow(shrink, "segment int, doc_id long, n_tokens long, control binary, data binary")
     start = F.get(F.lit(before), F.col("segment")) + F.sum("n_tokens").over(upto) - F.col("n_tokens")

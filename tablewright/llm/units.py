@@ -15,7 +15,7 @@ import numpy as np
 #: Marks the unit that begins a text, which no space precedes. No valid text holds it.
 FIRST = "\ud800"
 #: Entries after which a cache starts anew, and the longest unit it keeps.
-CACHED, LONGEST = 1_000_000, 64
+CACHED, LONGEST = 800_000, 64
 
 _LOOSE = re.compile(r"(?<=\S)(?= )")
 # fixed values: the white space characters
