@@ -67,6 +67,13 @@ def dtype_name(data_type: T.DataType) -> str:
     return data_type.simpleString()
 
 
+def known(df: DataFrame, name: str) -> Column:
+    """A column with NaN as NULL: floating-point files hold missing numbers either way."""
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)):
+        return F.when(~F.isnan(col(name)), col(name))
+    return col(name)
+
+
 def melt(
     df: DataFrame,
     columns: Iterable[str],
@@ -75,12 +82,12 @@ def melt(
     name: str = "column",
     value: str = "value",
 ) -> DataFrame:
-    """One row per (row, column): a map-side generator, no shuffle."""
+    """One row per (row, column), NaN as NULL: a map-side generator, no shuffle."""
     columns = list(columns)
     if not columns:
         raise ValueError("melt needs at least one column")
     pairs = [
-        F.struct(F.lit(c).alias(name), col(c).cast(cast).alias(value)) for c in columns
+        F.struct(F.lit(c).alias(name), known(df, c).cast(cast).alias(value)) for c in columns
     ]
     return df.select(*[col(k) for k in keep], F.explode(F.array(*pairs)).alias("_cell")).select(
         *[col(k) for k in keep], f"_cell.{name}", f"_cell.{value}"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import SEED, col, melt, pearson, row_hash, unit_interval
@@ -17,6 +17,8 @@ from .profiling import distinct_up_to, quartiles
 FEW_VALUES = 10
 GRID_POINTS = 200
 FINE_BINS = 1024
+# More empty bins in a row than this are one row of a histogram.
+EMPTY_RUN = 1000
 
 
 def _ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -66,17 +68,33 @@ def bin_counts(df: DataFrame, columns: Sequence[str], bins: int | str = "auto")
 
 
 def histogram(df: DataFrame, columns: Sequence[str], bins: int | str = "auto") -> DataFrame:
-    """(column, bin, lower, upper, count), empty bins included, last bin closed."""
+    """(column, bin, lower, upper, count), empty bins included, last bin closed.
+
+    Between occupied bins, empty ones are listed one by one up to EMPTY_RUN of them; a longer
+    run, as an outlier leaves, is one row from its first bin to its last.
+    """
     plan = bin_counts(df, columns, bins)
     width = (F.col("hi") - F.col("lo")) / F.col("bins")
-    frame = plan.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bins") - 1)))
     counts = _binned(df, columns, plan)
-    return frame.join(counts, ["column", "bin"], "left").select(
+    order = Window.partitionBy("column").orderBy("bin")
+    # the first and the last bin of a column are occupied, by its least and greatest value
+    gap = F.coalesce(F.lead("bin").over(order) - F.col("bin") - 1, F.lit(0))
+    cell = lambda first, last, n: F.struct(first.alias("bin"), last.alias("last"), n.alias("count"))
+    after, zero = F.col("bin") + 1, F.lit(0).cast("long")
+    one_by_one = F.transform(F.sequence(after, F.col("bin") + F.col("gap")), lambda b: cell(b, b, zero))
+    empty = (
+        F.when(F.col("gap") == 0, F.array().cast("array<struct<bin:bigint,last:bigint,count:bigint>>"))
+        .when(F.col("gap") > EMPTY_RUN, F.array(cell(after, F.col("bin") + F.col("gap"), zero)))
+        .otherwise(one_by_one)
+    )
+    own = F.array(cell(F.col("bin"), F.col("bin"), F.col("count")))
+    cells = counts.withColumn("gap", gap).select("column", F.explode(F.concat(own, empty)).alias("_c"))
+    return cells.select("column", "_c.*").join(F.broadcast(plan), "column").select(
         "column",
         "bin",
         (F.col("lo") + F.col("bin") * width).alias("lower"),
-        (F.col("lo") + (F.col("bin") + 1) * width).alias("upper"),
-        F.coalesce("count", F.lit(0)).alias("count"),
+        (F.col("lo") + (F.col("last") + 1) * width).alias("upper"),
+        "count",
     )
 
 

@@ -26,7 +26,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import col, quoted
+from ..functions.exprs import col, known, quoted
 from ..functions.order_stats import exact_quantiles
 from ..session import local_table
 
@@ -71,7 +71,7 @@ def moments(df: DataFrame, columns: Sequence[str], fill: dict[str, float]) -> di
     """Mean and population deviation per column after imputation, in one pass."""
     aggs = []
     for i, c in enumerate(columns):
-        x = F.coalesce(col(c).cast("double"), F.lit(fill[c]))
+        x = F.coalesce(known(df, c).cast("double"), F.lit(fill[c]))
         aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
     row = df.agg(*aggs).first()
     return {c: (row[f"m{i}"], row[f"s{i}"]) for i, c in enumerate(columns)}
@@ -110,7 +110,7 @@ class TabularFeatures(Estimator, _TableParams, DefaultParamsReadable, DefaultPar
             centre = moments(df, numeric, fill) if self.getOrDefault("scale") else {}
             exprs = []
             for c in numeric:
-                x = f"coalesce(CAST({quoted(c)} AS DOUBLE), {_number(fill[c])})"
+                x = f"coalesce(nullif(CAST({quoted(c)} AS DOUBLE), DOUBLE('NaN')), {_number(fill[c])})"
                 if centre:
                     mean, sd = centre[c]
                     x = f"({x} - {_number(mean)}) / {_number(sd or 1.0)}"
@@ -206,7 +206,8 @@ class EngineeredFeature:
     """Columns a team adds before preprocessing, with the reason for them.
 
     ``exprs`` maps each new column to a SQL expression, which a stored pipeline can
-    carry; ``func`` is any DataFrame function for use outside stored pipelines.
+    carry. ``func`` is any DataFrame function; it names the columns it makes in ``makes``
+    and runs as a stage of its own in pipelines that are not stored.
     """
 
     name: str
@@ -215,10 +216,15 @@ class EngineeredFeature:
     author: str = ""
     numeric: bool = True
     func: Callable[[DataFrame], DataFrame] | None = None
+    makes: tuple[str, ...] = ()
+
+    def __post_init__(self) -> None:
+        if self.func and not self.makes:
+            raise ValueError(f"feature {self.name!r}: a function must name the columns it makes")
 
     @property
     def columns_added(self) -> list[str]:
-        return list(self.exprs)
+        return [*self.exprs, *self.makes]
 
     def is_complete(self) -> bool:
         return bool(self.name and (self.exprs or self.func) and self.justification.strip())
@@ -228,21 +234,33 @@ class EngineeredFeature:
 ENGINEERED: dict[str, EngineeredFeature] = {}
 
 
+class FunctionStage(Transformer):
+    """A DataFrame function as a pipeline stage; it cannot be stored."""
+
+    def __init__(self, func: Callable[[DataFrame], DataFrame]):
+        super().__init__()
+        self.func = func
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return self.func(df)
+
+
 def hook_stages(feature: EngineeredFeature | None) -> list[Transformer]:
     """The first pipeline stages: none without a registered feature."""
-    if feature is None or not feature.exprs:
-        return []
-    exprs = ", ".join(f"{e} AS {quoted(c)}" for c, e in feature.exprs.items())
-    return [SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__")]
+    stages: list[Transformer] = []
+    if feature is not None and feature.exprs:
+        exprs = ", ".join(f"{e} AS {quoted(c)}" for c, e in feature.exprs.items())
+        stages.append(SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__"))
+    if feature is not None and feature.func:
+        stages.append(FunctionStage(feature.func))
+    return stages
 
 
 def apply_feature(df: DataFrame, feature: EngineeredFeature | None) -> DataFrame:
     """The hook on a plain table; a no-op when nothing is registered."""
-    if feature is None:
-        return df
-    if feature.func is not None:
-        return df.transform(feature.func)
-    return hook_stages(feature)[0].transform(df) if feature.exprs else df
+    for stage in hook_stages(feature):
+        df = stage.transform(df)
+    return df
 
 
 def with_feature(

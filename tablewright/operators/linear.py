@@ -76,7 +76,7 @@ class PenalisedRegression(Estimator, _Columns, DefaultParamsReadable, DefaultPar
         return LinearRegression(
             featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(),
             predictionCol=self.getPredictionCol(), regParam=reg, elasticNetParam=mix,
-            standardization=False, solver="normal", maxIter=10000, tol=1e-12,
+            standardization=False, solver="auto", maxIter=10000, tol=1e-12,
         ).fit(df)
 
 

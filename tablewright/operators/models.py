@@ -144,7 +144,7 @@ def polynomial_name(degree: int = 2) -> str:
 
 
 def _least_squares(p: Params, label: str, features: str) -> Estimator:
-    return LinearRegression(featuresCol=features, labelCol=label, regParam=0.0, solver="normal")
+    return LinearRegression(featuresCol=features, labelCol=label, regParam=0.0, solver="auto")
 
 
 def polynomial(degree: int) -> ModelSpec:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import col, dtype_name, melt, numeric_columns
+from ..functions.exprs import col, dtype_name, known, melt, numeric_columns
 from ..functions.order_stats import quantile_columns
 from ..session import local_table
 
@@ -66,7 +66,7 @@ def audit(df: DataFrame, row_id: str, columns: Sequence[str] | None = None) -> D
 def duplicate_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(rows, duplicate_rows): rows beyond the first of each distinct row."""
     columns = list(columns) if columns else df.columns
-    groups = df.groupBy(*[col(c) for c in columns]).agg(F.count("*").alias("_c"))
+    groups = df.groupBy(*[col(c) for c in columns]).agg(F.count("*").alias("_c"), F.first(holes).alias("_holes"))
     return groups.agg(
         F.coalesce(F.sum("_c"), F.lit(0)).alias("rows"),
         F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("duplicate_rows"),
@@ -107,20 +107,20 @@ def summary(df: DataFrame, target: str | None = None, columns: Sequence[str] | N
     # Missing cells per distinct row times its copies: one shuffle serves both counts.
     holes = F.lit(0)
     for c in columns:
-        holes = holes + F.when(col(c).isNull(), 1).otherwise(0)
-    groups = df.groupBy(*[col(c) for c in columns]).agg(F.count("*").alias("_c"))
+        holes = holes + F.when(known(df, c).isNull(), 1).otherwise(0)
+    groups = df.groupBy(*[col(c) for c in columns]).agg(F.count("*").alias("_c"), F.first(holes).alias("_holes"))
     return groups.agg(
         F.coalesce(F.sum("_c"), F.lit(0)).alias("rows"),
         F.lit(len(columns)).alias("cols"),
         F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).alias("duplicate_rows"),
-        F.coalesce(F.sum(holes.cast("long") * F.col("_c")), F.lit(0)).alias("missing_cells"),
+        F.coalesce(F.sum(F.col("_holes").cast("long") * F.col("_c")), F.lit(0)).alias("missing_cells"),
         F.lit(",".join(columns)).alias("columns"),
         F.lit(bool(target and target in columns)).alias("target_present"),
     )
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    return df.where(col(column).isNotNull()).groupBy(col(column).alias("value")).agg(
+    return df.where(known(df, column).isNotNull()).groupBy(col(column).alias("value")).agg(
         F.count("*").alias("count")
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import rounded
 from ..operators import explain, features, linear, metrics, models, selection, split
 from ..operators.knn import NearestNeighbours, neighbour_rows
-from ..session import fetched, spread_out
+from ..session import fetched
 from . import checking
 from .fixtures import CLF_CATEGORICAL, CLF_TARGET, NUMERIC, REG_CATEGORICAL, REG_TARGET, cte, table, view
 from .registry import query
@@ -34,13 +34,13 @@ SMALL_C = {"svc": {"max_iter": 25}}
 
 
 def reg_rows(spark, sf):
-    """Regression rows with their split, spread over the cores and cached."""
-    rows = spread_out(view(spark, sf, "reg_view"), "row_id").withColumn("net_k", F.col("net_price") / 1000)
+    """Regression rows with their split, cached."""
+    rows = view(spark, sf, "reg_view").withColumn("net_k", F.col("net_price") / 1000)
     return split.hold_out(rows, ["row_id"], eager=True).persist()
 
 
 def clf_rows(spark, sf):
-    rows = spread_out(view(spark, sf, "clf_view"), "row_id")
+    rows = view(spark, sf, "clf_view")
     return split.hold_out(rows, ["row_id"], stratify=CLF_TARGET, eager=True).persist()
 
 
@@ -280,7 +280,7 @@ def _vec_neighbours(metric: str, name: str) -> str:
 
 def vectors(spark, sf):
     rows = table(spark, sf, "embeddings").withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
-    return split.hold_out(spread_out(rows, "vec_id"), ["vec_id"], eager=True).persist()
+    return split.hold_out(rows, ["vec_id"], eager=True).persist()
 
 
 @query(
@@ -411,7 +411,7 @@ i AS (SELECT row_id, coalesce(l_quantity, mq) AS q, coalesce(l_extendedprice, me
 
 
 def _null_features(spark, sf, scale=True):
-    rows = spread_out(view(spark, sf, "null_view"), "row_id")
+    rows = view(spark, sf, "null_view")
     model = features.TabularFeatures(
         numeric=["l_quantity", "l_extendedprice"], categorical=["l_returnflag", "l_linestatus"], scale=scale
     ).fit(rows)
@@ -796,7 +796,7 @@ def neighbour_grid(spark, sf):
         F.col("vec_id").cast("string").alias("row_id"), "label",
         *[F.col("embedding")[i].cast("double").alias(c) for i, c in enumerate(cells)],
     )
-    rows = split.k_folds(spread_out(rows, "row_id"), ["row_id"], stratify="label", eager=True).persist()
+    rows = split.k_folds(rows, ["row_id"], stratify="label", eager=True).persist()
     inputs = models.Inputs(tuple(cells), (), "label")
     trace, _ = selection.grid_search(models.classifiers()[models.KNN_C], rows, inputs, selection.F1W)
     rows.unpersist()

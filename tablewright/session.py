@@ -62,12 +62,12 @@ def local_table(spark: SparkSession, rows: Iterable[Sequence], schema: str | T.S
 
 
 def spread_out(df: DataFrame, key: str) -> DataFrame:
-    """Rows over all cores when the source has fewer splits than there are cores.
+    """Rows over all cores when the source has fewer files than there are cores.
 
-    A source of many splits is left alone.
+    Files are counted from the plan, without running it; a source of many files is left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    return df if len(df.inputFiles()) >= cores else df.repartition(cores, key)
 
 
 def fetched(df: DataFrame) -> DataFrame:

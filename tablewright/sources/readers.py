@@ -13,8 +13,6 @@ from ..functions.exprs import col
 from ..session import local_table
 from .contracts import DatasetSpec, shape_report
 
-# Files above this are not read into one row to be hashed; their row digest stands in.
-HASHED_BYTES = 256 << 20
 CORRUPT = "_corrupt_row"
 
 
@@ -91,15 +89,20 @@ def row_digest(df: DataFrame) -> DataFrame:
 def provenance(spark: SparkSession, spec: DatasetSpec, root: str, df: DataFrame) -> DataFrame:
     """One row: file hash, bytes, shape, row digest, source and date.
 
-    The size is looked up first, and only files small enough for one row are hashed.
+    Every file is hashed in a task of its own. A source of one file has that file's hash; one
+    of several has the hash of the sorted list of their names, lengths and hashes.
     """
     path = source_path(spec, root)
     files = spark.read.format("binaryFile").load(path)
-    size = files.agg(F.sum("length").alias("b"), F.count("*").alias("n")).first()
-    if size["n"] == 1 and size["b"] <= HASHED_BYTES:
-        digest = files.select(F.sha2("content", 256).alias("h")).scalar()
-    else:
-        digest = F.lit(None).cast("string")
+    each = files.select(
+        F.substring_index("path", "/", -1).alias("name"), "length", F.sha2("content", 256).alias("h")
+    )
+    listed = F.array_sort(F.collect_list(F.concat_ws(" ", "name", "length", "h")))
+    size = each.agg(
+        F.sum("length").alias("b"), F.count("*").alias("n"), F.max("h").alias("h"),
+        F.sha2(F.array_join(listed, "\n"), 256).alias("many"),
+    ).first()
+    digest = F.lit(size["h"] if size["n"] == 1 else size["many"])
     return row_digest(df).select(
         F.lit(spec.track).alias("track"),
         F.lit(spec.filename).alias("filename"),

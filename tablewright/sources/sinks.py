@@ -17,11 +17,11 @@ def suffix(mode: str) -> str:
     return "_dev" if mode == "dev" else ""
 
 
-def save_table(df: DataFrame, root: str, name: str, markdown: bool = True) -> str:
-    """Writes ``<root>/<name>`` as CSV with a header, and a Markdown copy beside it.
+def save_table(df: DataFrame, root: str, name: str, markdown: bool = False) -> str:
+    """Writes ``<root>/<name>`` as CSV with a header, and a Markdown copy beside it if wanted.
 
-    CSV cannot hold arrays, so they are written as JSON text. The Markdown copy is for
-    result tables of a few rows.
+    CSV cannot hold arrays, so they are written as JSON text. The Markdown copy is made on
+    request, for result tables of a few rows: it passes through the driver.
     """
     flat = df.select(
         *[
@@ -47,7 +47,7 @@ def markdown_lines(df: DataFrame) -> DataFrame:
 
 def save_json(df: DataFrame, root: str, name: str) -> str:
     path = f"{root}/{name}"
-    df.coalesce(1).write.mode("overwrite").json(path)
+    df.write.mode("overwrite").json(path)
     return path
 
 

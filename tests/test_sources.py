@@ -64,7 +64,7 @@ def test_row_digest_ignores_order(spark):
 
 def test_markdown_copy(spark, tmp_path):
     df = spark.createDataFrame([("a", 1.5), ("b", None)], "n string, v double")
-    path = sinks.save_table(df, str(tmp_path / "t"), "result")
+    path = sinks.save_table(df, str(tmp_path / "t"), "result", markdown=True)
     assert spark.read.option("header", True).csv(path).count() == 2
     lines = [r["value"] for r in spark.read.text(f"{path}_md").collect()]
     assert lines == ["| n | v |", "|---|---|", "| a | 1.5 |", "| b |  |"]
