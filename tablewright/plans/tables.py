@@ -47,9 +47,13 @@ def prepared_columns(spark, sf):
 
 @query(
     "b3_excluded_columns",
-    _union(
+    cte("clf_view")
+    + " "
+    + _union(
         [
-            f"SELECT '{c}' AS column_name, '{r}' AS reason, TRUE AS excluded"
+            f"""SELECT '{c}' AS column_name, '{r}' AS reason, TRUE AS excluded, sum(n)::BIGINT AS present,
+  count(*) AS distinct_values, bool_and(lo = hi) AS decides_target FROM (SELECT count(*) AS n,
+  min(overload) AS lo, max(overload) AS hi FROM clf_view WHERE {c} IS NOT NULL GROUP BY {c})"""
             for c, r in [
                 ("overload_reason", "leakage"),
                 ("l_orderkey", "identifier"),
@@ -60,7 +64,7 @@ def prepared_columns(spark, sf):
 )
 def excluded_columns(spark, sf):
     rows = view(spark, sf, "clf_view")
-    return contracts.exclusion_report(rows, contracts.prepare(rows, contracts.OVERLOAD), contracts.OVERLOAD)
+    return contracts.exclusion_facts(rows, contracts.prepare(rows, contracts.OVERLOAD), contracts.OVERLOAD)
 
 
 @query(

@@ -78,9 +78,13 @@ class _Track:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         """Writes a result table and returns it as the few rows it is."""
         result = fetched(df)
-        sinks.save_table(result, self.out, f"{self.spec.track}_{name}{self.end}")
+        sinks.save_table(result, self.out, f"{self.spec.track}_{name}{self.end}", markdown=True)
         return result
 
+    def rows(self, df: DataFrame, name: str) -> None:
+        """Writes a table that grows with the data, one row per value or bin, past the driver."""
+        sinks.save_table(df, self.out, f"{self.spec.track}_{name}{self.end}")
+
     def note(self, what: str, value: object) -> None:
         self.summary.append((what, json.dumps(value, default=str)))
 
@@ -94,7 +98,7 @@ class _Track:
         self.log.add("audit", f"rows={facts['rows']} duplicates={facts['duplicate_rows']}")
         prepared = contracts.prepare(self.raw, spec, self.key)
         self.table(profiling.duplicate_policy(prepared, spec.kept), "duplicate_policy")
-        self.table(explore.distributions(prepared, spec.features), "distributions")
+        self.rows(explore.distributions(prepared, spec.features), "distributions")
         numbers = [c for c in numeric_columns(prepared) if c != self.key]
         self.table(explore.correlation_matrix(prepared, numbers), "correlations")
         inputs = [c for c in numbers if c != spec.target]
@@ -174,7 +178,7 @@ def run_regression(
     model = tuned.get(best, fitted[best])
     test = rows.where(F.col("split") == "test")
     scored = models.predictions({best: model}, test, inputs).persist(StorageLevel.MEMORY_AND_DISK)
-    t.table(explore.histogram(metrics.residuals(scored), ["residual"]), "residual_histogram")
+    t.rows(explore.histogram(metrics.residuals(scored), ["residual"]), "residual_histogram")
     t.table(metrics.identity_span(scored), "identity_span")
     if mode == "full":
         index = fetched(store.model_index(table, spec.track, "R2", ["RMSE", "MAE", "Train_R2"], list(tuned)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -167,6 +168,32 @@ def exclusion_report(raw: DataFrame, prepared: DataFrame, spec: DatasetSpec) ->
     return local_table(raw.sparkSession, rows, "column_name string, reason string, excluded boolean")
 
 
+def exclusion_facts(raw: DataFrame, prepared: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """The exclusion report with what the data says of each column: (..., present,
+    distinct_values, decides_target). A column decides the target if no value of it goes
+    with two targets. One aggregation by value for each excluded column."""
+    target, parts = col(spec.target), []
+    for row in exclusion_report(raw, prepared, spec).collect():  # one row per named column
+        value = col(row["column_name"])
+        single = (F.min(target) == F.max(target)).alias("single")
+        per = raw.where(value.isNotNull()).groupBy(value).agg(F.count("*").alias("n"), single)
+        parts.append(
+            per.agg(
+                F.coalesce(F.sum("n"), F.lit(0)).alias("present"),
+                F.count("*").alias("distinct_values"),
+                F.coalesce(F.every("single"), F.lit(True)).alias("decides_target"),
+            ).select(
+                F.lit(row["column_name"]).alias("column_name"),
+                F.lit(row["reason"]).alias("reason"),
+                F.lit(row["excluded"]).alias("excluded"),
+                "present",
+                "distinct_values",
+                "decides_target",
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
 def shape_report(df: DataFrame, dataset: str, expected: tuple[int, int]) -> DataFrame:
     """Actual against expected shape: reported, never corrected."""
     cols = len(df.columns)
