@@ -275,17 +275,23 @@ def with_feature(
 
 def hook_status(spark, features: dict[str, EngineeredFeature], tracks: Sequence[str]) -> DataFrame:
     """(track, state, detail): AWAITING INPUT, INCOMPLETE or COMPLETE."""
-    rows = []
-    for t in tracks:
-        f = features.get(t)
-        if f is None:
-            rows.append((t, "AWAITING INPUT", "no engineered feature registered"))
-        elif not f.is_complete():
-            rows.append((t, "INCOMPLETE", f"feature '{f.name}' lacks a justification"))
-        else:
-            who = f.author or "unnamed"
-            rows.append((t, "COMPLETE", f"'{f.name}' -> {f.columns_added} (author: {who})"))
-    return local_table(spark, rows, "track string, state string, detail string")
+    known = [
+        (t, f.name, f.author, ", ".join(f.columns_added), f.is_complete())
+        for t, f in features.items()
+        if f is not None
+    ]
+    facts = local_table(spark, known, "track string, name string, author string, adds string, whole boolean")
+    wanted = local_table(spark, [(i, t) for i, t in enumerate(tracks)], "place int, track string")
+    state = F.when(F.col("whole"), "COMPLETE").when(~F.col("whole"), "INCOMPLETE").otherwise("AWAITING INPUT")
+    by = F.when(F.col("author") != "", F.concat(F.lit(", by "), "author")).otherwise("")
+    detail = (
+        F.when(F.col("whole"), F.concat(F.lit("adds "), "adds", by))
+        .when(~F.col("whole"), F.concat("name", F.lit(": give it columns and a reason")))
+        .otherwise("nothing registered for this track")
+    )
+    return wanted.join(facts, "track", "left").orderBy("place").select(
+        "track", state.alias("state"), detail.alias("detail")
+    )
 
 
 def vector_moments(df: DataFrame, names: Sequence[str], column: str = FEATURES) -> DataFrame:

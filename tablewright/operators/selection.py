@@ -242,35 +242,39 @@ def grid_summary(trace: DataFrame) -> DataFrame:
     return wide.withColumn("rank_test_score", F.rank().over(order))
 
 
+# Per scoring, the tag of its columns, its metric, and metrics shown beside it.
+_SHOWN = {R2: ("R2", "R2", ("RMSE",)), F1W: ("F1w", "F1_weighted", ("Recall_failure", "ROC_AUC"))}
+
+
 def tuning_table(
     spark: SparkSession, entries: Sequence[Mapping[str, object]], scoring: str
 ) -> DataFrame:
     """Before and after tuning. Each entry: model, best_params, cv_before, cv_after, and
     held-out metric dicts ``before`` and ``after``. Deltas are rounded, the verdict is not."""
-    tag = "R2" if scoring == R2 else "F1w"
-    metric = "R2" if scoring == R2 else "F1_weighted"
-    also = ["RMSE"] if scoring == R2 else ["Recall_failure", "ROC_AUC"]
-    rows = []
-    for e in entries:
-        row = {
-            "model": e["model"],
-            "best_params": json.dumps(e["best_params"]),
-            f"CV_{tag}_before": round(e["cv_before"], 5),
-            f"CV_{tag}_after": round(e["cv_after"], 5),
-            "CV_delta": round(e["cv_after"] - e["cv_before"], 5),
-            f"HeldOut_{tag}_before": round(e["before"][metric], 5),
-            f"HeldOut_{tag}_after": round(e["after"][metric], 5),
-            "HeldOut_delta": round(e["after"][metric] - e["before"][metric], 5),
-            "improved_on_CV": bool(e["cv_after"] > e["cv_before"]),
-        }
-        for m in also:
-            if m in e["before"]:
-                row[f"HeldOut_{m}_before"] = round(e["before"][m], 5)
-            row[f"HeldOut_{m}_after"] = round(e["after"][m], 5)
-        rows.append(row)
-    kinds = {str: "string", float: "double", bool: "boolean"}
-    schema = ", ".join(f"`{k}` {kinds[type(v)]}" for k, v in rows[0].items())
-    return local_table(spark, [tuple(r.values()) for r in rows], schema)
+    tag, metric, beside = _SHOWN[scoring]
+    pairs = {f"CV_{tag}": lambda e, when: e[f"cv_{when}"]}
+    for name, held in [(tag, metric), *((m, m) for m in beside)]:
+        pairs[f"HeldOut_{name}"] = lambda e, when, m=held: e[when].get(m)
+    cells = [(p, when) for p in pairs for when in ("before", "after")]
+    raw = [
+        (e["model"], json.dumps(e["best_params"]), *(None if (v := pairs[p](e, w)) is None else float(v) for p, w in cells))
+        for e in entries
+    ]
+    measured = "".join(f", `{p}_{w}` double" for p, w in cells)
+    table = local_table(spark, raw, f"model string, best_params string{measured}")
+    gain = lambda p: F.col(f"{p}_after") - F.col(f"{p}_before")
+    # a metric that no model had before tuning has no such column
+    empty = {f"{p}_{w}" for i, (p, w) in enumerate(cells, 2) if w == "before" and all(r[i] is None for r in raw)}
+    kept = [F.round(f"{p}_{w}", 5).alias(f"{p}_{w}") for p, w in cells if f"{p}_{w}" not in empty]
+    cv, held = f"CV_{tag}", f"HeldOut_{tag}"
+    return table.select(
+        "model",
+        "best_params",
+        *kept,
+        F.round(gain(cv), 5).alias("CV_delta"),
+        F.round(gain(held), 5).alias("HeldOut_delta"),
+        (gain(cv) > 0).alias("improved_on_CV"),
+    )
 
 
 def final_pick(cv: DataFrame, held_out: DataFrame, metric: str) -> DataFrame:
