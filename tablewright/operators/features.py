@@ -26,7 +26,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import col, known, quoted
+from ..functions.exprs import known, quoted
 from ..functions.order_stats import exact_quantiles
 from ..session import local_table
 
