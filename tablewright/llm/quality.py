@@ -24,13 +24,13 @@ from tablewright.llm.units import Lookup
 
 #: Share of all words that admits a word to the vocabulary, and the share up to which a
 #: batch may leave a word uncounted (lossy counting: no count is short by more).
-SHARE, SLACK = 1e-5, 1e-6
+SHARE, SLACK = 3e-4, 1e-5
 #: One in so many trusted documents is held out of the counts to set the thresholds.
 HELD_OUT = 5
 #: Words of a language's median that a document's own are averaged with.
 PRIOR = 20
-#: Words a worker keeps the ids of, rows scored together.
-KNOWN, ROWS = 500_000, 500
+#: Words a worker keeps the ids of, rows scored together, rows counted together.
+KNOWN, ROWS, COUNTED = 300_000, 500, 2500
 _BITS = 17
 _MASK = (1 << _BITS) - 1
 _BIGRAM = 1 << 60
@@ -131,10 +131,11 @@ def trigram_counts(tokens: DataFrame) -> DataFrame:
     """Rows (key, n) over the documents that are trusted and not held out."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, _ = _trigrams([_unpacked(x.as_py()) for x in batch.column(0)])
-            keys, counts = np.unique(keys, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
+        for whole in batches:
+            for batch in (whole.slice(i, COUNTED) for i in range(0, whole.num_rows, COUNTED)):
+                keys, _ = _trigrams([_unpacked(x.as_py()) for x in batch.column(0)])
+                keys, counts = np.unique(keys, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], ["key", "n"])
 
     taught = tokens.where(F.col("trusted") & ~_held_out())
     return taught.select("ids").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
@@ -196,17 +197,21 @@ def scored(tokens: DataFrame, model: DataFrame, down: np.ndarray, single: np.nda
     """Rows (doc_id, digest, lang, trusted, n_words, perplexity); null perplexity without words."""
 
     def wanted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            buckets = batch.column(0).to_numpy()
-            for bucket in np.unique(buckets):
-                rows = np.flatnonzero(buckets == bucket)
-                keys, _ = _trigrams([_unpacked(batch.column(1)[int(i)].as_py()) for i in rows])
-                keys = np.unique(keys)
-                pairs = np.unique(np.concatenate([keys >> _BITS, keys & ((1 << 2 * _BITS) - 1)])) + _BIGRAM
-                keys = np.concatenate([keys, pairs])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), bucket)), pa.array(keys)], ["bucket", "key"])
-
-    asked = tokens.select("bucket", "ids").mapInArrow(wanted, "bucket int, key long").distinct()
+        held: dict[int, np.ndarray] = {}
+        for whole in batches:
+            for batch in (whole.slice(i, ROWS) for i in range(0, whole.num_rows, ROWS)):
+                buckets = batch.column(0).to_numpy()
+                for bucket in np.unique(buckets).tolist():
+                    rows = np.flatnonzero(buckets == bucket).tolist()
+                    keys, _ = _trigrams([_unpacked(batch.column(1)[i].as_py()) for i in rows])
+                    held[bucket] = np.union1d(held.get(bucket, keys[:0]), keys)
+        for bucket, keys in held.items():
+            pairs = np.union1d(keys >> _BITS, keys & ((1 << 2 * _BITS) - 1)) + _BIGRAM
+            for some in (keys, pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), bucket, dtype=np.int32)), pa.array(some)], ["bucket", "key"])
+
+    # a file holds one bucket, so a bucket asks for an n-gram as often as its file has splits
+    asked = tokens.select("bucket", "ids").mapInArrow(wanted, "bucket int, key long")
     answers = asked.join(model, "key").select("bucket", "key", "share", "down")
     log_names = ["doc_id", "digest", "lang", "trusted", "n_words", "perplexity"]
 
