@@ -8,6 +8,7 @@ a 304 may renew replace the stored ones.
 
 from __future__ import annotations
 
+import gzip
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -48,7 +49,7 @@ def _line(name: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), clean, F.lit("\r\n"))).otherwise("")
 
 
-def write_warc(captures: DataFrame, folder: str, compression: str = "none") -> None:
+def write_warc(captures: DataFrame, folder: str, compression: str = "gzip") -> None:
     """Writes captures (record_id, kind, url, time, headers, payload) as WARC/1.1 files.
 
     ``kind`` is response or revisit; headers is a map from names to values, a null payload is
@@ -83,6 +84,8 @@ def _fields(head: bytes) -> list[tuple[str, str]]:
 
 def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Header fields (names in lower case) and block of each record; damaged ones are passed over."""
+    if data[:2] == b"\x1f\x8b":
+        data = gzip.decompress(data)
     at = 0
     while 0 <= (at := data.find(b"WARC/1.", at)):
         stop = data.find(b"\r\n\r\n", at)
@@ -127,8 +130,8 @@ def resolve_revisits(captures: DataFrame, carried: tuple[str, ...] = ()) -> Data
     for null URLs and times. Headers are merged where resolved or unvalidated, else the
     revisit's own. ``carried`` names columns taken from the response, null unless it serves.
 
-    Each URL's captures are divided into ranges of time; what one range hands to the next
-    is its last response, so a URL with a third of all captures is spread over the ranges.
+    Each URL's captures are divided into ranges of time; what earlier ranges hand to a later
+    one is their last response, so a URL with a third of all captures is spread over the ranges.
     """
     keys = {"canonical_url": canonical_url(F.col("url")), "_response": F.col("kind") == "response"}
     rows = captures.select("record_id", "url", "time", "kind", "headers", *carried).withColumns(keys)
@@ -139,13 +142,10 @@ def resolve_revisits(captures: DataFrame, carried: tuple[str, ...] = ()) -> Data
     order = Window.partitionBy("canonical_url", "_period").orderBy("time", "_response", F.coalesce("record_id", F.lit("")))
     inside = F.last(F.when(known, whole), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0))
     rows = rows.withColumn("_inside", inside)
-    thin = captures.select("record_id", "time", canonical_url(F.col("url")).alias("_url"), "headers", *carried).where(F.col("kind") == "response")
-    thin = thin.where("time is not null and _url is not null").withColumn("_range", period)
-    ordered = F.struct("time", F.coalesce("record_id", F.lit("")).alias("id"))
-    last = thin.groupBy("_url", "_range").agg(F.max_by(whole, ordered).alias("_last"))
-    ranges = Window.partitionBy("_url").orderBy("_range")
-    handed = last.select("_url", "_range", F.lead("_range").over(ranges).alias("_until"), F.col("_last").alias("_before"))
-    handed = handed.withColumn("_at", F.explode(F.sequence(F.col("_range") + 1, F.coalesce("_until", F.lit(PERIODS)))))
+    ordered = F.when(known, F.struct("time", F.coalesce("record_id", F.lit("")).alias("id")))
+    last = rows.where("canonical_url is not null").groupBy("canonical_url", "_period").agg(F.max_by(whole, ordered).alias("_last"))
+    earlier = Window.partitionBy("canonical_url").orderBy("_period").rowsBetween(Window.unboundedPreceding, -1)
+    handed = last.select(F.col("canonical_url").alias("_url"), F.col("_period").alias("_at"), F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
     visits = rows.where("kind = 'revisit'").join(handed, (F.col("canonical_url") == F.col("_url")) & (F.col("_period") == F.col("_at")), "left")
     found = F.when(F.col("time").isNotNull() & F.col("canonical_url").isNotNull(), F.coalesce("_inside", "_before"))
     visits = visits.select("record_id", "canonical_url", F.col("headers").alias("own"), found.alias("found"))
