@@ -597,15 +597,22 @@ def _giant(docs: DataFrame, path: str) -> DataFrame:
     return lists.select("key", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
 
 
+def _parted(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents of one chunk (row, text), and giant ones (row, text, key)."""
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(row, F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    small = F.length("text") < CHUNK
+    return rows.where(small), rows.where(~small).select("row", "text", F.md5("text").alias("key"))
+
+
 def encode(docs: DataFrame, path: str) -> DataFrame:
     """Rows (row, ids): every document (all its columns) and the ids of its whole text.
 
     Null and empty texts have no ids. Repeated rows repeat; equal giant texts are searched
     once. Ids are those the library gives for the model file, begin and end signs left out.
     """
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    rows = docs.select(row, F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    fields = f"row {rows.schema['row'].dataType.simpleString()}"
+    short, giant = _parted(docs)
+    fields = f"row {short.schema['row'].dataType.simpleString()}"
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(path)
@@ -614,11 +621,8 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 ids = pieces.encode(batch.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, type=pa.list_(pa.int32()))], ["row", "ids"])
 
-    small = F.length("text") < CHUNK
-    short = rows.where(small).mapInArrow(run, f"{fields}, ids array<int>")
-    giant = rows.where(~small).select("row", "text", F.md5("text").alias("key"))
     found = _giant(giant.select("key", "text").dropDuplicates(["key"]), path)
-    return short.unionByName(giant.join(found, "key").select("row", "ids"))
+    return short.mapInArrow(run, f"{fields}, ids array<int>").unionByName(giant.join(found, "key").select("row", "ids"))
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -642,17 +646,30 @@ def round_trip(docs: DataFrame, path: str) -> DataFrame:
     It does for every text without the space mark itself, which decodes to a space.
     """
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = ["row", "n_pieces", "ids_crc32", "same"]
+
+    def checked(rows: pa.Array, texts: list[str], ids: list[np.ndarray], pieces: PieceModel) -> pa.RecordBatch:
+        same = [pieces.decode(x.tolist()) == t for x, t in zip(ids, texts)]
+        sums = [zlib.crc32(x.astype("<i4").tobytes()) for x in ids]
+        counts = pa.array([len(x) for x in ids], type=pa.int64())
+        return pa.RecordBatch.from_arrays([rows, counts, pa.array(sums, type=pa.int64()), pa.array(same, type=pa.bool_())], names)
+
+    def both(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(path)
         for whole in batches:
             for batch in (whole.slice(i, ROWS) for i in range(0, whole.num_rows, ROWS)):
-                ids = [np.asarray(x.values.to_numpy() if x.is_valid else [], dtype="<i4") for x in batch.column(1)]
-                texts = batch.column(0).field("text").to_pylist()
-                same = [pieces.decode(x.tolist()) == (t or "") for x, t in zip(ids, texts)]
-                sums = [zlib.crc32(x.tobytes()) for x in ids]
-                counts = [len(x) for x in ids]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, type=pa.int64()), pa.array(sums, type=pa.int64()), pa.array(same)], ["row", "n_pieces", "ids_crc32", "same"])
-
-    encoded = encode(docs, path)
-    fields = f"row {encoded.schema['row'].dataType.simpleString()}"
-    return encoded.mapInArrow(run, f"{fields}, n_pieces long, ids_crc32 long, same boolean")
+                texts = batch.column(1).to_pylist()
+                yield checked(batch.column(0), texts, pieces.encode(texts), pieces)
+
+    def back(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = model(path)
+        for whole in batches:
+            for batch in (whole.slice(i, 16) for i in range(0, whole.num_rows, 16)):
+                ids = [np.asarray(x.values.to_numpy(), dtype=np.int32) for x in batch.column(2)]
+                yield checked(batch.column(0), batch.column(1).to_pylist(), ids, pieces)
+
+    # ids of short texts are decoded in the worker that made them and never leave it
+    short, giant = _parted(docs)
+    schema = f"row {short.schema['row'].dataType.simpleString()}, n_pieces long, ids_crc32 long, same boolean"
+    found = giant.join(_giant(giant.select("key", "text").dropDuplicates(["key"]), path), "key").select("row", "text", "ids")
+    return short.mapInArrow(both, schema).unionByName(found.mapInArrow(back, schema))
