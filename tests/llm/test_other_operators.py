@@ -214,6 +214,32 @@ def test_held_out_accuracy_on_labels(spark):
     assert kept[0] < 0.3
 
 
+def test_unknown_words_cost(spark):
+    documents, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rng = np.random.default_rng(4)
+    letters = " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), int(rng.integers(3, 10)))) for _ in range(300))
+    junk = spark.createDataFrame([(-1, letters, "en", "x", len(letters))], "doc_id long, text string, lang string, source string, n_chars long")
+    found = quality.classified(documents.select(*junk.columns).unionByName(junk), labels)
+    row = found.where("doc_id = -1").first()
+    usual = found.where("lang = 'en'").agg(F.percentile_approx("perplexity", 0.5)).first()[0]
+    assert not row["keep"]
+    assert row["perplexity"] > 10 * usual
+
+
+def test_rare_words_have_their_own_counts(spark):
+    """Every word of trusted text counts as itself, and scores are those of the plain definition."""
+    texts = ["the cat sat on the mat", "the cat ate the rat", "a dog sat on the cat", "the dog ate a rat on the mat", "one zebra ate the cat"] * 3
+    docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*texts, "the zebra sat", "the wombat sat"])], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
+    tokens = quality.tokenized(docs.repartition(3), labels)
+    grams = quality.trigram_counts(tokens).collect()
+    taught = {r["doc_id"] for r in docs.where(~quality._held_out()).collect()}
+    padded = [[0, 0, *(np.uint64(quality.word_id(w)).astype(np.int64).item() for w in t.split())] for i, t in enumerate(texts) if i in taught]
+    assert {(r["u"], r["v"], r["w"]): r["n"] for r in grams} == Counter(x for p in padded for x in zip(p, p[1:], p[2:]))
+    got = {r["doc_id"]: r["perplexity"] for r in quality.scored(tokens, *quality.open_model(quality.trigram_counts(tokens))).collect()}
+    assert got[len(texts)] < got[len(texts) + 1]
+
+
 def test_awkward_documents_have_a_decision(spark, docs, rows, nothing):
     labels = spark.createDataFrame([(d, 1, None) for d, _ in rows[6:]] + [(3, 0, 1), (None, None, None)], "doc_id long, quality int, toxic int")
     got = quality.classified(docs, labels).collect()
