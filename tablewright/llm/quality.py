@@ -384,11 +384,11 @@ def _by_language(held: DataFrame, rows: DataFrame, statistic, name: str, otherwi
     return rows.withColumn(name, F.coalesce(name, F.lit(otherwise if whole is None else whole)))
 
 
-def classified(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, margin: float = 1.25) -> DataFrame:
+def classified(docs: DataFrame, labels: DataFrame, quantile: float = 0.995) -> DataFrame:
     """Rows (doc_id, digest, lang, n_words, perplexity, score, threshold, keep), one per document.
 
     A few words say little, so the score is the perplexity after PRIOR further words of the
-    language's median. The threshold of a language (null is one) is ``margin`` times the ``quantile`` of the scores of its
+    language's median. The threshold of a language (null is one) is the ``quantile`` of the scores of its
     held-out trusted documents; a language without any takes that of all held-out documents, and without
     those everything with a word is kept. Documents without a word, null texts among them,
     have no perplexity and are rejected. ``digest`` tells apart texts of one doc_id. Labels
@@ -400,7 +400,7 @@ def classified(docs: DataFrame, labels: DataFrame, quantile: float = 0.995, marg
     rows = _by_language(calm(scores), scores, F.percentile_approx("perplexity", 0.5, 10_000), "_usual", 1.0)
     logs = F.col("n_words") * F.log("perplexity") + PRIOR * F.log("_usual")
     rows = rows.withColumn("score", F.exp(logs / (F.col("n_words") + PRIOR)))
-    cut = F.percentile_approx("score", quantile, 10_000) * F.lit(margin)
+    cut = F.percentile_approx("score", quantile, 10_000)
     rows = _by_language(calm(rows), rows, cut, "threshold", float("inf"))
     keep = F.coalesce(F.col("score") <= F.col("threshold"), F.lit(False))
     return rows.select("doc_id", "digest", "lang", "n_words", "perplexity", "score", "threshold", keep.alias("keep"))

@@ -240,6 +240,15 @@ def test_rare_words_have_their_own_counts(spark):
     assert got[len(texts)] < got[len(texts) + 1]
 
 
+def test_the_quantile_alone_decides(spark):
+    documents, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = quality.classified(documents, labels).select("*", quality._held_out().alias("held")).join(labels.groupBy("doc_id").agg(F.min("quality").alias("q"), F.max("toxic").alias("x")), "doc_id").collect()
+    for lang in {r["lang"] for r in rows}:
+        scores = [r["score"] for r in rows if r["lang"] == lang and r["held"] and r["q"] == 1 and not r["x"] and r["score"] is not None]
+        cut = next((r["threshold"] for r in rows if r["lang"] == lang), None)
+        assert not scores or cut <= max(scores)
+
+
 def test_awkward_documents_have_a_decision(spark, docs, rows, nothing):
     labels = spark.createDataFrame([(d, 1, None) for d, _ in rows[6:]] + [(3, 0, 1), (None, None, None)], "doc_id long, quality int, toxic int")
     got = quality.classified(docs, labels).collect()
