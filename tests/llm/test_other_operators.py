@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tablewright.llm import mixing, quality, top_k, warc
+from tablewright.llm import mixing, near_copies, quality, top_k, warc
 from tablewright.session import scratch_path
 
 # --- top-k -----------------------------------------------------------------------------------
@@ -276,6 +276,32 @@ def test_near_copies_stage_keeps_one_of_each_group(spark, docs):
     assert "no id at all" in texts and "same id, other text" in texts
 
 
+@pytest.mark.parametrize("crowd", [2, 32])
+def test_near_copies_by_exact_likeness(spark, monkeypatch, crowd):
+    monkeypatch.setattr(near_copies, "CROWD", crowd)
+    rng = np.random.default_rng(8)
+    texts = []
+    for _ in range(12):
+        base = [f"w{i}" for i in rng.integers(0, 5000, 200)]
+        texts.append(base)
+        for changes in (1, 2, 3, 4, 5, 6, 8):
+            other = list(base)
+            for at in rng.choice(200, changes, replace=False):
+                other[at] = f"new{rng.integers(1 << 40)}"
+            texts.append(other)
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    likeness = [[len(a & b) / len(a | b) for b in sets] for a in sets]
+    rows = [(i, " ".join(t), "en", "s", 0) for i, t in enumerate(texts)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.without_near_copies(spark, frame, "").collect())
+    assert not [(i, j) for i in kept for j in kept if i < j and likeness[i][j] >= 0.8]
+    reached = set(kept)
+    for _ in texts:
+        reached |= {j for i in reached for j in range(len(texts)) if likeness[i][j] >= 0.8}
+    assert len(reached) == len(texts)
+    assert len(kept) > 12  # copies below 0.8 stay
+
+
 def test_pipeline_runs(spark):
     got = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert got and all(r["same"] for r in got)
