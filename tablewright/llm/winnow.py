@@ -1,7 +1,7 @@
 """Document fingerprints by winnowing, in DataFrame functions throughout.
 
-Of the hashes of all runs of ``k`` words, each window of ``w`` neighbours marks its smallest,
-the rightmost if several are. Any common run of ``w + k - 1`` words is therefore marked at
+Of the hashes of all runs of ``k`` words or bytes, each window of ``w`` neighbours marks its smallest,
+the rightmost if several are. Any common run of ``w + k - 1`` of them is therefore marked at
 the same place in both texts; positions are kept so that it can be found there.
 """
 
@@ -12,35 +12,44 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import cuts, range_of, stored
 
-#: Words of a run, runs of a window.
-K, W = 5, 8
+#: Words of a run, runs of a window, bytes of a run.
+K, W, BYTES = 5, 8, 16
 #: Documents sorted together to find the next of each, and ranges at most.
 TOGETHER, RANGES = 8192, 4096
 _LAST = (1 << 31) - 1
 
 
-def with_marks(df: DataFrame, text: str, marks: str, k: int = K, w: int = W) -> DataFrame:
+def with_marks(df: DataFrame, text: str, marks: str, k: int = K, w: int = W, by: str = "words") -> DataFrame:
     """Adds the marks of a text column: an array of long, in order of position.
 
     The upper half of a mark is a hash, the lower half counts down with the position, so the
-    least mark of a window is the one wanted. Words are runs without ASCII white space. A
-    text of fewer than ``k`` words has one mark for all of them; without words it has none.
+    least mark of a window is the one wanted. Runs are ``by`` words, without ASCII white space, or by
+    bytes of UTF-8. A text of fewer than ``k`` has one mark for all of them; without any it has none.
     Every step but the last is read at several places and thus computed once.
     """
-    words = F.array_remove(F.split(F.coalesce(F.col(text), F.lit("")), r"[\x20\x09-\x0D]+"), "")
-    df = df.withColumn("_words", F.transform(words, lambda x: F.xxhash64(x)))
+    given = F.coalesce(F.col(text), F.lit(""))
+    if by == "words":
+        words = F.array_remove(F.split(given, r"[\x20\x09-\x0D]+"), "")
+        df, n = df.withColumn("_parts", F.transform(words, lambda x: F.xxhash64(x))), F.size("_parts")
+    else:
+        df, n = df.withColumn("_parts", given.cast("binary")), F.octet_length("_parts")
 
     def run(i: Column) -> Column:
-        hashed = F.xxhash64(*(F.get("_words", i + j) for j in range(k)))
+        hashed = F.xxhash64(*(F.get("_parts", i + j) for j in range(k))) if by == "words" else F.xxhash64(F.substring(F.col("_parts"), i + 1, F.lit(k)))
         return F.shiftleft(hashed, 32).bitwiseOR((F.lit(_LAST) - i).cast("long"))
 
-    n = F.size("_words")
-    short = F.array(F.shiftleft(F.xxhash64("_words"), 32).bitwiseOR(F.lit(_LAST).cast("long")))
+    short = F.array(F.shiftleft(F.xxhash64("_parts"), 32).bitwiseOR(F.lit(_LAST).cast("long")))
     runs = F.when(n == 0, F.array().cast("array<long>")).when(n < k, short).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))), run))
-    df = df.withColumn("_runs", runs)
+    df = df.withColumn("_runs", runs).withColumn("_least", F.col("_runs"))
+    span = 1
+    while span < w:  # the least of so many neighbours; beyond the end there are none
+        step = min(span, w - span)
+        later = F.slice("_least", step + 1, F.greatest(F.size("_least"), F.lit(1)))
+        df = df.withColumn("_least", F.zip_with("_least", later, lambda x, y: F.least(x, y)))
+        span += step
     m = F.size("_runs")
-    least = F.transform(F.sequence(F.lit(1), F.greatest(m - w + 1, F.lit(1))), lambda j: F.array_min(F.slice("_runs", j, w)))
-    return df.withColumn(marks, F.when(m == 0, F.col("_runs")).otherwise(F.array_distinct(least))).drop("_words", "_runs")
+    least = F.slice("_least", 1, F.greatest(m - w + 1, F.lit(1)))
+    return df.withColumn(marks, F.array_distinct(least)).drop("_parts", "_runs", "_least")
 
 
 def mark_hashes(marks: Column) -> Column:
@@ -49,7 +58,7 @@ def mark_hashes(marks: Column) -> Column:
 
 
 def mark_positions(marks: Column) -> Column:
-    """The word at which the run of each mark starts, from 0."""
+    """The word or byte at which the run of each mark starts, from 0."""
     return F.transform(marks, lambda x: F.lit(_LAST) - x.bitwiseAND(F.lit((1 << 32) - 1)))
 
 
@@ -85,7 +94,7 @@ def followed(docs: DataFrame) -> DataFrame:
     return placed.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
 
 
-def fingerprints_of_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
+def fingerprints_of_edits(docs: DataFrame, k: int = K, w: int = W, by: str = "words") -> DataFrame:
     """Rows (doc_id, n_chars, edited_sha256, hashes, edited_hashes, near_edited, near_next).
 
     The edited text has its last third of code points replaced by the first as many of the next
@@ -93,7 +102,7 @@ def fingerprints_of_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     texts are empty; documents of one doc_id follow each other by falling text, null ids come last;
     a lone document follows itself. Equal texts have equal hashes. Extra columns are left out.
     """
-    rows = with_marks(followed(docs), "text", "marks", k, w)
+    rows = with_marks(followed(docs), "text", "marks", k, w, by)
     rows = rows.select("doc_id", "text", "range", "guest", mark_hashes(F.col("marks")).alias("hashes"))
     order = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("doc_id"), F.desc("text"))
     rows = rows.withColumns({"next": F.lead("text").over(order), "next_hashes": F.lead("hashes").over(order)}).where("not guest")
@@ -101,7 +110,7 @@ def fingerprints_of_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next"), F.lit(1), third))
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "hashes", "next_hashes")
-    rows = with_marks(rows, "edited", "marks", k, w)
+    rows = with_marks(rows, "edited", "marks", k, w, by)
     rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "hashes", "next_hashes", mark_hashes(F.col("marks")).alias("edited_hashes"))
     near = [likeness(F.col("hashes"), F.col(other)).alias(name) for other, name in (("edited_hashes", "near_edited"), ("next_hashes", "near_next"))]
     return rows.select("doc_id", "n_chars", "edited_sha256", "hashes", "edited_hashes", *near)

@@ -195,6 +195,23 @@ def test_marks_and_positions(docs, rows):
     assert _tally(got) == _tally((d, tuple(p for _, p in _marks(t))) for d, t in rows)
 
 
+def test_marks_by_bytes(spark):
+    """The registered query's marks: short texts and texts without white space are like their edited copies."""
+    texts = ["a few words only, not that many of them today", "日本語の文章には空白がない。" * 9 + "終わり", "x" * 5, "", "é" * 40, "abcdefghij" * 30]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    signed = lambda h: struct.unpack("<i", struct.pack("<I", h & 0xFFFFFFFF))[0]
+    marked = winnow.with_marks(frame, "text", "marks", winnow.BYTES, winnow.W, "bytes")
+    got = {r["doc_id"]: (r["h"], r["at"]) for r in marked.select("doc_id", winnow.mark_hashes(marked["marks"]).alias("h"), winnow.mark_positions(marked["marks"]).alias("at")).collect()}
+    for doc, text in enumerate(texts):
+        data, k = text.encode(), winnow.BYTES
+        runs = [signed(xxhash.xxh64_intdigest(data[i : i + k], 42)) for i in range(max(1, len(data) - k + 1))] if data else []
+        windows = [(runs[j : j + winnow.W], j) for j in range(max(1, len(runs) - winnow.W + 1))] if runs else []
+        at = list(dict.fromkeys(j + max(i for i, h in enumerate(win) if h == min(win)) for win, j in windows))
+        assert got[doc] == (list(dict.fromkeys(runs[i] for i in at)), at)
+    near = {r["doc_id"]: r["near_edited"] for r in winnow.fingerprints_of_edits(frame, k=winnow.BYTES, by="bytes").collect()}
+    assert near[0] > 0 and near[1] > 0
+
+
 def test_edited_texts(unique, unique_rows, monkeypatch):
     monkeypatch.setattr(winnow, "TOGETHER", 7)
     found = {r["doc_id"]: r for r in winnow.fingerprints_of_edits(unique).collect()}
