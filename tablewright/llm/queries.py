@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import mixing, quality, sentence_pieces, simhash, suffix_dedup, token_count, token_files, top_k, warc, winnow
+from tablewright.llm import collocations, mixing, packing, quality, resampling, sentence_pieces, simhash, suffix_dedup, token_count, token_files, top_k, warc, winnow
 from tablewright.llm.common import stored, table, tokenizer_path, words_in
 from tablewright.session import scratch_path
 
@@ -97,6 +97,23 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of two to five words of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"), threshold=100, longest=5, best=2000, absorb=100)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which sequence and place every piece of every document has."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), capacity=2048, ids=False)
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document in a draw towards the benchmark's texts."""
+    docs, target = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = resampling.resample(docs, target, percent=5, min_words=20, longest=3, buckets=10_000, seed=42, keep=["doc_id"])
+    return found.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
 OP2_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS w
@@ -176,6 +193,38 @@ FROM (SELECT ranked.*, source_size, target,
       FROM ranked JOIN targets ON ranked.source IS NOT DISTINCT FROM targets.source)
 """
 
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+runs AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM runs GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM runs),
+grams AS (SELECT lang, w[i:i + m - 1] AS p, len(w[i:i + m - 1]) AS m
+          FROM places, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE i + m - 1 <= len(w)),
+f AS MATERIALIZED (SELECT lang, p, any_value(m) AS m, count(*)::HUGEINT AS a FROM grams GROUP BY lang, p HAVING count(*) >= 100),
+kept AS (
+  SELECT * FROM f c WHERE m > 1 AND NOT EXISTS (
+    SELECT 1 FROM (SELECT lang, a, p[1:m - 1] AS q FROM f WHERE m > 2
+                   UNION ALL SELECT lang, a, p[2:m] AS q FROM f WHERE m > 2) longer
+    WHERE longer.lang = c.lang AND longer.q = c.p AND 100 * longer.a >= 100 * c.a)),
+cuts AS (
+  SELECT c.lang, c.p, c.a, k, x.a AS l, y.a AS r, n, (1000 * c.a * n) // (x.a * y.a) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM kept) c
+  JOIN totals ON totals.lang = c.lang
+  JOIN f x ON x.lang = c.lang AND x.p = c.p[1:k]
+  JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:m]),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, array_to_string(p, ' ') AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(array_to_string(p, ' '))) AS rank
+  FROM lowest)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 QUERIES = {
     "op1_sentence_pieces": op1_sentence_pieces,
     "op2_top_k": op2_top_k,
@@ -187,5 +236,8 @@ QUERIES = {
     "op8_token_files": op8_token_files,
     "op9_warc_revisits": op9_warc_revisits,
     "op10_mixing": op10_mixing,
+    "op11_collocations": op11_collocations,
+    "op12_packing": op12_packing,
+    "op13_resampling": op13_resampling,
 }
-ORACLES = {"op2_top_k": OP2_SQL, "op9_warc_revisits": OP9_SQL, "op10_mixing": OP10_SQL}
+ORACLES = {"op2_top_k": OP2_SQL, "op9_warc_revisits": OP9_SQL, "op10_mixing": OP10_SQL, "op11_collocations": OP11_SQL}
