@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import stored
-from tablewright.llm.token_files import encoder
+from tablewright.llm.token_files import TEXTS, encoder
 
 #: Rows of a batch encoded together, and pieces of one length and group that are ranked in one place.
 ROWS, GROUP = 1000, 1 << 16
@@ -41,7 +41,7 @@ def pieces(docs: DataFrame, path: str, capacity: int, end: int = 0, ids: bool =
         width = len(last)
         for whole in batches:
             for batch in (whole.slice(i, ROWS) for i in range(0, whole.num_rows, ROWS)):
-                units = encoding.cache.over([t or "" for t in batch.column(1).to_pylist()])
+                units = encoding.cache.over([t or "" for t in batch.column(1).to_pylist()], TEXTS)
                 owners, numbers, starts, lengths, sums, lists = [], [], [], [], [], []
                 for row, parts in enumerate(units):
                     raw = b"".join(parts) + last

@@ -206,16 +206,16 @@ grams AS (SELECT lang, w[i:i + m - 1] AS p, len(w[i:i + m - 1]) AS m
           FROM places, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE i + m - 1 <= len(w)),
 f AS MATERIALIZED (SELECT lang, p, any_value(m) AS m, count(*)::HUGEINT AS a FROM grams GROUP BY lang, p HAVING count(*) >= 100),
 kept AS (
-  SELECT * FROM f c WHERE m > 1 AND NOT EXISTS (
+  SELECT * FROM f c WHERE c.m > 1 AND NOT EXISTS (
     SELECT 1 FROM (SELECT lang, a, p[1:m - 1] AS q FROM f WHERE m > 2
                    UNION ALL SELECT lang, a, p[2:m] AS q FROM f WHERE m > 2) longer
     WHERE longer.lang = c.lang AND longer.q = c.p AND 100 * longer.a >= 100 * c.a)),
 cuts AS (
   SELECT c.lang, c.p, c.a, k, x.a AS l, y.a AS r, n, (1000 * c.a * n) // (x.a * y.a) AS score
-  FROM (SELECT *, unnest(range(1, m)) AS k FROM kept) c
+  FROM (SELECT lang, p, m AS size, a, unnest(range(1, m)) AS k FROM kept) c
   JOIN totals ON totals.lang = c.lang
   JOIN f x ON x.lang = c.lang AND x.p = c.p[1:k]
-  JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:m]),
+  JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:size]),
 lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
 ranked AS (
   SELECT *, array_to_string(p, ' ') AS phrase,

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import cuts, discard, range_of, stored
 from tablewright.llm.units import FIRST, UnitCache, spelled
 
-#: Rows of a batch encoded together, units joined into one call, ids aimed at in a segment.
-ROWS, JOINED, SEGMENT = 1000, 100, 1 << 24
+#: Rows of a batch encoded together, texts looked up together, units joined into one call, ids aimed at in a segment.
+ROWS, TEXTS, JOINED, SEGMENT = 1000, 32, 100, 1 << 24
 
 _ENDS = (",", ".")
 _LENGTHS = (np.arange(256)[:, None] >> (2 * np.arange(4)) & 3) + 1
@@ -121,20 +121,30 @@ def encoder(path: str) -> IdEncoder:
 
 
 def encode(docs: DataFrame, path: str, end: int = 0) -> DataFrame:
-    """Rows (doc_id, n_tokens, ids): ids of the whole text and the end id, compressed."""
+    """Rows (doc_id, n_tokens, ids, counts): ids of the whole text and the end id, compressed.
+
+    Each task ends in a row of its own that holds nothing but how often it met each id.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = encoder(path)
         last = np.array([end], dtype=encoding.kind).tobytes()
         press = zstandard.ZstdCompressor(level=1).compress
+        seen = np.zeros(encoding.size, dtype=np.int64)
+        names = ["doc_id", "n_tokens", "ids", "counts"]
         for whole in batches:
             for batch in (whole.slice(i, ROWS) for i in range(0, whole.num_rows, ROWS)):
                 texts = [t or "" for t in batch.column(1).to_pylist()]
-                raw = [b"".join(x) + last for x in encoding.cache.over(texts)]
+                raw = [b"".join(x) + last for x in encoding.cache.over(texts, TEXTS)]
+                seen += np.bincount(np.frombuffer(b"".join(raw), dtype=encoding.kind), minlength=len(seen))
                 sizes = pa.array([len(x) // len(last) for x in raw], type=pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array([press(x) for x in raw], type=pa.binary())], ["doc_id", "n_tokens", "ids"])
+                packed = pa.array([press(x) for x in raw], type=pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0), sizes, packed, pa.nulls(len(raw), pa.binary())], names)
+        counts = pa.array([press(seen.tobytes())], type=pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), counts], names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids binary, counts binary")
 
 
 def _raw(ids: bytes, kind: str) -> np.ndarray:
@@ -149,18 +159,20 @@ def write_ids(docs: DataFrame, path: str, folder: str, end: int = 0) -> None:
     what is known of all of them are one sum for each range and one count for each id.
     """
     spark = docs.sparkSession
-    coded = stored(encode(docs, path, end), "ids")
+    whole = stored(encode(docs, path, end), "ids")
+    coded = whole.where("ids IS NOT NULL").drop("counts")
     size, kind = encoder(path).size, encoder(path).kind
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            for part in (batch.slice(i, ROWS) for i in range(0, batch.num_rows, ROWS)):
-                seen += np.bincount(np.concatenate([_raw(ids.as_py(), kind) for ids in part.column(0)]), minlength=size)
+            for packed in batch.column(0):
+                seen += _raw(packed.as_py(), "<i8")
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["id", "n"])
 
-    counts = coded.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = whole.where("counts IS NOT NULL").select("counts").mapInArrow(count, "id long, n long")
+    counts = counts.groupBy("id").agg(F.sum("n").alias("n"))
     order = Window.orderBy(F.desc("n"), "id")  # one row for each id of the vocabulary
     counts.select((F.row_number().over(order) - 1).alias("rank"), "id").write.parquet(f"{folder}/ranks")
     to_rank = np.zeros(size, dtype=np.uint32)
@@ -185,7 +197,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, end: int = 0) -> None:
     start = F.get(F.lit(before), F.col("segment")) + F.sum("n_tokens").over(upto) - F.col("n_tokens")
     rows = small.withColumn("_tie", F.xxhash64("control", "data")).withColumn("start", start).drop("_tie")
     rows.write.option("compression", "none").partitionBy("segment").parquet(f"{folder}/ids")
-    discard(coded)
+    discard(whole)
 
 
 def read_ids(spark: SparkSession, folder: str, ids: bool = True) -> DataFrame:

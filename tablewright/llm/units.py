@@ -21,11 +21,12 @@ _LOOSE = re.compile(r"(?<=\S)(?= )")
 # fixed values: the white space characters
 _WHITE = [chr(c) for c in (9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)]
 _BEFORE_SPACE = [w + " " for w in _WHITE]
+_ASCII_BEFORE_SPACE = [w for w in _BEFORE_SPACE if w.isascii()]
 
 
 def units(text: str) -> list[str]:
     """The units of a text; of all but the first, the leading space is left out."""
-    if any(w in text for w in _BEFORE_SPACE):
+    if any(w in text for w in (_ASCII_BEFORE_SPACE if text.isascii() else _BEFORE_SPACE)):
         first, *rest = _LOOSE.split(text)
         return [FIRST + first, *(u[1:] for u in rest)]
     found = text.split(" ")
@@ -44,8 +45,14 @@ class UnitCache:
     def __init__(self, make: Callable[[list[str]], Iterable]):
         self.make, self.known = make, {}
 
-    def over(self, texts: list[str]) -> list[list]:
-        """For each text, what is made of its units, in order."""
+    def over(self, texts: list[str], step: int | None = None) -> list[list]:
+        """For each text, what is made of its units, in order.
+
+        ``step`` texts at a time are cut into units and looked up; few leave the strings in the processor's cache,
+        many ask for more new units in one call.
+        """
+        if step and step < len(texts):
+            return [x for i in range(0, len(texts), step) for x in self.over(texts[i : i + step])]
         split = [units(t) for t in texts]
         new = list(set().union(*split).difference(self.known)) if split else []
         if len(self.known) + len(new) > CACHED:
