@@ -163,7 +163,7 @@ def _scan(blocks: DataFrame, rounds, number: int, shards: int, longest: int) ->
     """Counts, in one shard, of the phrases that are open in this round."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reached = rounds.value
+        reached = np.frombuffer(zstandard.ZstdDecompressor().decompress(rounds.value), dtype=np.uint8)
         counts = _Counts()
         for batch in batches:
             for lang, raw, packed in zip(*(c.to_pylist() for c in batch.columns)):
@@ -223,6 +223,11 @@ def _places(rows: DataFrame, places: int) -> np.ndarray:
     return found.column("place").to_numpy()
 
 
+def _sent(spark: SparkSession, places: np.ndarray):
+    """An array over all places for every task, compressed: it is nearly empty while phrases are few."""
+    return spark.sparkContext.broadcast(zstandard.ZstdCompressor(level=1).compress(places.tobytes()))
+
+
 def frequent_phrases(blocks: DataFrame, threshold: int, longest: int, shards: int, places: int = PLACES) -> DataFrame:
     """Rows (words, start, prefix, last, n): every phrase of at most ``longest`` words that occurs
     ``threshold`` times or more, single words included (``prefix`` is then the language's hash).
@@ -236,7 +241,7 @@ def frequent_phrases(blocks: DataFrame, threshold: int, longest: int, shards: in
     previous, open_, number, news = None, None, 0, -1
     # a phrase that shares its place opens one round after its parts did, without a change of the array
     while number <= news + shards + max(0, longest - 2) and number < _NEVER:
-        rounds = spark.sparkContext.broadcast(reached)
+        rounds = _sent(spark, reached)
         counts = _scan(blocks.where(F.col("shard") == number % shards), rounds, number, shards, longest)
         met = counts if open_ is None else open_.unionByName(counts)
         sums = stored(met.groupBy("words", "start", "prefix", "last").agg(F.sum("n").alias("n")), "open")
@@ -251,7 +256,7 @@ def frequent_phrases(blocks: DataFrame, threshold: int, longest: int, shards: in
         if previous is not None:
             discard(previous)
         previous, open_ = sums, sums.where(F.col("start") > number - shards + 1)
-        rounds.unpersist()
+        rounds.destroy()
         number += 1
     discard(previous)
     if number == _NEVER:
@@ -261,16 +266,17 @@ def frequent_phrases(blocks: DataFrame, threshold: int, longest: int, shards: in
 
 def _spelled(blocks: DataFrame, wanted: DataFrame, places: int) -> DataFrame:
     """Rows (last, word) for the wanted hashes of words."""
-    needed = np.zeros(places, dtype=bool)
+    needed = np.zeros(places, dtype=np.uint8)
     as_words = wanted.select(F.lit(1).alias("words"), F.lit(0).alias("start"), F.col("last").alias("prefix"), "last", F.lit(0).cast("long").alias("n"))
-    needed[_places(as_words, places)] = True
-    shared = blocks.sparkSession.sparkContext.broadcast(needed)
+    needed[_places(as_words, places)] = 1
+    shared = _sent(blocks.sparkSession, needed)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        needed = np.frombuffer(zstandard.ZstdDecompressor().decompress(shared.value), dtype=np.uint8)
         for batch in batches:
             for raw, words in zip(*(c.to_pylist() for c in batch.columns)):
                 hashes = np.frombuffer(raw, dtype=np.uint64)[2:]
-                at = np.flatnonzero(shared.value[place_of(hashes, places)])
+                at = np.flatnonzero(needed[place_of(hashes, places)])
                 words = words.split(b"\n")
                 spelled = pa.array([words[i].decode() for i in at], type=pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(hashes[at].view(np.int64)), spelled], ["last", "word"])
