@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import discard, stored
 from tablewright.session import scratch_path
 
-#: Word codes of a block, bytes of text cut into words at once, and counts a task keeps before it hands them on.
-BLOCK, SLICE, HELD = 1 << 20, 1 << 22, 1 << 21
+#: Word codes of a block, rows of a batch and bytes of text cut into words at once, and counts a task keeps before
+#: it hands them on.
+BLOCK, ROWS, SLICE, HELD = 1 << 20, 500, 1 << 20, 1 << 20
 #: Places in the array of rounds (one byte each), whatever the number of phrases.
 PLACES = 1 << 24
 _NEVER = 255
@@ -112,7 +113,7 @@ def coded_blocks(docs: DataFrame, shards: int) -> DataFrame:
                 made += 1
                 yield pa.RecordBatch.from_arrays([pa.array([x], type=t) for x, t in zip(row, types)], names)
 
-        for batch in batches:
+        for batch in (whole.slice(i, ROWS) for whole in batches for i in range(0, whole.num_rows, ROWS)):
             texts = {}
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist()):
                 texts.setdefault(lang, []).append((text or b"").translate(_CLASSES))
@@ -122,7 +123,7 @@ def coded_blocks(docs: DataFrame, shards: int) -> DataFrame:
                     block.add(part)
                     if block.size >= BLOCK:
                         yield from rows([lang])
-            if sum(b.size for b in open_.values()) > 4 * BLOCK:
+            if sum(b.size for b in open_.values()) > 2 * BLOCK:
                 yield from rows(list(open_))
         yield from rows(list(open_))
 
@@ -316,7 +317,7 @@ def cut_score(a: str, n: str, left: str, right: str):
 
 
 def collocations(
-    docs: DataFrame, threshold: int = 100, longest: int = 5, best: int = 2000, absorb: int = 100, shards: int = 4, places: int = PLACES
+    docs: DataFrame, threshold: int = 100, longest: int = 5, best: int = 2000, absorb: int = 100, shards: int = 3, places: int = PLACES
 ) -> DataFrame:
     """Rows (lang, rank, phrase, a, l, r, n, score): each language's ``best`` phrases.
 
@@ -325,7 +326,8 @@ def collocations(
     piece ends. Repeated rows count again; an empty table, or one without frequent phrases, gives no rows.
     A phrase is dropped if it lies in one a word longer that has ``absorb`` percent of its occurrences;
     phrases longer still cannot occur more often, so they need no look of their own. Equal scores are ordered by
-    occurrences, then by the phrase's bytes.
+    occurrences, then by the phrase's bytes. More ``shards`` let longer phrases start earlier; each round
+    shuffles the open counts once.
     """
     spark: SparkSession = docs.sparkSession
     path = scratch_path(spark, "blocks")
