@@ -29,7 +29,7 @@ from tablewright.session import scratch_path
 
 #: Word codes of a block, rows of a batch and bytes of text cut into words at once, and counts a task keeps before
 #: it hands them on.
-BLOCK, ROWS, SLICE, HELD = 1 << 20, 500, 1 << 20, 1 << 20
+BLOCK, ROWS, SLICE, HELD = 1 << 19, 500, 1 << 20, 1 << 19
 #: Places in the array of rounds (one byte each), whatever the number of phrases.
 PLACES = 1 << 24
 _NEVER = 255
@@ -245,6 +245,8 @@ def frequent_phrases(blocks: DataFrame, threshold: int, longest: int, shards: in
         rounds = _sent(spark, reached)
         counts = _scan(blocks.where(F.col("shard") == number % shards), rounds, number, shards, longest)
         met = counts if open_ is None else open_.unionByName(counts)
+        # tasks hand on each phrase about once, so nothing is gained by adding up before the shuffle
+        met = met.repartition("prefix", "last")
         sums = stored(met.groupBy("words", "start", "prefix", "last").agg(F.sum("n").alias("n")), "open")
         often = sums.where(F.col("n") >= threshold)
         often.where(F.col("start") == number - shards + 1).write.mode("append").parquet(folder)
