@@ -319,7 +319,7 @@ def cut_score(a: str, n: str, left: str, right: str):
 
 
 def collocations(
-    docs: DataFrame, threshold: int = 100, longest: int = 5, best: int = 2000, absorb: int = 100, shards: int = 3, places: int = PLACES
+    docs: DataFrame, threshold: int = 100, longest: int = 5, best: int = 2000, absorb: int = 100, shards: int = 2, places: int = PLACES
 ) -> DataFrame:
     """Rows (lang, rank, phrase, a, l, r, n, score): each language's ``best`` phrases.
 
