@@ -260,6 +260,9 @@ def frequent_phrases(blocks: DataFrame, threshold: int, longest: int, shards: in
             discard(previous)
         previous, open_ = sums, sums.where(F.col("start") > number - shards + 1)
         rounds.destroy()
+        del counts, met, sums, often
+        # Spark deletes shuffle files once the driver's collector has found their plans gone
+        spark._jvm.java.lang.System.gc()
         number += 1
     discard(previous)
     if number == _NEVER:
@@ -319,7 +322,7 @@ def cut_score(a: str, n: str, left: str, right: str):
 
 
 def collocations(
-    docs: DataFrame, threshold: int = 100, longest: int = 5, best: int = 2000, absorb: int = 100, shards: int = 2, places: int = PLACES
+    docs: DataFrame, threshold: int = 100, longest: int = 5, best: int = 2000, absorb: int = 100, shards: int = 4, places: int = PLACES
 ) -> DataFrame:
     """Rows (lang, rank, phrase, a, l, r, n, score): each language's ``best`` phrases.
 
