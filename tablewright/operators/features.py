@@ -8,7 +8,7 @@ so transforming stays inside code generation and works on streams as well.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark import keyword_only
@@ -201,37 +201,7 @@ def polynomial_names(names: Sequence[str], degree: int) -> list[str]:
 # ----------------------------------------------------------------- engineered columns
 
 
-@dataclass(frozen=True)
-class EngineeredFeature:
-    """Columns a team adds before preprocessing, with the reason for them.
-
-    ``exprs`` maps each new column to a SQL expression, which a stored pipeline can
-    carry. ``func`` is any DataFrame function; it names the columns it makes in ``makes``
-    and runs as a stage of its own in pipelines that are not stored.
-    """
-
-    name: str
-    exprs: dict[str, str]
-    justification: str
-    author: str = ""
-    numeric: bool = True
-    func: Callable[[DataFrame], DataFrame] | None = None
-    makes: tuple[str, ...] = ()
-
-    def __post_init__(self) -> None:
-        if self.func and not self.makes:
-            raise ValueError(f"feature {self.name!r}: a function must name the columns it makes")
-
-    @property
-    def columns_added(self) -> list[str]:
-        return [*self.exprs, *self.makes]
-
-    def is_complete(self) -> bool:
-        return bool(self.name and (self.exprs or self.func) and self.justification.strip())
-
-
-# Registered per track; empty until someone decides on a feature.
-ENGINEERED: dict[str, EngineeredFeature] = {}
+_NUMBERS = {"tinyint", "smallint", "int", "integer", "bigint", "long", "float", "real", "double", "decimal"}
 
 
 class FunctionStage(Transformer):
@@ -245,51 +215,78 @@ class FunctionStage(Transformer):
         return self.func(df)
 
 
-def hook_stages(feature: EngineeredFeature | None) -> list[Transformer]:
-    """The first pipeline stages: none without a registered feature."""
-    stages: list[Transformer] = []
-    if feature is not None and feature.exprs:
-        exprs = ", ".join(f"{e} AS {quoted(c)}" for c, e in feature.exprs.items())
-        stages.append(SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__"))
-    if feature is not None and feature.func:
-        stages.append(FunctionStage(feature.func))
-    return stages
+@dataclass(frozen=True)
+class AddedColumns:
+    """A pipeline stage that adds columns, with their schema declared up front.
 
+    The declared types say which of the columns are numbers and which are categories, so a pipeline
+    over them can be laid out before any row is read. ``by_sql`` makes a stage that can be stored.
+    """
 
-def apply_feature(df: DataFrame, feature: EngineeredFeature | None) -> DataFrame:
-    """The hook on a plain table; a no-op when nothing is registered."""
-    for stage in hook_stages(feature):
-        df = stage.transform(df)
-    return df
+    stage: Transformer
+    schema: tuple[tuple[str, str], ...]
+    reason: str = ""
+    contact: str = ""
+
+    @staticmethod
+    def by_sql(reason: str = "", contact: str = "", **columns: tuple[str, str]) -> "AddedColumns":
+        """Columns as name=(type, SQL expression); the stage casts each to its declared type."""
+        cells = [f"CAST({expr} AS {kind}) AS {quoted(name)}" for name, (kind, expr) in columns.items()]
+        stage = SQLTransformer(statement=f"SELECT {', '.join(['*', *cells])} FROM __THIS__")
+        return AddedColumns(stage, tuple((name, kind) for name, (kind, _) in columns.items()), reason, contact)
+
+    @property
+    def names(self) -> list[str]:
+        return [name for name, _ in self.schema]
+
+    def split_by_type(self) -> tuple[list[str], list[str]]:
+        numbers = [name for name, kind in self.schema if kind.lower().split("(")[0].strip() in _NUMBERS]
+        return numbers, [n for n in self.names if n not in numbers]
+
+    def applied(self, df: DataFrame) -> DataFrame:
+        """The table with the columns; refuses a stage that does not add what was declared."""
+        out = self.stage.transform(df)
+        missing = set(self.names) - set(out.columns)
+        if missing:
+            raise ValueError(f"declared but not added: {sorted(missing)}")
+        return out
+
+
+# Per track; nothing is added unless a track has an entry.
+ENGINEERED: dict[str, AddedColumns] = {}
+
+
+def hook_stages(added: AddedColumns | None) -> list[Transformer]:
+    """The first pipeline stages: none where nothing is added."""
+    return [] if added is None else [added.stage]
+
+
+def apply_feature(df: DataFrame, added: AddedColumns | None) -> DataFrame:
+    return df if added is None else added.applied(df)
 
 
 def with_feature(
-    numeric: Sequence[str], categorical: Sequence[str], feature: EngineeredFeature | None
+    numeric: Sequence[str], categorical: Sequence[str], added: AddedColumns | None
 ) -> tuple[list[str], list[str]]:
-    """Input lists including the engineered columns, which would be dropped otherwise."""
-    added = feature.columns_added if feature else []
-    if feature and feature.numeric:
-        return [*numeric, *added], list(categorical)
-    return list(numeric), [*categorical, *added]
-
-
-def hook_status(spark, features: dict[str, EngineeredFeature], tracks: Sequence[str]) -> DataFrame:
-    """(track, state, detail): AWAITING INPUT, INCOMPLETE or COMPLETE."""
-    known = [
-        (t, f.name, f.author, ", ".join(f.columns_added), f.is_complete())
-        for t, f in features.items()
-        if f is not None
-    ]
-    facts = local_table(spark, known, "track string, name string, author string, adds string, whole boolean")
+    """Input lists with the added columns, by their declared types."""
+    numbers, texts = added.split_by_type() if added else ([], [])
+    return [*numeric, *numbers], [*categorical, *texts]
+
+
+def hook_status(spark, added: Mapping[str, AddedColumns], tracks: Sequence[str]) -> DataFrame:
+    """(track, state, detail): AWAITING INPUT, INCOMPLETE (no column or no reason) or COMPLETE."""
+    facts = [(t, ", ".join(a.names), a.reason.strip(), a.contact) for t, a in added.items() if a is not None]
+    known_ = local_table(spark, facts, "track string, adds string, reason string, contact string")
     wanted = local_table(spark, [(i, t) for i, t in enumerate(tracks)], "place int, track string")
-    state = F.when(F.col("whole"), "COMPLETE").when(~F.col("whole"), "INCOMPLETE").otherwise("AWAITING INPUT")
-    by = F.when(F.col("author") != "", F.concat(F.lit(", by "), "author")).otherwise("")
+    whole = (F.col("adds") != "") & (F.col("reason") != "")
+    state = F.when(whole, "COMPLETE").when(~whole, "INCOMPLETE").otherwise("AWAITING INPUT")
+    by = F.when(F.col("contact") != "", F.concat(F.lit(", by "), "contact")).otherwise("")
     detail = (
-        F.when(F.col("whole"), F.concat(F.lit("adds "), "adds", by))
-        .when(~F.col("whole"), F.concat("name", F.lit(": give it columns and a reason")))
+        F.when(whole, F.concat(F.lit("adds "), "adds", by))
+        .when(~whole, "give it columns and a reason")
         .otherwise("nothing registered for this track")
     )
-    return wanted.join(facts, "track", "left").orderBy("place").select(
+    return wanted.join(known_, "track", "left").orderBy("place").select(
         "track", state.alias("state"), detail.alias("detail")
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
@@ -47,11 +47,11 @@ class ModelSpec:
     grid: Mapping[str, Sequence] = field(default_factory=dict)
     scale: bool = True
     degree: int | None = None
+    # of least squares: params -> ridge penalty of the sum, l1 and l2 penalties of the mean of squares
+    penalty: Callable[[Params], Mapping[str, float]] | None = None
 
     def with_params(self, **changes) -> "ModelSpec":
-        return ModelSpec(
-            self.name, self.make, {**self.defaults, **changes}, self.grid, self.scale, self.degree
-        )
+        return replace(self, defaults={**self.defaults, **changes})
 
     @property
     def preparation(self) -> tuple[bool, int | None]:
@@ -66,7 +66,7 @@ class Inputs:
     categorical: tuple[str, ...]
     label: str
     key: str = "row_id"
-    feature: fe.EngineeredFeature | None = None
+    feature: fe.AddedColumns | None = None
 
     def preparation(self, scale: bool, degree: int | None) -> list:
         numeric, categorical = fe.with_feature(self.numeric, self.categorical, self.feature)
@@ -148,19 +148,20 @@ def _least_squares(p: Params, label: str, features: str) -> Estimator:
 
 
 def polynomial(degree: int) -> ModelSpec:
-    return ModelSpec(polynomial_name(degree), _least_squares, degree=degree)
+    return ModelSpec(polynomial_name(degree), _least_squares, degree=degree, penalty=lambda p: {})
 
 
 def regressors(degree: int = 2, **changes: Params) -> dict[str, ModelSpec]:
     """All ten by name. ``changes`` maps a model family to other settings, such as
     ``forest={'n_estimators': 20, 'max_depth': 10}`` for a bounded run."""
     specs = {
-        "linear": ModelSpec(LINEAR, _least_squares),
+        "linear": ModelSpec(LINEAR, _least_squares, penalty=lambda p: {}),
         "ridge": ModelSpec(
             RIDGE,
             lambda p, y, x: PenalisedRegression(penalty="ridge", alpha=p["alpha"], featuresCol=x, labelCol=y),
             {"alpha": 1.0},
             {"alpha": [0.01, 0.1, 1.0, 10.0, 100.0]},
+            penalty=lambda p: {"ridge": p["alpha"]},
         ),
         "lasso": ModelSpec(
             LASSO,
@@ -169,6 +170,7 @@ def regressors(degree: int = 2, **changes: Params) -> dict[str, ModelSpec]:
             ),
             {"alpha": 0.01},
             {"alpha": _ALPHAS},
+            penalty=lambda p: {"l1": p["alpha"]},
         ),
         "elastic": ModelSpec(
             ELASTIC,
@@ -177,6 +179,7 @@ def regressors(degree: int = 2, **changes: Params) -> dict[str, ModelSpec]:
             ),
             {"alpha": 0.01, "l1_ratio": 0.5},
             {"alpha": _ALPHAS, "l1_ratio": [0.1, 0.5, 0.9]},
+            penalty=lambda p: {"l1": p["alpha"] * p["l1_ratio"], "l2": p["alpha"] * (1 - p["l1_ratio"])},
         ),
         "polynomial": polynomial(degree),
         "tree": ModelSpec(

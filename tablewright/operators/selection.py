@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import col
 from ..session import fetched, local_table
+from . import gram
 from .knn import NearestNeighboursModel
 from .metrics import classification_metrics, label_metrics, ranked, regression_metrics
 from .models import FittingRoom, Inputs, ModelSpec, fit_all, predictions, score_sources
@@ -88,7 +89,20 @@ def _fold_metric(scored: DataFrame, scoring: str, by: Sequence[str]) -> DataFram
 def fold_scores(
     specs: Mapping[str, ModelSpec], rows: DataFrame, inputs: Inputs, scoring: str, folds: int
 ) -> DataFrame:
-    """(model, fold, score): every model refitted, preparation included, without each fold."""
+    """(model, fold, score): every model refitted, preparation included, without each fold.
+
+    Least squares of all folds and penalties come from one scan's sums of products; other models
+    are fitted fold by fold.
+    """
+    linear = [s for s in specs.values() if scoring == R2 and gram.supported(s)]
+    found = gram.scores(linear, rows, inputs, folds) if linear else None
+    done = None
+    if found is not None:
+        held = [(linear[i].name, k, score) for i, k, part, score, _ in found if part == "test"]
+        done = _small(rows.sparkSession, held, "model string, fold int, score double")
+        specs = {n: s for n, s in specs.items() if not gram.supported(s)}
+        if not specs:
+            return done
     parts = []
     for k in range(folds):
         held = rows.where(F.col("fold") == k)
@@ -97,7 +111,8 @@ def fold_scores(
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
-    return _fold_metric(scored, scoring, ["model", "fold"])
+    scores = _fold_metric(scored, scoring, ["model", "fold"])
+    return scores if done is None else scores.unionByName(done)
 
 
 def cross_validation_table(scores: DataFrame, scoring: str) -> DataFrame:
@@ -195,8 +210,14 @@ def grid_search(
     """
     points = points or grid_points(spec)
     spark = rows.sparkSession
-    scored, times = None, []
-    for k in range(folds):
+    scored, times = [], []
+    found = None
+    if scoring == R2 and gram.supported(spec):
+        found = gram.scores([spec.with_params(**p) for p in points], rows, inputs, folds)
+    if found is not None:
+        scored = [r[:4] for r in found]
+        times = [(i, k, round(s, 6)) for i, k, part, _, s in found if part == "test"]
+    for k in range(folds if found is None else 0):
         train = rows.where(F.col("fold") != k)
         parts = {"test": rows.where(F.col("fold") == k), "train": train}
         with FittingRoom(train, inputs) as room:
@@ -210,7 +231,7 @@ def grid_search(
                     times.append((i, k, round(fit_s, 3)))
             # one job scores all points of the fold; its few result rows are kept
             result = _fold_metric(fold_rows, scoring, ["point", "fold", "part"]).collect()
-        scored = [*(scored or []), *[(r["point"], r["fold"], r["part"], r["score"]) for r in result]]
+        scored = [*scored, *[(r["point"], r["fold"], r["part"], r["score"]) for r in result]]
     trace = _small(spark, scored, "point int, fold int, part string, score double")
     names = _small(spark, [(i, json.dumps(p)) for i, p in enumerate(points)], "point int, params string")
     seconds = _small(spark, times, "point int, fold int, fit_seconds double")

@@ -131,6 +131,39 @@ def elastic_net(name: str, rows: str, terms: Sequence[str], alpha: float, ratio:
     return f"{_moments(name, rows, terms)},\n{solve},\n{_predicted(name, k)}"
 
 
+def penalty_points(name: str, rows: str, terms: Sequence[str], points: Sequence[tuple], sweeps: int = 12) -> str:
+    """``{name}`` = rows with predictions p for every point (model, point, ridge, l1, l2).
+
+    One table of moments serves all points: those without l1 are solved directly, the others by
+    coordinate descent written out sweep by sweep.
+    """
+    k = len(terms)
+    values = ", ".join(f"('{m}', {i}, {r!r}::DOUBLE, {a!r}::DOUBLE, {b!r}::DOUBLE)" for m, i, r, a, b in points)
+
+    def cell(i: int, j: int) -> str:
+        return f"({_cell(i, j)} + ridge / n + l2)" if i == j else _cell(i, j)
+
+    direct = _layered(f"{name}_q", f"{name}_mq", _cholesky(k, cell, lambda i: f"r{i}"))
+    current, layers = {i: "0.0::DOUBLE" for i in range(1, k + 1)}, []
+    for s in range(sweeps):
+        for j in range(1, k + 1):
+            rest = "".join(f" - {_cell(i, j)} * {current[i]}" for i in range(1, k + 1) if i != j)
+            layers.append([f"r{j}{rest} AS g{s}_{j}"])
+            layers.append([f"sign(g{s}_{j}) * greatest(abs(g{s}_{j}) - l1, 0) / (c{j}_{j} + l2) AS v{s}_{j}"])
+            current[j] = f"v{s}_{j}"
+    layers.append([f"{current[i]} AS b{i}" for i in range(1, k + 1)])
+    bs, zs = ", ".join(f"b{i}" for i in range(1, k + 1)), " + ".join(f"b{i} * z{i}" for i in range(1, k + 1))
+    centre = " - ".join(["ay", *[f"b{i} * a{i}" for i in range(1, k + 1)]])
+    return f"""{_moments(name, rows, terms)},
+{name}_mp AS MATERIALIZED (SELECT * FROM {name}_m, (VALUES {values}) AS v(model, point, ridge, l1, l2)),
+{name}_mq AS MATERIALIZED (SELECT * FROM {name}_mp WHERE l1 = 0),
+{name}_ml AS MATERIALIZED (SELECT * FROM {name}_mp WHERE l1 > 0),
+{direct}, {_layered(f"{name}_l", f"{name}_ml", layers)},
+{name}_b AS MATERIALIZED (SELECT grp, model, point, {bs}, {centre} AS b0 FROM {name}_q
+  UNION ALL SELECT grp, model, point, {bs}, {centre} AS b0 FROM {name}_l),
+{name} AS (SELECT z.grp, z.is_train, z.y, b.model, b.point, b0 + {zs} AS p FROM {name}_z z JOIN {name}_b b USING (grp))"""
+
+
 def logistic(name: str, rows: str, k: int, penalty: float, rounds: int = 14) -> str:
     """Newton steps written out; ``{name}`` = rows with the probability of class 1."""
     parts = [

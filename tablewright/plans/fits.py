@@ -6,6 +6,9 @@ agree; trees, ensembles and kernel machines are checked by the test suite.
 
 from __future__ import annotations
 
+import itertools
+from collections import Counter
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -471,29 +474,32 @@ def feature_names(spark, sf):
     return local_table(spark, list(enumerate(names)), "position int, name string")
 
 
+# Products of the five inputs up to the second degree, in the order the expansion emits them: its name, and SQL.
+_PAIRS = [
+    (" ".join(_NAMES[i] if p == 1 else f"{_NAMES[i]}^{p}" for i, p in sorted(Counter(t).items())), " * ".join(f"x{i + 1}" for i in t))
+    for n in (1, 2)
+    for t in itertools.combinations_with_replacement(range(5), n)
+]
+
+
 @query(
     "f7_polynomial_terms",
-    _REG_SRC
-    + " SELECT row_id, round(x1, 6) AS t0, round(x1 * x1, 6) AS t1, round(x2, 6) AS t2, round(x1 * x2, 6) AS t3, round(x2 * x2, 6) AS t4 FROM d",
+    _REG_SRC + " SELECT row_id, " + ", ".join(f"round({e}, 6) AS t{i}" for i, (_, e) in enumerate(_PAIRS)) + " FROM d",
 )
 def polynomial_terms(spark, sf):
+    """All twenty expanded terms of every row."""
     rows = reg_rows(spark, sf)
     with models.FittingRoom(_train(rows), REG) as room:
         model, _ = room.prepared(True, 2)
     names = features.feature_names(model)
-    wanted = ["l_quantity", "l_quantity^2", "l_extendedprice", "l_quantity l_extendedprice", "l_extendedprice^2"]
     x = vector_to_array(models.EXPANDED)
     return model.transform(rows).select(
-        "row_id", *[rounded(x[names.index(n)], 6).alias(f"t{i}") for i, n in enumerate(wanted)]
+        "row_id", *[rounded(x[names.index(n)], 6).alias(f"t{i}") for i, (n, _) in enumerate(_PAIRS)]
     )
 
 
-RATE = features.EngineeredFeature(
-    name="rate",
-    exprs={"rate": "(1 - l_discount) * (1 + l_tax)"},
-    justification="price changes multiply",
-    author="fixture",
-)
+def rate() -> features.AddedColumns:
+    return features.AddedColumns.by_sql("price changes multiply", rate=("double", "(1 - l_discount) * (1 + l_tax)"))
 
 
 @query(
@@ -507,7 +513,7 @@ RATE = features.EngineeredFeature(
     ),
 )
 def engineered_feature(spark, sf):
-    inputs = models.Inputs(tuple(NUMERIC), tuple(REG_CATEGORICAL), REG_TARGET, feature=RATE)
+    inputs = models.Inputs(tuple(NUMERIC), tuple(REG_CATEGORICAL), REG_TARGET, feature=rate())
     return _reg_scores(spark, sf, models.LINEAR, inputs)
 
 
@@ -570,14 +576,18 @@ def linear_coefficients(spark, sf):
     "l2_odds_ratios",
     f"{_CLF_SRC}, {checking.logistic('lr', 'd', 7, 1.0)} "
     + " UNION ALL ".join(
-        f"SELECT '{n}' AS feature, round(w{i}, 3) AS coefficient_log_odds FROM lr_14" for i, n in enumerate(_CNAMES, 1)
+        f"SELECT '{n}' AS feature, round(w{i}, 3) AS coefficient_log_odds, round(exp(w{i}), 2) AS odds_ratio FROM lr_14" for i, n in enumerate(_CNAMES, 1)
     ),
 )
 def odds_ratios(spark, sf):
     rows, fitted = _fit_clf(spark, sf, models.LOGISTIC)
     out = explain.odds_ratios(fitted[models.LOGISTIC])
     rows.unpersist()
-    return out.select("feature", rounded(F.col("coefficient_log_odds"), 3).alias("coefficient_log_odds"))
+    return out.select(
+        "feature",
+        rounded(F.col("coefficient_log_odds"), 3).alias("coefficient_log_odds"),
+        rounded(F.col("odds_ratio"), 2).alias("odds_ratio"),
+    )
 
 
 @query(
@@ -631,7 +641,8 @@ def _degree_sql() -> str:
     rows = " UNION ALL ".join(
         f"""SELECT {d} AS degree, {n} AS n_expanded_terms,
         round(1 - sum((y - p) ** 2) FILTER (is_train) / (count(*) FILTER (is_train) * var_pop(y) FILTER (is_train)), 8) AS "train_R2",
-        round(1 - sum((y - p) ** 2) FILTER (NOT is_train) / (count(*) FILTER (NOT is_train) * var_pop(y) FILTER (NOT is_train)), 8) AS "test_R2"
+        round(1 - sum((y - p) ** 2) FILTER (NOT is_train) / (count(*) FILTER (NOT is_train) * var_pop(y) FILTER (NOT is_train)), 8) AS "test_R2",
+        round(sqrt(avg((y - p) ** 2) FILTER (NOT is_train)), 3) AS "test_RMSE", round(avg(abs(y - p)) FILTER (NOT is_train), 3) AS "test_MAE"
         FROM p{d}"""
         for d, n in ((1, 5), (2, 20))
     )
@@ -646,6 +657,7 @@ def polynomial_degrees(spark, sf):
     return out.select(
         "degree", "n_expanded_terms",
         rounded(F.col("train_R2"), 8).alias("train_R2"), rounded(F.col("test_R2"), 8).alias("test_R2"),
+        rounded(F.col("test_RMSE"), 3).alias("test_RMSE"), rounded(F.col("test_MAE"), 3).alias("test_MAE"),
     )
 
 
@@ -703,24 +715,38 @@ def _fold_r2(rows: str, model: str) -> str:
     FROM {rows} WHERE NOT is_train GROUP BY grp"""
 
 
+# The least squares models of the registry as (model, point, ridge, l1, l2): baseline settings, and grids.
+_LINEAR_FAMILY = (models.LINEAR, models.RIDGE, models.LASSO, models.ELASTIC, models.polynomial_name(2))
+_TUNED = (models.RIDGE, models.LASSO, models.ELASTIC)
+
+
+def _penalties(spec: models.ModelSpec, point: int) -> tuple:
+    found = spec.penalty(spec.defaults)
+    return (spec.name, point, *(float(found.get(k, 0.0)) for k in ("ridge", "l1", "l2")))
+
+
+def _grid_points() -> list[tuple]:
+    specs = models.regressors()
+    return [
+        _penalties(specs[n].with_params(**p), i) for n in _TUNED for i, p in enumerate(selection.grid_points(specs[n]))
+    ]
+
+
 @query(
     "k1_cross_validation",
     _CV_SRC
     + ", "
-    + checking.least_squares("ols", "d", _X5)
-    + ", "
-    + checking.least_squares("rdg", "d", _X5, ridge=1.0)
+    + checking.penalty_points("lin", "d", _X5, [_penalties(models.regressors()[n], 0) for n in _LINEAR_FAMILY[:-1]])
     + ", "
-    + checking.elastic_net("las", "d", _X5, 0.01, 1.0)
-    + ", fs AS ("
-    + " UNION ALL ".join(
-        [_fold_r2("ols", models.LINEAR), _fold_r2("rdg", models.RIDGE), _fold_r2("las", models.LASSO)]
-    )
+    + checking.least_squares("pol", "d", checking.monomials(5, 2, [5]))
+    + ", fs AS (SELECT model, grp AS fold, 1 - sum((y - p) ** 2) / (count(*) * var_pop(y)) AS score FROM lin"
+    + " WHERE NOT is_train GROUP BY ALL UNION ALL "
+    + _fold_r2("pol", models.polynomial_name(2))
     + """) SELECT model, 'r2' AS scoring, count(*) AS folds, round(avg(score), 8) AS "CV_mean", round(stddev_pop(score), 8) AS "CV_std" FROM fs GROUP BY 1""",
 )
 def cross_validation(spark, sf):
     rows = _cv_rows(spark, sf)
-    specs = {n: s for n, s in models.regressors().items() if n in (models.LINEAR, models.RIDGE, models.LASSO)}
+    specs = {n: s for n, s in models.regressors().items() if n in _LINEAR_FAMILY}
     out = fetched(selection.cross_validate(specs, rows, REG, selection.R2))
     rows.unpersist()
     return out.select(
@@ -728,50 +754,49 @@ def cross_validation(spark, sf):
     )
 
 
-_GRID = [1.0, 100.0, 10000.0]
-
-
 def _grid_trace_sql() -> str:
-    fits = [checking.least_squares(f"g{i}", "d", _X5, ridge=a) for i, a in enumerate(_GRID)]
-    scores = " UNION ALL ".join(
-        f"""SELECT {i} AS point, grp AS fold, CASE WHEN is_train THEN 'train' ELSE 'test' END AS part,
-        1 - sum((y - p) ** 2) / (count(*) * var_pop(y)) AS score FROM g{i} GROUP BY ALL"""
-        for i in range(len(_GRID))
-    )
-    return f"{_CV_SRC}, {', '.join(fits)}, trace AS ({scores})"
+    return f"""{_CV_SRC}, {checking.penalty_points("g", "d", _X5, _grid_points())}, trace AS (
+    SELECT model, point, grp AS fold, CASE WHEN is_train THEN 'train' ELSE 'test' END AS part,
+    1 - sum((y - p) ** 2) / (count(*) * var_pop(y)) AS score FROM g GROUP BY ALL)"""
 
 
-def _grid(spark, sf):
+def _grids(spark, sf):
+    """Traces of every grid of the least squares models: 21 points of the registry, five folds each."""
     rows = _cv_rows(spark, sf)
-    trace, best = selection.grid_search(
-        models.regressors()[models.RIDGE], rows, REG, selection.R2, points=[{"alpha": a} for a in _GRID]
-    )
+    out = [(n, selection.grid_search(models.regressors()[n], rows, REG, selection.R2)[0]) for n in _TUNED]
     rows.unpersist()
-    return trace, best
+    return out
+
+
+def _together(parts):
+    out = None
+    for name, part in parts:
+        part = part.withColumn("model", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(
     "a11_grid_trace",
-    _grid_trace_sql() + " SELECT point, fold::INTEGER AS fold, part, round(score, 8) AS score FROM trace",
+    _grid_trace_sql() + " SELECT model, point, fold::INTEGER AS fold, part, round(score, 8) AS score FROM trace",
 )
 def grid_trace(spark, sf):
-    trace, _ = _grid(spark, sf)
-    return trace.select("point", "fold", "part", rounded(F.col("score"), 8).alias("score"))
+    trace = _together(_grids(spark, sf))
+    return trace.select("model", "point", "fold", "part", rounded(F.col("score"), 8).alias("score"))
 
 
 @query(
     "k5_k6_grid_summary",
     _grid_trace_sql()
-    + """, s AS (SELECT point, avg(score) FILTER (part = 'test') AS mt, stddev_pop(score) FILTER (part = 'test') AS st,
-    avg(score) FILTER (part = 'train') AS mr FROM trace GROUP BY 1)
-    SELECT point, round(mt, 8) AS mean_test_score, round(st, 8) AS std_test_score, round(mr, 8) AS mean_train_score,
-    rank() OVER (ORDER BY mt DESC)::INTEGER AS rank_test_score FROM s""",
+    + """, s AS (SELECT model, point, avg(score) FILTER (part = 'test') AS mt, stddev_pop(score) FILTER (part = 'test') AS st,
+    avg(score) FILTER (part = 'train') AS mr FROM trace GROUP BY 1, 2)
+    SELECT model, point, round(mt, 8) AS mean_test_score, round(st, 8) AS std_test_score, round(mr, 8) AS mean_train_score,
+    rank() OVER (PARTITION BY model ORDER BY mt DESC)::INTEGER AS rank_test_score FROM s""",
 )
 def grid_summary(spark, sf):
-    trace, _ = _grid(spark, sf)
-    out = selection.grid_summary(trace)
+    out = _together((n, selection.grid_summary(t)) for n, t in _grids(spark, sf))
     return out.select(
-        "point", "rank_test_score",
+        "model", "point", "rank_test_score",
         *[rounded(F.col(c), 8).alias(c) for c in ("mean_test_score", "std_test_score", "mean_train_score")],
     )
 

@@ -132,7 +132,7 @@ def run_regression(
     key: str = "row_id",
     mode: str = "full",
     settings: Mapping[str, Mapping] | None = None,
-    feature: features.EngineeredFeature | None = None,
+    feature: features.AddedColumns | None = None,
     only: Sequence[str] | None = None,
 ) -> dict[str, str]:
     """Every stage of the regression track; tables and models are written under ``out``.
@@ -198,7 +198,7 @@ def run_classification(
     key: str = "row_id",
     mode: str = "full",
     settings: Mapping[str, Mapping] | None = None,
-    feature: features.EngineeredFeature | None = None,
+    feature: features.AddedColumns | None = None,
     only: Sequence[str] | None = None,
 ) -> dict[str, str]:
     """Every stage of the classification track, stratified on the target."""

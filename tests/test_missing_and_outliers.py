@@ -1,5 +1,7 @@
 """NaN counts as missing, outliers stay cheap, and function features reach a model."""
 
+from decimal import Decimal
+
 import hashlib
 
 import pytest
@@ -60,21 +62,25 @@ def test_histogram_lists_short_runs_of_empty_bins(spark):
     assert got == [(0, 1), (1, 1), *[(b, 0) for b in range(2, 9)], (9, 2)]
 
 
-def test_function_features_run_in_pipelines(spark):
+def test_added_columns_of_both_kinds_run_in_pipelines(spark):
     rows = spark.createDataFrame([(1.0, 2.0), (3.0, 4.0)], "a double, b double")
-    feature = features.EngineeredFeature(
-        "area", {"half": "a / 2"}, "sizes multiply", func=lambda df: df.withColumn("ab", F.col("a") * F.col("b")), makes=("ab",)
-    )
-    numeric, _ = features.with_feature(["a", "b"], [], feature)
-    assert numeric == ["a", "b", "half", "ab"]
-    stages = [*features.hook_stages(feature), features.TabularFeatures(numeric=numeric, scale=False)]
+    stage = features.FunctionStage(lambda df: df.withColumn("ab", F.col("a") * F.col("b")).withColumn("size", F.expr("if(a > 2, 'big', 'small')")))
+    added = features.AddedColumns(stage, (("ab", "double"), ("size", "string")))
+    numeric, texts = features.with_feature(["a", "b"], [], added)
+    assert (numeric, texts) == (["a", "b", "ab"], ["size"])
+    stages = [*features.hook_stages(added), features.TabularFeatures(numeric=numeric, categorical=texts, scale=False)]
     out = Pipeline(stages=stages).fit(rows).transform(rows)
-    assert sorted(tuple(r["features"]) for r in out.collect()) == [(1.0, 2.0, 0.5, 2.0), (3.0, 4.0, 1.5, 12.0)]
+    assert sorted(tuple(r["features"]) for r in out.collect()) == [(1.0, 2.0, 2.0, 1.0), (3.0, 4.0, 12.0, 0.0)]
 
 
-def test_a_function_must_name_its_columns():
-    with pytest.raises(ValueError, match="name the columns"):
-        features.EngineeredFeature("f", {}, "why", func=lambda df: df)
+def test_columns_that_were_declared_must_be_added(spark):
+    rows = spark.createDataFrame([(1.0,)], "a double")
+    added = features.AddedColumns(features.FunctionStage(lambda df: df), (("b", "int"),))
+    with pytest.raises(ValueError, match="not added"):
+        features.apply_feature(rows, added)
+    whole = features.AddedColumns.by_sql("half of it", b=("decimal(9, 2)", "a / 2"), c=("string", "'x'"))
+    assert features.apply_feature(rows, whole).first()["b"] == Decimal("0.50")
+    assert whole.split_by_type() == (["b"], ["c"])
 
 
 def test_sources_of_many_files_are_hashed(spark, tmp_path):

@@ -73,28 +73,37 @@ def test_auc_is_null_without_scores_or_classes(spark):
     assert got == {"a": None, "b": None, "c": 1.0}
 
 
-def test_metrics_are_in_target_units(spark):
-    y = np.array([10.0, 20.0, 30.0, 40.0])
-    r = metrics.regression_metrics(_frame(spark, model=["m"] * 4, y=y, p=y + 2)).first()
-    assert (r["MAE"], r["RMSE"]) == (2.0, 2.0)
-
-
-def test_precision_and_recall_of_the_positive_class(spark):
-    r = metrics.label_metrics(
-        _frame(spark, model=["m"] * 6, y=[0, 0, 0, 0, 1, 1], p=[0, 0, 0, 0, 1, 0])
-    ).first()
-    assert (r["Recall_failure"], r["Precision_failure"]) == (0.5, 1.0)
-
-
-def test_undefined_scores_are_zero(spark):
-    r = metrics.label_metrics(_frame(spark, model=["m"] * 3, y=[0, 0, 0], p=[0, 0, 0])).first()
-    assert (r["Precision_failure"], r["Recall_failure"], r["F1_failure"], r["F1_weighted"]) == (0, 0, 0, 1.0)
-
-
-def test_majority_baseline(spark):
-    rows = [("train", 0)] * 95 + [("train", 1)] * 5 + [("test", 0)] * 19 + [("test", 1)]
+@pytest.mark.parametrize("factor", [1.0, 250.0])
+def test_errors_scale_with_the_target_and_r2_does_not(spark, factor):
+    rng = np.random.default_rng(11)
+    y = rng.normal(50, 9, 300) * factor
+    p = y + rng.normal(0, 3, 300) * factor
+    r = metrics.regression_metrics(_frame(spark, model=["m"] * 300, y=y, p=p)).first()
+    assert r["RMSE"] == pytest.approx(np.sqrt(np.mean((y - p) ** 2))) and r["MAE"] == pytest.approx(np.mean(np.abs(y - p)))
+    assert r["R2"] == pytest.approx(1 - np.var(y - p) / np.var(y), abs=1e-3)
+
+
+def test_label_scores_from_the_counts_of_a_random_table(spark):
+    rng = np.random.default_rng(12)
+    y, p = rng.integers(0, 2, 500), rng.integers(0, 2, 500)
+    r = metrics.label_metrics(_frame(spark, model=["m"] * 500, y=y, p=p)).first()
+    hits = np.sum((y == 1) & (p == 1))
+    assert r["Recall_failure"] == pytest.approx(hits / y.sum()) and r["Precision_failure"] == pytest.approx(hits / p.sum())
+    share = lambda c: 2 * np.sum((y == c) & (p == c)) / (np.sum(y == c) + np.sum(p == c))
+    assert r["F1_weighted"] == pytest.approx(sum(share(c) * np.mean(y == c) for c in (0, 1)))
+
+
+def test_scores_without_positive_rows_are_zero(spark):
+    for y, p, f1 in (([0, 0, 0, 0], [0, 0, 0, 0], 1.0), ([0, 0, 0, 0], [1, 1, 1, 1], 0.0)):
+        r = metrics.label_metrics(_frame(spark, model=["m"] * 4, y=y, p=p)).first()
+        assert (r["Precision_failure"], r["Recall_failure"], r["F1_failure"], r["F1_weighted"]) == (0, 0, 0, f1)
+
+
+def test_baseline_takes_the_commonest_training_class(spark):
+    rows = [("train", c) for c in [2] * 5 + [7] * 5 + [1] * 4] + [("test", c) for c in [2, 7, 7, 1, 1, 1, 2, 2]]
     r = metrics.majority_baseline(spark.createDataFrame(rows, "split string, t int"), "t").first()
-    assert r["majority_class"] == 0 and r["baseline_accuracy"] == pytest.approx(0.95)
+    assert r["majority_class"] == 2 and r["baseline_accuracy"] == 3 / 8  # of two equal ones, the smaller
+    assert r["baseline_f1_weighted"] == pytest.approx(3 / 8 * (2 * 3 / 11)) and r["test_rows"] == 8
 
 
 def test_constant_column_has_no_correlation(spark):
