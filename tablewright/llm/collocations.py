@@ -247,7 +247,9 @@ def frequent_phrases(blocks: DataFrame, threshold: int, longest: int, shards: in
         met = counts if open_ is None else open_.unionByName(counts)
         # tasks hand on each phrase about once, so nothing is gained by adding up before the shuffle
         met = met.repartition("prefix", "last")
-        sums = stored(met.groupBy("words", "start", "prefix", "last").agg(F.sum("n").alias("n")), "open")
+        path = scratch_path(spark, "open")
+        met.groupBy("words", "start", "prefix", "last").agg(F.sum("n").alias("n")).write.option("compression", "zstd").parquet(path)
+        sums = spark.read.schema(_ROW).parquet(path)
         often = sums.where(F.col("n") >= threshold)
         often.where(F.col("start") == number - shards + 1).write.mode("append").parquet(folder)
         new = _places(often.where(F.col("words") < longest), places)
