@@ -311,3 +311,46 @@ def test_llm_queries_are_registered():
     names = entry.queries()
     assert "pipeline" in names
     assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+
+
+def test_links_between_copies_of_a_crowd(spark, monkeypatch):
+    """A is like B and B like C, A not like C, among many copies of A: B must keep its link to C."""
+    rng = np.random.default_rng(4)
+    base = [f"w{i}" for i in range(400)]
+    changed = lambda words, spots, tag: [f"{tag}{i}" if i in spots else w for i, w in enumerate(words)]
+    b = changed(base, set(range(0, 8 * 6, 6)), "b")
+    c = changed(b, set(range(203, 203 + 8 * 6, 6)), "c")
+    crowd = [changed(base, {int(rng.integers(300, 400))}, f"x{i}_") for i in range(110)]
+    rows = [(i, " ".join(t)) for i, t in enumerate([base, b, c, *crowd])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = [near_copies.shingles(t.encode(), 5) for _, t in rows]
+    like = lambda x, y: len(np.intersect1d(sets[x], sets[y])) / len(np.union1d(sets[x], sets[y]))
+    assert like(0, 1) >= 0.8 and like(1, 2) >= 0.8 > 0.75 > like(0, 2)
+    for crowd, block in ((32, 128), (8, 16), (10**6, 128)):
+        monkeypatch.setattr(near_copies, "CROWD", crowd)
+        monkeypatch.setattr(near_copies, "BLOCK", block)
+        assert len({r["component"] for r in near_copies.near_copies(frame).collect()}) == 1
+
+
+def test_blocks_link_what_pairs_do():
+    rng = np.random.default_rng(5)
+    pool = np.unique(rng.integers(1 << 60, size=400).astype(np.uint64))
+    sets = [np.sort(rng.choice(pool, size=rng.integers(1, 60), replace=False)) for _ in range(40)]
+    sets += [np.sort(np.append(s[1:], s[:1])) if i % 2 else s[:-1] for i, s in enumerate(sets) if len(s) > 5]
+    a, b = near_copies.alike_within(sets, 0.8)
+    root = list(range(len(sets)))
+    for x, y in [*zip(a, b)]:
+        root = [root[x] if r == root[y] else r for r in root]
+    whole = list(range(len(sets)))
+    for x in range(len(sets)):
+        for y in range(x):
+            both = len(np.intersect1d(sets[x], sets[y]))
+            if both >= 0.8 * (len(sets[x]) + len(sets[y]) - both):
+                whole = [whole[x] if r == whole[y] else r for r in whole]
+    groups = lambda r: sorted(sorted(i for i in range(len(r)) if r[i] == g) for g in set(r))
+    assert groups(root) == groups(whole) and len(set(whole)) < len(whole)
+    assert len(a) == len(sets) - len(set(whole))
+
+
+def test_no_near_copies_of_nothing(spark, nothing):
+    assert near_copies.near_copies(nothing).count() == 0
