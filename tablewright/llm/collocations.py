@@ -33,7 +33,8 @@ BLOCK, ROWS, SLICE, HELD = 1 << 19, 500, 1 << 20, 1 << 19
 #: Places in the array of rounds (one byte each), whatever the number of phrases.
 PLACES = 1 << 24
 _NEVER = 255
-_ROW = "words int, start int, prefix long, last long, n long"
+#: ``kind`` holds the number of words in its last three bits and the round a phrase opened in above them.
+_ROW = "kind int, prefix long, last long, n long"
 _CLASSES = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -142,22 +143,22 @@ class _Counts:
         if n is None:
             key, at, n = np.unique(key, return_index=True, return_counts=True)
             start, prefix, last = start[at], prefix[at], last[at]
-        start = np.broadcast_to(np.asarray(start, dtype=np.int32), key.shape)
-        self.parts.append((np.full(len(key), words, dtype=np.int32), start, prefix, last, key, n))
+        kind = np.broadcast_to(np.asarray(start, dtype=np.int32) * 8 + words, key.shape)
+        self.parts.append((kind, prefix, last, key, n))
         self.held += len(key)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         if not self.parts:
             return
-        words, start, prefix, last, key, n = (np.concatenate(x) for x in zip(*self.parts))
+        kind, prefix, last, key, n = (np.concatenate(x) for x in zip(*self.parts))
         self.parts, self.held = [], 0
         order = np.argsort(key, kind="stable")
         first = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
         n = np.add.reduceat(n[order], first)
         at = order[first]
-        columns = [words[at], start[at], prefix[at].view(np.int64), last[at].view(np.int64), n.astype(np.int64)]
+        columns = [kind[at].astype(np.int32), prefix[at].view(np.int64), last[at].view(np.int64), n.astype(np.int64)]
         for i in range(0, len(at), 1 << 16):
-            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 16)]) for c in columns], ["words", "start", "prefix", "last", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 16)]) for c in columns], ["kind", "prefix", "last", "n"])
 
 
 def _scan(blocks: DataFrame, rounds, number: int, shards: int, longest: int) -> DataFrame:
@@ -205,8 +206,8 @@ def _with_key(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words, prefix, last = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("words", "prefix", "last"))
-            key = np.where(words == 1, last, joined_key(prefix.view(np.uint64), last.view(np.uint64)).view(np.int64))
+            kind, prefix, last = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("kind", "prefix", "last"))
+            key = np.where(kind & 7 == 1, last, joined_key(prefix.view(np.uint64), last.view(np.uint64)).view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(key)], [*batch.schema.names, "key"])
 
     return rows.mapInArrow(run, f"{_ROW}, key long")
@@ -230,7 +231,7 @@ def _sent(spark: SparkSession, places: np.ndarray):
 
 
 def frequent_phrases(blocks: DataFrame, threshold: int, longest: int, shards: int, places: int = PLACES) -> DataFrame:
-    """Rows (words, start, prefix, last, n): every phrase of at most ``longest`` words that occurs
+    """Rows (kind, prefix, last, n): every phrase of at most ``longest`` words that occurs
     ``threshold`` times or more, single words included (``prefix`` is then the language's hash).
 
     Each round's open counts are a stored table, so a lost executor costs one round.
@@ -239,6 +240,7 @@ def frequent_phrases(blocks: DataFrame, threshold: int, longest: int, shards: in
     folder = scratch_path(spark, "phrases")
     spark.createDataFrame([], _ROW).write.parquet(folder)
     reached = np.full(places, _NEVER, dtype=np.uint8)
+    words, start = F.col("kind").bitwiseAND(F.lit(7)), F.shiftright("kind", 3)
     previous, open_, number, news = None, None, 0, -1
     # a phrase that shares its place opens one round after its parts did, without a change of the array
     while number <= news + shards + max(0, longest - 2) and number < _NEVER:
@@ -248,11 +250,11 @@ def frequent_phrases(blocks: DataFrame, threshold: int, longest: int, shards: in
         # tasks hand on each phrase about once, so nothing is gained by adding up before the shuffle
         met = met.repartition("prefix", "last")
         path = scratch_path(spark, "open")
-        met.groupBy("words", "start", "prefix", "last").agg(F.sum("n").alias("n")).write.option("compression", "zstd").parquet(path)
+        met.groupBy("kind", "prefix", "last").agg(F.sum("n").alias("n")).write.option("compression", "zstd").parquet(path)
         sums = spark.read.schema(_ROW).parquet(path)
         often = sums.where(F.col("n") >= threshold)
-        often.where(F.col("start") == number - shards + 1).write.mode("append").parquet(folder)
-        new = _places(often.where(F.col("words") < longest), places)
+        often.where(start == number - shards + 1).write.mode("append").parquet(folder)
+        new = _places(often.where(words < longest), places)
         new = new[reached[new] == _NEVER]
         if len(new):
             reached = reached.copy()
@@ -260,7 +262,7 @@ def frequent_phrases(blocks: DataFrame, threshold: int, longest: int, shards: in
             news = number
         if previous is not None:
             discard(previous)
-        previous, open_ = sums, sums.where(F.col("start") > number - shards + 1)
+        previous, open_ = sums, sums.where(start > number - shards + 1)
         rounds.destroy()
         del counts, met, sums, often
         # Spark deletes shuffle files once the driver's collector has found their plans gone
@@ -275,7 +277,7 @@ def frequent_phrases(blocks: DataFrame, threshold: int, longest: int, shards: in
 def _spelled(blocks: DataFrame, wanted: DataFrame, places: int) -> DataFrame:
     """Rows (last, word) for the wanted hashes of words."""
     needed = np.zeros(places, dtype=np.uint8)
-    as_words = wanted.select(F.lit(1).alias("words"), F.lit(0).alias("start"), F.col("last").alias("prefix"), "last", F.lit(0).cast("long").alias("n"))
+    as_words = wanted.select(F.lit(1).alias("kind"), F.col("last").alias("prefix"), "last", F.lit(0).cast("long").alias("n"))
     needed[_places(as_words, places)] = 1
     shared = _sent(blocks.sparkSession, needed)
 
@@ -336,12 +338,15 @@ def collocations(
     occurrences, then by the phrase's bytes. More ``shards`` let longer phrases start earlier; each round
     shuffles the open counts once.
     """
+    if not 2 <= longest <= 7:
+        raise ValueError("phrases have two to seven words")
     spark: SparkSession = docs.sparkSession
     path = scratch_path(spark, "blocks")
     coded_blocks(docs, shards).write.partitionBy("shard").parquet(path)
     blocks = spark.read.schema("lang string, tokens long, hashes binary, codes binary, words binary, shard int").parquet(path)
     totals = stored(blocks.groupBy("lang").agg(F.sum("tokens").alias("n")), "totals")
-    found = stored(_with_key(frequent_phrases(blocks, threshold, longest, shards, places)), "frequent")
+    found = _with_key(frequent_phrases(blocks, threshold, longest, shards, places))
+    found = stored(found.withColumn("words", F.col("kind").bitwiseAND(F.lit(7))), "frequent")
 
     level = found.where("words = 1").select("key", F.array("last").alias("hashes"), F.col("prefix").alias("of"))
     counts, phrases = found.select("key", "n"), None
