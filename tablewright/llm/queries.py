@@ -40,8 +40,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Winnowed fingerprints of every document and of its edited text."""
-    found = winnow.fingerprints_of_edits(table(spark, sf_dir, "documents"), k=winnow.BYTES, by="bytes")
-    texts = [winnow.spelled(F.col(c)).alias(n) for c, n in (("hashes", "fingerprint"), ("edited_hashes", "edited_fingerprint"))]
+    found = winnow.fingerprints_of_edits(table(spark, sf_dir, "documents"))
+    texts = [winnow.spelled(F.col(c)).alias(n) for c, n in (("marks", "fingerprint"), ("edited_marks", "edited_fingerprint"))]
     return found.select("doc_id", "n_chars", "edited_sha256", *texts, "near_edited", "near_next")
 
 

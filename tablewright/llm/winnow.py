@@ -1,8 +1,11 @@
 """Document fingerprints by winnowing, in DataFrame functions throughout.
 
-Of the hashes of all runs of ``k`` words or bytes, each window of ``w`` neighbours marks its smallest,
-the rightmost if several are. Any common run of ``w + k - 1`` of them is therefore marked at
-the same place in both texts; positions are kept so that it can be found there.
+A text is cut into units of at most ``LONGEST`` characters, each ending early at white space, at any
+character beyond ASCII and at a few others. What the cut depends on lies in the text itself, so
+after an insertion the units fall into step again at the next such character. Of the
+hashes of all runs of ``k`` units, each window of ``w`` neighbours marks its smallest, the rightmost
+if several are. Any common run of ``w + k - 1`` units is therefore marked at the same place in both
+texts; positions are kept so that it can be found there.
 """
 
 from __future__ import annotations
@@ -12,34 +15,33 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import cuts, range_of, stored
 
-#: Words of a run, runs of a window, bytes of a run.
-K, W, BYTES = 5, 8, 16
+#: Units of a run, runs of a window, characters of a unit.
+K, W, LONGEST = 4, 3, 8
+#: Characters that end a unit: white space, those beyond ASCII, and some that most texts hold.
+ENDS = r"\x09-\x0D\x20\x80-\x{10FFFF}#+3;CKS\[cks{"
+UNIT = rf"(?s)[^{ENDS}]{{0,{LONGEST - 1}}}."
 #: Documents sorted together to find the next of each, and ranges at most.
 TOGETHER, RANGES = 8192, 4096
 _LAST = (1 << 31) - 1
 
 
-def with_marks(df: DataFrame, text: str, marks: str, k: int = K, w: int = W, by: str = "words") -> DataFrame:
+def with_marks(df: DataFrame, text: str, marks: str, k: int = K, w: int = W) -> DataFrame:
     """Adds the marks of a text column: an array of long, in order of position.
 
     The upper half of a mark is a hash, the lower half counts down with the position, so the
-    least mark of a window is the one wanted. Runs are ``by`` words, without ASCII white space, or by
-    bytes of UTF-8. A text of fewer than ``k`` has one mark for all of them; without any it has none.
+    least mark of a window is the one wanted. A text of fewer than ``k`` units has one mark for
+    all of them, an empty or null one has none.
     Every step but the last is read at several places and thus computed once.
     """
-    given = F.coalesce(F.col(text), F.lit(""))
-    if by == "words":
-        words = F.array_remove(F.split(given, r"[\x20\x09-\x0D]+"), "")
-        df, n = df.withColumn("_parts", F.transform(words, lambda x: F.xxhash64(x))), F.size("_parts")
-    else:
-        df, n = df.withColumn("_parts", given.cast("binary")), F.octet_length("_parts")
+    df = df.withColumn("_units", F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(UNIT), 0))
+    n = F.size("_units")
 
     def run(i: Column) -> Column:
-        hashed = F.xxhash64(*(F.get("_parts", i + j) for j in range(k))) if by == "words" else F.xxhash64(F.substring(F.col("_parts"), i + 1, F.lit(k)))
+        # past the end there is nothing to hash, so the one run of a short text is all of it
+        hashed = F.xxhash64(*(F.get("_units", i + j) for j in range(k)))
         return F.shiftleft(hashed, 32).bitwiseOR((F.lit(_LAST) - i).cast("long"))
 
-    short = F.array(F.shiftleft(F.xxhash64("_parts"), 32).bitwiseOR(F.lit(_LAST).cast("long")))
-    runs = F.when(n == 0, F.array().cast("array<long>")).when(n < k, short).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))), run))
+    runs = F.when(n == 0, F.array().cast("array<long>")).otherwise(F.transform(F.sequence(F.lit(0), F.greatest(n - k, F.lit(0))), run))
     df = df.withColumn("_runs", runs).withColumn("_least", F.col("_runs"))
     span = 1
     while span < w:  # the least of so many neighbours; beyond the end there are none
@@ -49,7 +51,7 @@ def with_marks(df: DataFrame, text: str, marks: str, k: int = K, w: int = W, by:
         span += step
     m = F.size("_runs")
     least = F.slice("_least", 1, F.greatest(m - w + 1, F.lit(1)))
-    return df.withColumn(marks, F.array_distinct(least)).drop("_parts", "_runs", "_least")
+    return df.withColumn(marks, F.array_distinct(least)).drop("_units", "_runs", "_least")
 
 
 def mark_hashes(marks: Column) -> Column:
@@ -58,7 +60,7 @@ def mark_hashes(marks: Column) -> Column:
 
 
 def mark_positions(marks: Column) -> Column:
-    """The word or byte at which the run of each mark starts, from 0."""
+    """The unit at which the run of each mark starts, from 0."""
     return F.transform(marks, lambda x: F.lit(_LAST) - x.bitwiseAND(F.lit((1 << 32) - 1)))
 
 
@@ -68,9 +70,9 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(both / (F.size(a) + F.size(b) - both))
 
 
-def spelled(hashes: Column) -> Column:
-    """Hashes as one string, eight hex digits each."""
-    return F.array_join(F.transform(hashes, lambda h: F.lpad(F.hex(h.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), "")
+def spelled(marks: Column) -> Column:
+    """Marks as one string, 16 hex digits each: the hash, then the unit where its run starts."""
+    return F.array_join(F.transform(marks, lambda x: F.lpad(F.hex(x.bitwiseXOR(F.lit(_LAST))), 16, "0")), "")
 
 
 def followed(docs: DataFrame) -> DataFrame:
@@ -94,23 +96,25 @@ def followed(docs: DataFrame) -> DataFrame:
     return placed.withColumn("guest", F.lit(False)).unionByName(guests.withColumn("guest", F.lit(True)))
 
 
-def fingerprints_of_edits(docs: DataFrame, k: int = K, w: int = W, by: str = "words") -> DataFrame:
-    """Rows (doc_id, n_chars, edited_sha256, hashes, edited_hashes, near_edited, near_next).
+def fingerprints_of_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
+    """Rows (doc_id, n_chars, edited_sha256, marks, edited_marks, near_edited, near_next).
 
     The edited text has its last third of code points replaced by the first as many of the next
     document in falling doc_id order (all, if it has fewer); the last one is followed by the first. Null
     texts are empty; documents of one doc_id follow each other by falling text, null ids come last;
-    a lone document follows itself. Equal texts have equal hashes. Extra columns are left out.
+    a lone document follows itself. Equal texts have equal marks; likeness compares the hashes. Extra
+    columns are left out.
     """
-    rows = with_marks(followed(docs), "text", "marks", k, w, by)
-    rows = rows.select("doc_id", "text", "range", "guest", mark_hashes(F.col("marks")).alias("hashes"))
+    rows = with_marks(followed(docs), "text", "marks", k, w)
+    rows = rows.select("doc_id", "text", "range", "guest", "marks")
     order = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("doc_id"), F.desc("text"))
-    rows = rows.withColumns({"next": F.lead("text").over(order), "next_hashes": F.lead("hashes").over(order)}).where("not guest")
+    rows = rows.withColumns({"next": F.lead("text").over(order), "next_marks": F.lead("marks").over(order)}).where("not guest")
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - third), F.substring(F.col("next"), F.lit(1), third))
-    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "hashes", "next_hashes")
-    rows = with_marks(rows, "edited", "marks", k, w, by)
-    rows = rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "hashes", "next_hashes", mark_hashes(F.col("marks")).alias("edited_hashes"))
-    near = [likeness(F.col("hashes"), F.col(other)).alias(name) for other, name in (("edited_hashes", "near_edited"), ("next_hashes", "near_next"))]
-    return rows.select("doc_id", "n_chars", "edited_sha256", "hashes", "edited_hashes", *near)
+    rows = rows.select("doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "marks", "next_marks")
+    rows = with_marks(rows, "edited", "edited_marks", k, w)
+    rows = rows.withColumn("edited_sha256", F.sha2("edited", 256)).drop("edited")
+    rows = rows.withColumns({f"_{c}": mark_hashes(F.col(c)) for c in ("marks", "edited_marks", "next_marks")})
+    near = [likeness(F.col("_marks"), F.col(other)).alias(name) for other, name in (("_edited_marks", "near_edited"), ("_next_marks", "near_next"))]
+    return rows.select("doc_id", "n_chars", "edited_sha256", "marks", "edited_marks", *near)

@@ -163,19 +163,28 @@ def test_id_files_of_nothing(spark, nothing):
 
 def _chained(values, seed=42):
     for v in values:
-        seed = xxhash.xxh64_intdigest(struct.pack("<Q", v), seed)
+        seed = xxhash.xxh64_intdigest(v, seed)
     return seed
 
 
+def _units(text):
+    """Units by their definition, one character at a time."""
+    out, unit = [], ""
+    for c in text:
+        unit += c
+        if ord(c) > 127 or c in "\t\n\v\f\r #+3;CKS[cks{" or len(unit) == winnow.LONGEST:
+            out.append(unit)
+            unit = ""
+    return out + [unit] * bool(unit)
+
+
 def _marks(text, k=winnow.K, w=winnow.W):
     """(hash, position) of the marked runs."""
-    words = [xxhash.xxh64_intdigest(x, 42) for x in WORD.findall((text or "").encode())]
+    units = [u.encode() for u in _units(text or "")]
     signed = lambda h: struct.unpack("<i", struct.pack("<I", h & 0xFFFFFFFF))[0]
-    if len(words) < k:
-        return [(signed(_chained(words)), 0)] if words else []
-    runs = [signed(_chained(words[i : i + k])) for i in range(len(words) - k + 1)]
+    runs = [signed(_chained(units[i : i + k])) for i in range(max(1, len(units) - k + 1))] if units else []
     out = []
-    for j in range(max(1, len(runs) - w + 1)):
+    for j in range(max(1, len(runs) - w + 1) if runs else 0):
         window = runs[j : j + w]
         at = j + max(i for i, h in enumerate(window) if h == min(window))
         if (runs[at], at) not in out[-1:]:
@@ -183,6 +192,10 @@ def _marks(text, k=winnow.K, w=winnow.W):
     return out
 
 
+def _spelled(marks):
+    return "".join(f"{h & 0xFFFFFFFF:08X}{at:08X}" for h, at in marks)
+
+
 def _likeness(a, b):
     a, b = {h for h, _ in a}, {h for h, _ in b}
     return len(a & b) / len(a | b) if a | b else 1.0
@@ -195,26 +208,37 @@ def test_marks_and_positions(docs, rows):
     assert _tally(got) == _tally((d, tuple(p for _, p in _marks(t))) for d, t in rows)
 
 
-def test_marks_by_bytes(spark):
-    """The registered query's marks: short texts and texts without white space are like their edited copies."""
-    texts = ["a few words only, not that many of them today", "日本語の文章には空白がない。" * 9 + "終わり", "x" * 5, "", "é" * 40, "abcdefghij" * 30]
+def test_marks_of_short_and_unspaced_texts(spark):
+    """Short texts and texts without white space are like their edited copies, and shifted text falls into step."""
+    texts = ["a few words only, not that many of them today", "日本語の文章には空白がない。" * 9 + "終わり", "x" * 5, "", "é" * 40, "abcdefghij" * 30, "q" * 99]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    signed = lambda h: struct.unpack("<i", struct.pack("<I", h & 0xFFFFFFFF))[0]
-    marked = winnow.with_marks(frame, "text", "marks", winnow.BYTES, winnow.W, "bytes")
-    got = {r["doc_id"]: (r["h"], r["at"]) for r in marked.select("doc_id", winnow.mark_hashes(marked["marks"]).alias("h"), winnow.mark_positions(marked["marks"]).alias("at")).collect()}
-    for doc, text in enumerate(texts):
-        data, k = text.encode(), winnow.BYTES
-        runs = [signed(xxhash.xxh64_intdigest(data[i : i + k], 42)) for i in range(max(1, len(data) - k + 1))] if data else []
-        windows = [(runs[j : j + winnow.W], j) for j in range(max(1, len(runs) - winnow.W + 1))] if runs else []
-        at = list(dict.fromkeys(j + max(i for i, h in enumerate(win) if h == min(win)) for win, j in windows))
-        assert got[doc] == (list(dict.fromkeys(runs[i] for i in at)), at)
-    near = {r["doc_id"]: r["near_edited"] for r in winnow.fingerprints_of_edits(frame, k=winnow.BYTES, by="bytes").collect()}
-    assert near[0] > 0 and near[1] > 0
+    marked = winnow.with_marks(frame, "text", "marks")
+    got = {r["doc_id"]: r["m"] for r in marked.select("doc_id", winnow.spelled(marked["marks"]).alias("m")).collect()}
+    assert got == {doc: _spelled(_marks(text)) for doc, text in enumerate(texts)}
+    near = {r["doc_id"]: r["near_edited"] for r in winnow.fingerprints_of_edits(frame).collect()}
+    assert near[0] > 0 and near[1] > 0 and near[5] > 0
+    passage = "the quick brown fox jumps over the lazy dog while counting stacks of bricks"
+    common = {h for h, _ in _marks("0" + passage)} & {h for h, _ in _marks("shifted by this: " + passage)}
+    assert common
+
+
+def test_common_runs_are_marked(spark):
+    """The guarantee: texts that share w + k - 1 units share a mark."""
+    rng = np.random.default_rng(5)
+    shared = "".join(f"{w}k " for w in rng.integers(10, 99, winnow.K + winnow.W - 1))[:-1]
+    shared = "".join(_units(shared)[: winnow.K + winnow.W - 1])
+    texts = [" ".join(map(str, rng.integers(0, 10**6, n))) + " " + shared + " ".join(map(str, rng.integers(0, 10**6, n))) for n in range(1, 30)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    marked = winnow.with_marks(frame, "text", "marks")
+    sets = [set(r[0]) for r in marked.select(winnow.mark_hashes(marked["marks"])).collect()]
+    assert set.intersection(*sets)
 
 
 def test_edited_texts(unique, unique_rows, monkeypatch):
     monkeypatch.setattr(winnow, "TOGETHER", 7)
-    found = {r["doc_id"]: r for r in winnow.fingerprints_of_edits(unique).collect()}
+    found = winnow.fingerprints_of_edits(unique)
+    found = found.withColumn("fingerprint", winnow.spelled(found["marks"])).withColumn("edited_fingerprint", winnow.spelled(found["edited_marks"]))
+    found = {r["doc_id"]: r for r in found.collect()}
     ordered = sorted(((d, t or "") for d, t in unique_rows), reverse=True)
     assert len(found) == len(ordered)
     for i, (doc, text) in enumerate(ordered):
@@ -224,8 +248,8 @@ def test_edited_texts(unique, unique_rows, monkeypatch):
         row, marks = found[doc], _marks(text)
         assert row["n_chars"] == len(text)
         assert row["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
-        assert row["hashes"] == list(dict.fromkeys(h for h, _ in marks))
-        assert row["edited_hashes"] == list(dict.fromkeys(h for h, _ in _marks(edited)))
+        assert row["fingerprint"] == _spelled(marks)
+        assert row["edited_fingerprint"] == _spelled(_marks(edited))
         assert row["near_edited"] == pytest.approx(_likeness(marks, _marks(edited)))
         assert row["near_next"] == pytest.approx(_likeness(marks, _marks(following)))
 
