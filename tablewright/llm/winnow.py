@@ -105,9 +105,10 @@ def fingerprints_of_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
     a lone document follows itself. Equal texts have equal marks; likeness compares the hashes. Extra
     columns are left out.
     """
-    rows = with_marks(followed(docs), "text", "marks", k, w)
-    rows = rows.select("doc_id", "text", "range", "guest", "marks")
-    order = Window.partitionBy("range").orderBy("guest", F.desc_nulls_last("doc_id"), F.desc("text"))
+    by = ["guest", F.desc_nulls_last("doc_id"), F.desc("text")]
+    order = Window.partitionBy("range").orderBy(*by)
+    # texts alone are shuffled: marks are made once the rows are in the window's order
+    rows = with_marks(followed(docs).repartition("range").sortWithinPartitions("range", *by), "text", "marks", k, w)
     rows = rows.withColumns({"next": F.lead("text").over(order), "next_marks": F.lead("marks").over(order)}).where("not guest")
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
