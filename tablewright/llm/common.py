@@ -29,8 +29,13 @@ def discard(df: DataFrame) -> None:
     """Deletes a table that ``stored`` wrote and that nothing reads any more."""
     spark = df.sparkSession
     for file in df.inputFiles()[:1]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        delete(spark, file.rpartition("/")[0])
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder and all in it, if it is there."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def words_in(text: Column) -> Column:

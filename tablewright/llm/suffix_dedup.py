@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import cuts, range_of, stored
+from tablewright.llm.common import cuts, delete, range_of, stored
 from tablewright.session import scratch_path
 
 #: Bytes of an anchor, and bytes of text worked on at once.
 ANCHOR, PIECE = 24, 1 << 17
 #: Contested stretches of one anchor compared inside one task; more are compared by a join.
 TOGETHER = 4096
+#: Bytes of text filed as one batch, and batches at least.
+BATCH_BYTES, BATCHES = 1 << 38, 4
 _MASK = np.uint64((1 << 19) - 1)
 _BASE, _MIX = np.uint64(0xD6E8FEB86659FD93), np.uint64(0x9E3779B97F4A7C15)
 _LETTER = np.random.default_rng(7).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -176,25 +178,28 @@ class SuffixLevels:
     """The index: levels of geometrically growing size, and what the scans have found.
 
     Batches are added in ascending document order; earlier is a smaller doc, then a smaller
-    position. Levels are stored tables; a level that was merged is deleted.
+    position. Levels are stored tables; the settled entries of one that was merged are deleted, those of the
+    last levels by ``close``. Contested ones stay, as ``contested`` reads them.
     """
 
     def __init__(self, spark: SparkSession, length: int = 100):
         self.spark, self.length = spark, length
-        self.levels: list[tuple[int, DataFrame]] = []
+        self.levels: list[tuple[int, DataFrame, str]] = []
         self.scans: list[DataFrame] = []
 
-    def add(self, docs: DataFrame, keep: bool = True) -> None:
-        """Scans a batch (doc, text) against all levels; files it unless ``keep`` is false."""
+    def add(self, docs: DataFrame) -> None:
+        """Scans a batch (doc, text) against all levels and files it, merged with those of its size."""
         size, joining = 1, 0
-        for have, _ in reversed(self.levels):
+        for have, _, _ in reversed(self.levels):
             if have != size:
                 break
             size, joining = 2 * size, joining + 1
         stay = len(self.levels) - joining
         rows = suffix_rows(docs, self.length).withColumn("level", F.lit(-1))
-        for number, (_, level) in enumerate(self.levels):
+        for number, (_, level, _) in enumerate(self.levels):
             rows = rows.unionByName(level.withColumn("span", F.lit(False)).withColumn("level", F.lit(number)))
+        # one shuffle and one sort serve both windows
+        rows = rows.repartition("key").sortWithinPartitions("key", "ctx", "doc", "pos")
         by_class = Window.partitionBy("key", "ctx").orderBy("doc", "pos")
         own = F.when(~F.col("span"), F.col("ctx"))
         around = Window.partitionBy("key")
@@ -202,20 +207,29 @@ class SuffixLevels:
         rows = rows.withColumn("contested", F.min(own).over(around) < F.max(own).over(around))
         rows = rows.withColumn("contested", F.col("first") & F.coalesce("contested", F.lit(False)))
         fresh = F.col("level") == -1
-        part = F.when(fresh & ~F.col("first"), F.lit("span")).when(F.col("contested"), F.lit("contested"))
-        if keep:
-            part = part.when(fresh | (F.col("level") >= stay), F.lit("settled"))
         # a contested entry of a level that is not merged now is written as a witness only
         held = fresh | (F.col("level") >= stay)
+        part = F.when(fresh & ~F.col("first"), F.lit("span")).when(F.col("contested"), F.lit("contested")).when(held, F.lit("settled"))
         path = scratch_path(self.spark, "suffixes")
         out = rows.withColumn("part", part).where("part is not null").withColumn("held", held)
         out.select("part", "key", "ctx", "doc", "pos", "left", "right", "span", "held").write.partitionBy("part").parquet(path)
         schema = f"{_STRETCH}, span boolean, held boolean, part string"
         scan = self.spark.read.schema(schema).parquet(path)
         self.scans.append(scan)
-        if keep:
-            level = scan.where("part in ('contested', 'settled') and held").select("key", "ctx", "doc", "pos", "left", "right")
-            self.levels = [*self.levels[:stay], (size, level)]
+        level = scan.where("part in ('contested', 'settled') and held").select("key", "ctx", "doc", "pos", "left", "right")
+        merged_now, self.levels = self.levels[stay:], [*self.levels[:stay], (size, level, path)]
+        self._settle(merged_now)
+
+    def close(self) -> None:
+        """No batch comes after this."""
+        self._settle(self.levels)
+        self.levels = []
+
+    def _settle(self, levels: list[tuple[int, DataFrame, str]]) -> None:
+        for _, _, path in levels:
+            delete(self.spark, f"{path}/part=settled")
+        # Spark deletes shuffle files once the driver's collector has found their plans gone
+        self.spark._jvm.java.lang.System.gc()
 
     def spans(self) -> DataFrame:
         """Spans (doc, start, stop) of repeated stretches whose text need not be seen."""
@@ -331,30 +345,40 @@ def numbered(docs: DataFrame) -> DataFrame:
     return stored(placed.withColumn("doc", (F.get(F.lit(before), F.col("_range")) + row).cast("long")).drop("_range"), "numbered")
 
 
-def repeats(docs: DataFrame, length: int = 100, batches: int = 2) -> tuple[DataFrame, DataFrame]:
+def batches_of(docs: DataFrame) -> int:
+    """How many batches a table is filed in: one for each BATCH_BYTES of text, BATCHES at least."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(BATCHES, -(-size // BATCH_BYTES))
+
+
+def repeats(docs: DataFrame, length: int = 100, batches: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows (doc, row, text), spans (doc, start, stop)): what is to be removed from each text.
 
     A byte is repeated if a string of ``length`` bytes that covers it also starts earlier: in
     a document of smaller doc_id, or earlier in the same document. Texts count as UTF-8; a null
     text is empty, a text below ``length`` bytes has no repeats of its own. Documents of one
     doc_id, and those of none, are ordered by text, so of repeated rows one stays. ``row``
-    holds the document with all its columns.
+    holds the document with all its columns. Rows are filed in ``batches`` batches (by default those of
+    ``batches_of``) by number; results do not depend on them.
     """
     struct = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     rows = numbered(docs.select(F.col("doc_id"), F.col("text"), struct))
     index = SuffixLevels(docs.sparkSession, length)
-    at = cuts(rows, "doc", batches)
+    at = cuts(rows, "doc", batches or batches_of(docs))
     for number in range(len(at) + 1):
         batch = rows.where(range_of(F.col("doc"), at) == number) if at else rows
-        index.add(batch.select("doc", "text"), keep=number < len(at))
+        index.add(batch.select("doc", "text"))
+    index.close()
     texts = rows.select("doc", "text").where("doc is not null")
     spans = index.spans().unionByName(resolve(texts, index.contested(), length))
     return rows, spans
 
 
-def removed(docs: DataFrame, length: int = 100, batches: int = 2, keep_rows: bool = False) -> DataFrame:
+def removed(docs: DataFrame, length: int = 100, batches: int | None = None, keep_rows: bool = False) -> DataFrame:
     """Rows (doc_id, n_bytes, n_removed, n_spans, kept_sha256), with ``row`` and the kept text
-    (``kept``, cut to whole characters) if wanted; an empty table gives none."""
+    (``kept``, cut to whole characters) if wanted; an empty table gives none. Other columns of the input,
+    also those named like the result's, are left out or stay inside ``row``. A very long text is worked
+    on in pieces, and its spans come from all of it."""
     rows, spans = repeats(docs, length, batches)
     lists = spans.groupBy("doc").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("spans"))
     columns = ["doc", "doc_id", "text", *(["row"] if keep_rows else [])]

@@ -298,8 +298,9 @@ def test_levels_grow_geometrically(spark, unique):
     sizes = []
     for _ in range(5):
         index.add(unique.selectExpr("doc_id as doc", "text"))
-        sizes.append([size for size, _ in index.levels])
+        sizes.append([size for size, *_ in index.levels])
     assert sizes == [[1], [2], [2, 1], [4], [4, 1]]
+    assert suffix_dedup.batches_of(unique) == 4  # the registered run merges levels too
 
 
 def test_kept_text_is_whole_characters(spark):
