@@ -8,8 +8,9 @@ a 304 may renew replace the stored ones.
 
 from __future__ import annotations
 
-import gzip
+import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -19,6 +20,9 @@ from tablewright.llm.common import cuts, range_of
 
 #: Records of one file, and ranges of time that an as-of join is divided into.
 RECORDS, PERIODS = 2000, 64
+#: Bytes inflated at a time, and bytes of records sent together.
+PART, SENT = 1 << 20, 8 << 20
+_MEMBER = b"\x1f\x8b\x08"
 # fixed values: header fields that a 304 never renews, and the default ports
 FROZEN = (
     "connection", "content-encoding", "content-length", "content-location", "content-range", "content-type",
@@ -52,15 +56,15 @@ def _line(name: str, value: Column) -> Column:
 def write_warc(captures: DataFrame, folder: str, compression: str = "gzip") -> None:
     """Writes captures (record_id, kind, url, time, headers, payload) as WARC/1.1 files.
 
-    ``kind`` is response or revisit; headers is a map from names to values, a null payload is
-    empty, line breaks in headers become spaces. A null record_id, url or time leaves out its field. Files hold
+    ``kind`` is response or revisit; headers is a map from names to values, the payload is text or
+    bytes, null is empty, line breaks in headers become spaces. A null record_id, url or time leaves out its field. Files hold
     at most RECORDS records. Records end with two line breaks, which Spark's text writer puts.
     """
     pairs = F.transform(F.map_entries("headers"), lambda e: F.regexp_replace(F.concat(e["key"], F.lit(": "), F.coalesce(e["value"], F.lit(""))), r"[\r\n]+", " "))
     revisit = F.col("kind") == "revisit"
     status = F.when(revisit, "HTTP/1.1 304 Not Modified\r\n").otherwise("HTTP/1.1 200 OK\r\n")
     lines = F.array_join(F.transform(F.coalesce(pairs, F.array().cast("array<string>")), lambda p: F.concat(p, F.lit("\r\n"))), "")
-    body = F.when(revisit, "").otherwise(F.coalesce("payload", F.lit("")))
+    body = F.when(revisit, "").otherwise(F.coalesce(F.col("payload").cast("string"), F.lit("")))
     block = F.concat(status, lines, F.lit("\r\n"), body)
     head = F.concat(
         F.lit("WARC/1.1\r\n"),
@@ -82,42 +86,98 @@ def _fields(head: bytes) -> list[tuple[str, str]]:
     return [(name.decode(errors="replace").strip(), value.decode(errors="replace").strip()) for name, _, value in lines]
 
 
-def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (names in lower case) and block of each record; damaged ones are passed over."""
-    if data[:2] == b"\x1f\x8b":
-        data = gzip.decompress(data)
+def _inflated(data: bytes) -> Iterator[bytes | None]:
+    """Parts of a file's content, inflated if compressed. None stands where a member broke off; reading goes
+    on at the next place that starts a member."""
+    if data[:2] != _MEMBER[:2]:
+        yield from (data[i : i + PART] for i in range(0, len(data), PART))
+        return
     at = 0
-    while 0 <= (at := data.find(b"WARC/1.", at)):
-        stop = data.find(b"\r\n\r\n", at)
-        fields = {k.lower(): v for k, v in _fields(data[at:stop])}
-        size = fields.get("content-length", "")
-        if stop < 0 or not size.isdigit() or stop + 4 + int(size) > len(data):
-            at += 1
-            continue
-        yield fields, data[stop + 4 : stop + 4 + int(size)]
-        at = stop + 4 + int(size)
+    while at >= 0:
+        member, here, left = zlib.decompressobj(31), at, b""
+        try:
+            while not member.eof:
+                if not left:
+                    left = data[here : here + PART]
+                    here += len(left)
+                if not left:
+                    yield member.flush()
+                    yield None
+                    return
+                yield member.decompress(left, PART)
+                left = member.unconsumed_tail
+            at = data.find(_MEMBER, here - len(member.unused_data))
+        except zlib.error:
+            yield None
+            at = data.find(_MEMBER, at + 1)
+
+
+def records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields (names in lower case) and block of each record; damaged ones are passed over.
+
+    Plain or gzipped, in any number of members; junk between records or members is skipped. A member that is
+    cut short or has wrong bytes gives the records before the damage, as inflated, and ends there. Held are
+    one record and PART bytes; a record whose length is wrong is held until the content ends.
+    """
+    held, at, looked = bytearray(), 0, 0
+    for part in chain(_inflated(data), [None]):
+        held += part or b""
+        while (at := held.find(b"WARC/1.", at)) >= 0:
+            stop = held.find(b"\r\n\r\n", max(at, looked))
+            if stop < 0:
+                looked = max(at, len(held) - 3)
+                break
+            fields = {k.lower(): v for k, v in _fields(bytes(held[at:stop]))}
+            size = fields.get("content-length", "")
+            end = stop + 4 + int(size) if size.isascii() and size.isdigit() else None
+            if end is not None and end > len(held) and part is not None:
+                break
+            if end is None or end > len(held):
+                at += 1
+                continue
+            yield fields, bytes(held[stop + 4 : end])
+            at = end
+        if part is None:
+            held.clear()
+            at = looked = 0
+        else:
+            gone = at if at >= 0 else max(len(held) - 6, 0)
+            del held[:gone]
+            at, looked = 0, max(looked - gone, 0)
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Rows (record_id, kind, url, time, headers, payload) of the responses and revisits in
-    WARC files; header names come in lower case, of repeated ones the last value."""
+    WARC files; header names come in lower case, of repeated ones the last value. Payloads are the bytes
+    as archived. Damaged files give what ``records`` gives of them; an unreadable time is null. Spark hands over each
+    file as one cell, below 2 GB; content is inflated and sent on in parts."""
     names = ["record_id", "kind", "url", "time", "headers", "payload"]
-    kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.string()]
+    kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.map_(pa.string(), pa.string()), pa.binary()]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=t) for i, t in enumerate(kinds)], names)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, n = [], 0
         for batch in batches:
             for data in batch.column(0):
-                rows = []
                 for fields, block in records(data.as_py()):
+                    if fields.get("warc-type") not in ("response", "revisit"):
+                        continue
                     head, _, body = block.partition(b"\r\n\r\n")
                     headers = {k.lower(): v for k, v in _fields(head)}
                     named = fields.get("warc-record-id", "").strip("<>") or None
-                    rows.append((named, fields.get("warc-type"), fields.get("warc-target-uri"), fields.get("warc-date"), list(headers.items()), body.decode(errors="replace")))
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], type=t) for i, t in enumerate(kinds)], names)
+                    rows.append((named, fields["warc-type"], fields.get("warc-target-uri"), fields.get("warc-date"), list(headers.items()), body))
+                    n += len(block)
+                    if n >= SENT:
+                        yield batch_of(rows)
+                        rows, n = [], 0
+        if rows:
+            yield batch_of(rows)
 
     files = spark.read.format("binaryFile").load(folder).select("content")
-    rows = files.mapInArrow(run, "record_id string, kind string, url string, time string, headers map<string,string>, payload string")
-    return rows.where("kind in ('response', 'revisit')").withColumn("time", F.try_to_timestamp("time", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")))
+    rows = files.mapInArrow(run, "record_id string, kind string, url string, time string, headers map<string,string>, payload binary")
+    return rows.withColumn("time", F.try_to_timestamp("time", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")))
 
 
 def resolve_revisits(captures: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
