@@ -32,9 +32,6 @@ BUCKET, SHARD, SENT = 1 << 20, 1 << 20, 1 << 20
 #: The number before a text; no word has it.
 BEGIN = 0
 SHAPES = 8
-_BITS = 17
-_MASK = (1 << _BITS) - 1
-_BIGRAM = 1 << 60
 _P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
 
@@ -145,12 +142,6 @@ def _flat(documents: list[np.ndarray], begin: int) -> tuple[np.ndarray, np.ndarr
     return flat, np.flatnonzero(word), lengths
 
 
-def _trigrams(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the trigram that ends at each word, of words numbered below 2 ** 17, and lengths."""
-    flat, at, lengths = _flat(documents, BEGIN)
-    return flat[at - 2] << 2 * _BITS | flat[at - 1] << _BITS | flat[at], lengths
-
-
 def trigram_counts(tokens: DataFrame) -> DataFrame:
     """Rows (u, v, w, n) over the documents that are trusted and not held out."""
 
@@ -227,26 +218,6 @@ def open_model(grams: DataFrame) -> tuple[DataFrame, float, np.ndarray]:
     return reduce(DataFrame.unionByName, parts), max(total, 1), down * once / once.sum() / types
 
 
-def language_model(counts: DataFrame, size: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """The same over ``size`` words numbered below 2 ** 17, of rows (key, n): table (key, share, down)
-    of trigrams and bigrams, and by word what it hands down and its own probability."""
-    words = [F.shiftright("key", bits).bitwiseAND(F.lit(_MASK)).alias(c) for c, bits in (("u", 2 * _BITS), ("v", _BITS), ("w", 0))]
-    tri, two, one = _orders(counts.select(*words, "n"))
-    share = ((F.col("n") - F.col("cut")) / F.col("total")).alias("share")
-    packed = lambda a, b: F.shiftleft(a, _BITS).bitwiseOR(F.col(b))
-    above, before = _contexts(tri, "u", "v"), _contexts(two, "v")
-    trigrams = tri.join(above, ["u", "v"]).select(F.shiftleft("u", 2 * _BITS).bitwiseOR(packed("v", "w")).alias("key"), share, F.lit(None).cast("double").alias("down"))
-    shares = two.join(before, "v").select((packed("v", "w") + F.lit(_BIGRAM)).alias("key"), share)
-    bigrams = shares.join(above.select((packed("u", "v") + F.lit(_BIGRAM)).alias("key"), "down"), "key", "full")
-    rest = one.agg(F.sum("cut").alias("cut"), F.sum("n").alias("n")).first()
-    single, down = np.full(size, (rest["cut"] / rest["n"] if rest["n"] else 1.0) / size), np.ones(size)
-    for row in one.collect():  # one row for each word
-        single[row["w"]] += (row["n"] - row["cut"]) / rest["n"]
-    for row in before.collect():
-        down[row["v"]] = row["down"]
-    return trigrams.unionByName(bigrams), down, single
-
-
 def _shards(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
     """The parts of sorted keys that lie in each shard, by their highest bits."""
     if not bits:

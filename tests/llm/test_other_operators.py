@@ -1,5 +1,6 @@
 """Vectors, archives, mixing, quality and the pipeline, on awkward rows."""
 
+import gzip
 import math
 from collections import Counter
 from datetime import datetime, timedelta
@@ -93,7 +94,7 @@ def test_archive_round_trip_and_revisits(spark):
     assert len(got) == len(CRAWL)
     for record, kind, url, _, headers, payload in CRAWL:
         row = got[record]
-        assert (row["kind"], row["url"], row["headers"], row["payload"]) == (kind, url, headers, payload or "")
+        assert (row["kind"], row["url"], row["headers"], row["payload"]) == (kind, url, headers, (payload or "").encode())
     found = _outcomes(warc.resolve_revisits(back, carried=("payload",)))
     assert found["v0"][:2] == (None, "orphan")  # the response of the same second is not earlier
     assert found["v1"] == ("r1", "resolved", {"etag": 'W/"1"', "content-type": "text/html", "cache-control": "b"})
@@ -110,6 +111,43 @@ def test_damaged_archives_give_their_whole_records():
     assert list(warc.records(b"")) == []
 
 
+def _record(block, name="x"):
+    return f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <{name}>\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("part", [1, 7, 1 << 20])
+def test_compressed_archives_cut_or_damaged(monkeypatch, part):
+    monkeypatch.setattr(warc, "PART", part)
+    blocks = [bytes([i]) * (50 + 40 * i) + bytes(np.random.default_rng(i).integers(0, 256, 300, dtype=np.uint8)) for i in range(6)]
+    members = [gzip.compress(_record(b)) for b in blocks]
+    read = lambda data: [b for _, b in warc.records(data)]
+    assert read(b"".join(members)) == read(gzip.compress(b"".join(map(_record, blocks)))) == blocks
+    assert read(b"".join(members) + b"trailing junk") == blocks
+    assert read(b"".join(members)[:-40]) == blocks[:5]
+    assert read(gzip.compress(b"".join(map(_record, blocks)))[: len(b"".join(members[:4]))])[:3] == blocks[:3]
+    torn = members[2][:30] + b"\xff" * 20 + members[2][50:]
+    whole = read(b"".join([*members[:2], torn, *members[3:]]))
+    assert whole[:2] == blocks[:2] and whole[-3:] == blocks[3:]
+    short = read(b"".join([*members[:2], members[2][:100], *members[3:]]))
+    assert short[:2] == blocks[:2] and short[-3:] == blocks[3:] and len(short) == 5
+    assert read(b"\x1f\x8b") == read(b"\x1f\x8b\x08\x00junk") == []
+
+
+def test_payloads_keep_their_bytes_and_damaged_files_the_rest(spark, tmp_path):
+    image = bytes(range(256)) * 5
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: image/png\r\n\r\n"
+    whole = gzip.compress(_record(block + image, "a")) + gzip.compress(_record(block + image[::-1], "b"))
+    (tmp_path / "1.warc.gz").write_bytes(whole)
+    (tmp_path / "2.warc.gz").write_bytes(whole[:-30])
+    (tmp_path / "3.warc.gz").write_bytes(b"")
+    got = Counter((r["record_id"], bytes(r["payload"])) for r in warc.read_warc(spark, str(tmp_path)).collect())
+    assert got == {("a", image): 2, ("b", image[::-1]): 1}
+    back = scratch_path(spark, "warc")
+    rows = [("i", "response", "http://a.b/", START, {"x": "y"}, image)]
+    warc.write_warc(spark.createDataFrame(rows, "record_id string, kind string, url string, time timestamp, headers map<string,string>, payload binary"), back)
+    assert bytes(warc.read_warc(spark, back).first()["payload"]) == image
+
+
 def test_crowded_url_over_ranges_of_time(spark):
     rng = np.random.default_rng(4)
     rows = []
@@ -183,26 +221,72 @@ def test_ranks_of_one_crowded_size(spark):
 # --- quality -------------------------------------------------------------------------------------
 
 
-def test_discounted_shares_sum_to_one(spark):
+def _plain_model(texts):
+    """Interpolated modified Kneser-Ney by dictionaries of words: the probability of w after u, v."""
+    tri = Counter()
+    for words in texts:
+        padded = [None, None, *words]
+        tri.update(zip(padded, padded[1:], padded[2:]))
+    two, one = Counter(), Counter()
+    for (_, v, w), n in tri.items():
+        two[v, w] += n if v is None else 1
+    for _, w in two:
+        one[w] += 1
+
+    def cut(counts):
+        seen = Counter(counts.values())
+        if not (seen[1] and seen[2]):
+            return dict.fromkeys(counts, 0.5)
+        y = seen[1] / (seen[1] + 2 * seen[2])
+        raw = [1 - 2 * y * seen[2] / seen[1], 2 - 3 * y * seen[3] / seen[2], 3 - 4 * y * seen[4] / seen[3] if seen[3] else 0.5]
+        d = [min(max(x, 0.05), i) for i, x in enumerate(raw, 1)]
+        return {gram: d[min(n, 3) - 1] for gram, n in counts.items()}
+
+    def interpolated(counts, context, lower):
+        cuts, total, down = cut(counts), Counter(), Counter()
+        for gram, n in counts.items():
+            total[context(gram)] += n
+            down[context(gram)] += cuts[gram]
+
+        def probability(gram):
+            c = context(gram)
+            if not total[c]:
+                return lower(gram)
+            return (counts[gram] - cuts.get(gram, 0)) / total[c] + down[c] / total[c] * lower(gram)
+
+        return probability
+
+    once, types = Counter(range(1, 9)), Counter(range(1, 9))  # one more of each shape, for what is unknown
+    for w, n in one.items():
+        once[quality.shape(w)] += n == 1
+        types[quality.shape(w)] += 1
+    unseen = lambda w: once[quality.shape(w)] / once.total() / types[quality.shape(w)]
+    single = interpolated(one, lambda w: (), unseen)
+    pair = interpolated(two, lambda g: g[0], lambda g: single(g[1]))
+    return interpolated(tri, lambda g: g[:2], lambda g: pair(g[1:])), list(one)
+
+
+def test_scores_are_those_of_plain_kneser_ney(spark):
     rng = np.random.default_rng(6)
-    size = 14
-    words = rng.choice(np.arange(9, size), p=[0.5, 0.2, 0.2, 0.05, 0.05], size=400)
-    keys, _ = quality._trigrams([words[:150], words[150:]])
-    keys, n = np.unique(keys, return_counts=True)
-    counts = spark.createDataFrame([(int(k), int(c)) for k, c in zip(keys, n)], "key long, n long")
-    table, down, single = quality.language_model(counts, size)
-    found = {r["key"]: r for r in table.collect()}
-    assert single.sum() == pytest.approx(1)
-
-    def probability(u, v, w):
-        pair = found.get((v << 17 | w) + quality._BIGRAM)
-        low = (pair["share"] or 0 if pair else 0) + down[v] * single[w]
-        context, whole = found.get((u << 17 | v) + quality._BIGRAM), found.get(u << 34 | v << 17 | w)
-        hand = context["down"] if context and context["down"] is not None else 1
-        return (whole["share"] if whole else 0) + hand * low
-
-    for u, v in [(0, 0), (0, 9), (9, 9), (9, 10), (13, 13), (12, 0)]:
-        assert sum(probability(u, v, w) for w in range(size)) == pytest.approx(1)
+    vocabulary = ["a", "the", "Cat", "dog,", "NATO", "7", "x-y", "sat", "mat.", "Rome!", "UN;", "zeta", "ox", "ate", "rat"]
+    vocabulary += [f"{w}{'e' * i}" for i in range(1, 9) for w in ("Ab", "no", "r2")]
+    weights = 1 / np.arange(1, len(vocabulary) + 1) ** 2
+    draw = lambda n: rng.choice(vocabulary, n, p=weights / weights.sum()).tolist()
+    texts = [draw(int(n)) for n in rng.integers(0, 40, 60)] + [["wombat", "a", "Cat"], ["a", "unheard,", "Of", "99"], ["a"]]
+    docs = spark.createDataFrame([(i, " ".join(t), "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(50)], "doc_id long, quality int, toxic int")
+    taught = {r["doc_id"] for r in docs.where(~quality._held_out()).where("doc_id < 50").collect()}
+    probability, known = _plain_model([texts[i] for i in sorted(taught)])
+    unknown = ["qq", "Qq", "QQ", "qq,", "Qq,", "QQ,", "q1", "q-q"]
+    assert sorted(map(quality.shape, unknown)) == list(range(1, 9))
+    for context in [(None, None), (None, "a"), ("a", "the"), ("the", "the"), ("qq", "a"), ("a", "qq")]:
+        assert sum(probability((*context, w)) for w in [*known, *unknown]) == pytest.approx(1)
+    tokens = quality.tokenized(docs.repartition(4), labels)
+    got = {r["doc_id"]: r["perplexity"] for r in quality.scored(tokens, *quality.open_model(quality.trigram_counts(tokens))).collect()}
+    for i, words in enumerate(texts):
+        padded = [None, None, *words]
+        logs = [math.log(probability(g)) for g in zip(padded, padded[1:], padded[2:])]
+        assert got[i] == (pytest.approx(math.exp(-sum(logs) / len(logs)), rel=1e-4) if logs else None)
 
 
 def test_held_out_accuracy_on_labels(spark):
@@ -227,7 +311,7 @@ def test_unknown_words_cost(spark):
 
 
 def test_rare_words_have_their_own_counts(spark):
-    """Every word of trusted text counts as itself, and scores are those of the plain definition."""
+    """Every word of trusted text counts as itself."""
     texts = ["the cat sat on the mat", "the cat ate the rat", "a dog sat on the cat", "the dog ate a rat on the mat", "one zebra ate the cat"] * 3
     docs = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*texts, "the zebra sat", "the wombat sat"])], "doc_id long, text string, lang string")
     labels = spark.createDataFrame([(i, 1, 0) for i in range(len(texts))], "doc_id long, quality int, toxic int")
