@@ -2,10 +2,11 @@
 
 A reference side below a checked byte size is broadcast and the search is one map over
 the query rows. Beyond that, reference rows are grouped into cells around sampled
-pivots, and the triangle inequality rules cells out:
+pivots on two levels, and the triangle inequality rules cells out (``search_cells``):
 
 1. a query searches its own cell, which bounds its k-th distance;
-2. it then visits exactly the other cells whose ball reaches within that bound.
+2. it then visits the other cells whose ball reaches within that bound, nearest first, in
+   rounds between which the bound shrinks.
 
 Cells are split into blocks and visits into batches of bounded size, so neither a hot
 cell nor a hot query region ends in one task. Reference copies collapse to k rows each
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -39,11 +41,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import col
-from ..session import local_table, scratch_path
+from ..session import scratch_path
 
 BROADCAST_BYTES = 64 << 20
 BLOCK_ROWS = 20_000
-MAX_PIVOTS = 8192
+#: Cells a query visits in the round after its home cell; each later round visits so many times more.
+STEP = 4
 METRICS = ("euclidean", "manhattan", "chebyshev")
 
 _NEIGHBOURS = T.StructType(
@@ -169,132 +172,195 @@ def _broadcast_search(queries: DataFrame, reference: DataFrame, k: int, metric:
 def _cell_search(
     queries: DataFrame, reference: DataFrame, n: int, k: int, metric: str, block_rows: int
 ) -> DataFrame:
-    spark = queries.sparkSession
-    # Copies: the k smallest ids stand for all rows with the same vector.
-    copies = Window.partitionBy("x").orderBy("id")
-    points = (
-        reference.select(col("id").cast("string").alias("id"), "x", col("label").cast("double").alias("label"))
-        .withColumn("_rn", F.row_number().over(copies))
-        .where(F.col("_rn") <= k)
-        .drop("_rn")
-    )
-    pivots = int(min(MAX_PIVOTS, max(8, math.sqrt(n))))
-    centres = _matrix(
-        [r["x"] for r in points.orderBy(F.md5(F.col("id")), "id").limit(pivots).select("x").collect()]
+    asked = queries.select(col("_id").cast("string").alias("qid"), F.col("_x").alias("qx"))
+    near, _ = search_cells(asked, reference, n, k, metric, block_rows)
+    best = (
+        near.groupBy("qid")
+        .agg(F.array_sort(F.collect_list(F.struct("d", "id", "label"))).alias("_near"))
+        .select(
+            "qid",
+            F.struct(
+                F.col("_near.id").alias("ids"),
+                F.col("_near.d").alias("distances"),
+                F.col("_near.label").alias("labels"),
+            ).alias("neighbours"),
+        )
     )
-    centres = np.unique(centres, axis=0)
+    return queries.join(best, col("_id").cast("string") == F.col("qid"), "left").drop("qid")
+
+
+def search_cells(
+    asked: DataFrame, reference: DataFrame, n: int, k: int, metric: str, block_rows: int = BLOCK_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """(k nearest rows (qid, d, id, label), visits (qid, cell) beyond the home cell) of queries (qid, qx).
+
+    Reference rows lie in cells around pivots, on two levels: about sqrt(n / block_rows) regions, whose
+    centres are broadcast, and in each region one cell per sampled row, about 2 n / block_rows in all,
+    which meet the rows of their region alone. A query searches its home cell, lists the cells that
+    the triangle inequality leaves within its k-th distance, and visits them nearest first in rounds of
+    4, 16, 64 and so on; after each round its k-th distance shrinks and rules out more. The list holds
+    names and bounds, no vectors. Rounds number the logarithm of the longest list.
+    """
+    spark = asked.sparkSession
+    points = _written(_without_copies(reference, k), "points")
+    regions = max(1, math.ceil(math.sqrt(n / block_rows)))
+    chosen = points.orderBy(F.md5("id"), "id").limit(regions).select("id", "x").collect()
+    centres = _matrix([r["x"] for r in chosen])
     shared = spark.sparkContext.broadcast(centres)
 
-    @F.pandas_udf("cell int, gap double")
-    def nearest_cell(x: pd.Series) -> pd.DataFrame:
+    @F.pandas_udf("region int, gap double")
+    def nearest_region(x: pd.Series) -> pd.DataFrame:
         if len(x) == 0:
-            return _empty(cell="int32", gap=float)
-        q = _matrix(x)
-        cells, gaps = [], []
-        for start in range(0, len(q), 2048):
-            d = distances(q[start : start + 2048], shared.value, metric)
-            best = d.argmin(axis=1)
-            cells.append(best)
-            gaps.append(d[np.arange(len(best)), best])
-        return pd.DataFrame({"cell": np.concatenate(cells).astype("int32"), "gap": np.concatenate(gaps)})
-
-    placed = points.withColumn("_c", nearest_cell("x")).select(
-        "id", "x", "label", F.col("_c.cell").alias("cell"), F.col("_c.gap").alias("gap")
-    )
-    placed = _written(placed, "cells")
-    stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r")).collect()
-    radius = np.full(len(centres), -np.inf)  # an empty cell is never reached
-    blocks = {}
-    for s in stats:
-        radius[s["cell"]] = s["r"]
-        blocks[s["cell"]] = max(1, math.ceil(s["n"] / block_rows))
+            return _empty(region="int32", gap=float)
+        best, gaps = _nearest(_matrix(x), shared.value, metric)
+        return pd.DataFrame({"region": best.astype("int32"), "gap": gaps})
+
+    placed = points.withColumn("_r", nearest_region("x"))
+    placed = _written(placed.select("id", "x", "label", "_r.region", "_r.gap"), "regions")
+    sampled = F.pmod(F.xxhash64("id", F.lit("pivot")), F.lit(max(1, block_rows // 2))) == 0
+    pivots = placed.where(sampled | F.col("id").isin([r["id"] for r in chosen]))
+    pivots = pivots.select("region", F.col("id").alias("cell"), F.col("x").alias("cx"))
+
+    def place(p: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        if p.empty or r.empty:
+            return _empty(id=object, cell=object, gap=float)
+        p = p.sort_values("cell", kind="stable")
+        best, gaps = _nearest(_matrix(r["x"]), _matrix(p["cx"]), metric)
+        return pd.DataFrame({"id": r["id"].to_numpy(), "cell": p["cell"].to_numpy()[best], "gap": gaps})
+
+    # one row per region
+    stats = placed.groupBy("region").agg(F.count("*").alias("n"), F.max("gap").alias("r")).collect()
+    radius = np.full(len(centres), -np.inf)  # an empty region is never reached
+    for row in stats:
+        radius[row["region"]] = row["r"]
     radius_shared = spark.sparkContext.broadcast(radius)
-    block_table = local_table(spark, sorted(blocks.items()), "cell int, blocks int")
-
-    asked = queries.select(col("_id").cast("string").alias("qid"), F.col("_x").alias("qx"))
-    home = asked.withColumn("cell", nearest_cell("qx")["cell"])
-    first = _visit(home, placed, block_table, k, metric, block_rows)
+    cells = _per_region(pivots, placed.select("region", "id", "x"), place, "id string, cell string, gap double", block_rows)
+    placed = _written(placed.select("id", "x", "label", "region").join(cells, "id"), "cells")
+    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r"))
+    cells = _written(pivots.join(sizes, "cell"), "pivots")
+
+    def home(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if c.empty or q.empty:
+            return _empty(qid=object, cell=object)
+        c = c.sort_values("cell", kind="stable")
+        best, _ = _nearest(_matrix(q["qx"]), _matrix(c["cx"]), metric)
+        return pd.DataFrame({"qid": q["qid"].to_numpy(), "cell": c["cell"].to_numpy()[best]})
+
+    asked = _written(asked, "asked")
+    own = asked.withColumn("_r", nearest_region("qx")).select("qid", "qx", "_r.region")
+    own = _written(_per_region(cells, own, home, "qid string, cell string", block_rows), "homes")
     order = Window.partitionBy("qid").orderBy("d", "id")
-    local = _written(
-        first.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= k).drop("_rn"), "home"
-    )
-    # fewer than k found at home: the pivots, reference rows themselves, give the bound
-    bound = local.groupBy("qid").agg(
-        F.when(F.count("*") >= k, F.max("d")).otherwise(float("inf")).alias("bound")
-    )
+
+    def merged(found: DataFrame) -> DataFrame:
+        return _written(found.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= k).drop("_rn"), "near")
+
+    def with_bound(rows: DataFrame, near: DataFrame) -> DataFrame:
+        bound = near.groupBy("qid").agg(F.when(F.count("*") >= k, F.max("d")).otherwise(float("inf")).alias("bound"))
+        return rows.join(bound, "qid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
+
+    near = merged(_visit(own.join(asked, "qid"), placed, cells, k, metric, block_rows))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def reachable(x: pd.Series, bound: pd.Series, own: pd.Series) -> pd.Series:
+    def reachable(x: pd.Series, bound: pd.Series) -> pd.Series:
         if len(x) == 0:
             return pd.Series([], dtype=object)
-        q, limit, home_cell = _matrix(x), bound.to_numpy(), own.to_numpy()
-        out = []
+        q, limit, out = _matrix(x), bound.to_numpy(), []
         for start in range(0, len(q), 2048):
-            part = slice(start, start + 2048)
-            d = distances(q[part], shared.value, metric)
-            cap = limit[part]
-            if d.shape[1] >= k:
-                cap = np.minimum(cap, np.partition(d, k - 1, axis=1)[:, k - 1])
-            # a hair of slack for rounding in the two distances
-            reach = d - radius_shared.value[None, :] <= cap[:, None] * (1 + 1e-9) + 1e-12
+            d = distances(q[start : start + 2048], shared.value, metric)
+            reach = _within(d - radius_shared.value[None, :], limit[start : start + 2048, None])
             reach &= np.isfinite(radius_shared.value)[None, :]
-            reach[np.arange(len(d)), home_cell[part]] = False
             out += [list(np.flatnonzero(r).astype("int32")) for r in reach]
         return pd.Series(out)
 
-    further = (
-        home.join(bound, "qid", "left")
-        .withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-        .withColumn("cell", F.explode(reachable("qx", "bound", "cell")))
-        .select("qid", "qx", "cell")
-    )
-    second = _visit(further, placed, block_table, k, metric, block_rows)
-    best = (
-        local.unionByName(second)
-        .withColumn("_rn", F.row_number().over(order))
-        .where(F.col("_rn") <= k)
-        .groupBy("qid")
-        .agg(F.array_sort(F.collect_list(F.struct("d", "id", "label"))).alias("_near"))
-        .select(
-            "qid",
-            F.struct(
-                F.col("_near.id").alias("ids"),
-                F.col("_near.d").alias("distances"),
-                F.col("_near.label").alias("labels"),
-            ).alias("neighbours"),
-        )
-    )
-    return queries.join(best, col("_id").cast("string") == F.col("qid"), "left").drop("qid")
+    def route(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        if c.empty or q.empty:
+            return _empty(qid=object, cell=object, least=float)
+        names, cx, r = c["cell"].to_numpy(), _matrix(c["cx"]), c["r"].to_numpy()
+        parts = []
+        for start in range(0, len(q), 2048):
+            part = q.iloc[start : start + 2048]
+            least = distances(_matrix(part["qx"]), cx, metric) - r[None, :]
+            at, cell = np.nonzero(_within(least, part["bound"].to_numpy()[:, None]) & (names[None, :] != part["own"].to_numpy()[:, None]))
+            parts.append(pd.DataFrame({"qid": part["qid"].to_numpy()[at], "cell": names[cell], "least": least[at, cell]}))
+        return pd.concat(parts)
+
+    reach = with_bound(asked.join(own.withColumnRenamed("cell", "own"), "qid"), near)
+    reach = reach.withColumn("region", F.explode(reachable("qx", "bound")))
+    routes = _per_region(cells, reach, route, "qid string, cell string, least double", block_rows)
+    nearest = Window.partitionBy("qid").orderBy("least", "cell")
+    routes = _written(routes.withColumn("turn", F.row_number().over(nearest)), "routes")
+    done, last, visits = 0, STEP, []
+    while True:
+        open_ = with_bound(routes.where(F.col("turn") > done), near)
+        open_ = open_.where(F.col("least") <= F.col("bound") * (1 + 1e-9) + 1e-12)
+        now = _written(open_.where(F.col("turn") <= last).select("qid", "cell"), "visits")
+        visits.append(now)
+        if not now.isEmpty():
+            near = merged(near.unionByName(_visit(now.join(asked, "qid"), placed, cells, k, metric, block_rows)))
+        elif open_.isEmpty():
+            return near, reduce(DataFrame.unionByName, visits)
+        done, last = last, last * STEP
+
+
+def _nearest(q: np.ndarray, r: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest row of ``r`` to each of ``q``, the first of equal ones, and its distance."""
+    best, gaps = [], []
+    for start in range(0, len(q), 2048):
+        d = distances(q[start : start + 2048], r, metric)
+        best.append(d.argmin(axis=1))
+        gaps.append(d[np.arange(len(d)), best[-1]])
+    return np.concatenate(best), np.concatenate(gaps)
+
+
+def _within(least: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    # a hair of slack for rounding in the two distances
+    return least <= bound * (1 + 1e-9) + 1e-12
+
+
+def _without_copies(reference: DataFrame, k: int) -> DataFrame:
+    """The k smallest ids stand for all rows of one vector; a crowded vector is thinned in 64 parts first."""
+    rows = reference.select(col("id").cast("string").alias("id"), "x", col("label").cast("double").alias("label"))
+    for keys in (["x", F.pmod(F.xxhash64("id"), F.lit(64))], ["x"]):
+        rows = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy("id"))).where(F.col("_rn") <= k).drop("_rn")
+    return rows
+
+
+def _per_region(cells: DataFrame, rows: DataFrame, work, schema: str, block_rows: int) -> DataFrame:
+    """``work`` on the cells of each region and a batch of about ``block_rows`` of the rows that lie in it."""
+    load = rows.groupBy("region").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("batches"))
+    keyed = rows.join(load, "region").withColumn("batch", F.pmod(F.xxhash64(rows.columns[0], rows.columns[1]), F.col("batches")).cast("int"))
+    held = cells.join(load, "region").withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1)))
+    keys = ["region", "batch"]
+    # columns under new names: both sides may come from one table
+    held, keyed = (df.select(*(F.col(c).alias(c) for c in df.columns if c != "batches")) for df in (held, keyed))
+    return held.groupBy(*keys).cogroup(keyed.groupBy(*keys)).applyInPandas(work, schema)
 
 
 def _written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder: computed once, safe when executors go."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _visit(
-    visits: DataFrame, placed: DataFrame, block_table: DataFrame, k: int, metric: str, block_rows: int
+    visits: DataFrame, placed: DataFrame, cells: DataFrame, k: int, metric: str, block_rows: int
 ) -> DataFrame:
-    """Top k of every (query, cell) visit: (qid, id, d, label).
+    """Top k of every visit (qid, qx, cell): (qid, id, d, label).
 
     A cell's rows are spread over its blocks and the visits of a cell over batches, both
     by hash; one group is one block against one batch.
     """
-    spark = visits.sparkSession
-    load = visits.groupBy("cell").agg(F.count("*").alias("v")).collect()
-    batches = [(r["cell"], max(1, math.ceil(r["v"] / block_rows))) for r in load]
-    # one row per cell: at most MAX_PIVOTS
-    plan = block_table.join(local_table(spark, batches, "cell int, batches int"), "cell")
+    load = visits.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("batches"))
+    plan = cells.select("cell", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks")).join(load, "cell")
     asked = (
-        visits.join(F.broadcast(plan), "cell")
+        visits.join(plan, "cell")
         .withColumn("batch", F.pmod(F.xxhash64("qid"), F.col("batches")).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("cell", "block", "batch", "qid", "qx")
     )
     held = (
-        placed.join(F.broadcast(plan), "cell")
+        placed.join(plan, "cell")
         .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
         .withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1)))
         .select("cell", "block", "batch", "id", "x", "label")
@@ -362,6 +428,8 @@ class _KnnParams(HasFeaturesCol, HasLabelCol, HasPredictionCol):
     metric = Param(Params._dummy(), "metric", "distance", TypeConverters.toString)
     classify = Param(Params._dummy(), "classify", "vote instead of mean", TypeConverters.toBoolean)
     idCol = Param(Params._dummy(), "idCol", "row key, breaks ties", TypeConverters.toString)
+    broadcastBytes = Param(Params._dummy(), "broadcastBytes", "largest reference side sent whole", TypeConverters.toInt)
+    blockRows = Param(Params._dummy(), "blockRows", "rows of a block of a cell", TypeConverters.toInt)
 
 
 class NearestNeighbours(Estimator, _KnnParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -369,9 +437,11 @@ class NearestNeighbours(Estimator, _KnnParams, DefaultParamsReadable, DefaultPar
 
     @keyword_only
     def __init__(self, *, k=5, weights="uniform", metric="euclidean", classify=False, idCol="row_id",
+                 broadcastBytes=BROADCAST_BYTES, blockRows=BLOCK_ROWS,
                  featuresCol="features", labelCol="label", predictionCol="prediction"):
         super().__init__()
-        self._setDefault(k=5, weights="uniform", metric="euclidean", classify=False, idCol="row_id")
+        self._setDefault(k=5, weights="uniform", metric="euclidean", classify=False, idCol="row_id",
+                         broadcastBytes=BROADCAST_BYTES, blockRows=BLOCK_ROWS)
         self._set(**self._input_kwargs)
 
     def _fit(self, df: DataFrame) -> "NearestNeighboursModel":
@@ -398,7 +468,8 @@ class NearestNeighboursModel(Model, _KnnParams, MLReadable, MLWritable):
     def __init__(self, *, path="", classes=None):
         super().__init__()
         self._setDefault(
-            k=5, weights="uniform", metric="euclidean", classify=False, idCol="row_id", path="", classes=[]
+            k=5, weights="uniform", metric="euclidean", classify=False, idCol="row_id", path="", classes=[],
+            broadcastBytes=BROADCAST_BYTES, blockRows=BLOCK_ROWS,
         )
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
@@ -411,7 +482,8 @@ class NearestNeighboursModel(Model, _KnnParams, MLReadable, MLWritable):
             "_x", vector_to_array(self.getFeaturesCol())
         )
         return with_neighbours(
-            queries, self.reference(df.sparkSession), k or self.getOrDefault("k"), self.getOrDefault("metric")
+            queries, self.reference(df.sparkSession), k or self.getOrDefault("k"), self.getOrDefault("metric"),
+            self.getOrDefault("broadcastBytes"), self.getOrDefault("blockRows"),
         )
 
     def vote(self, found: DataFrame, k: int, weights: str) -> DataFrame:

@@ -24,7 +24,7 @@ from ..functions.exprs import SEED, col
 from ..session import checkpoints_ready
 from . import features as fe
 from .kernel import SupportVectorClassifier, SupportVectorRegressor
-from .knn import NearestNeighbours
+from .knn import BROADCAST_BYTES, NearestNeighbours
 from .linear import WEIGHT, PenalisedLogistic, PenalisedRegression, balanced_weight
 
 # MLlib trees stop at this depth; "unlimited" means this.
@@ -222,7 +222,7 @@ def regressors(degree: int = 2, **changes: Params) -> dict[str, ModelSpec]:
         "knn": ModelSpec(
             KNN,
             lambda p, y, x: NearestNeighbours(
-                k=p["n_neighbors"], weights=p["weights"], metric=p["metric"], featuresCol=x, labelCol=y
+                k=p["n_neighbors"], weights=p["weights"], metric=p["metric"], broadcastBytes=p.get("broadcast_bytes", BROADCAST_BYTES), featuresCol=x, labelCol=y
             ),
             {"n_neighbors": 5, "weights": "uniform", "metric": "euclidean"},
             _NEIGHBOUR_GRID,
@@ -245,7 +245,7 @@ def classifiers(**changes: Params) -> dict[str, ModelSpec]:
         "knn": ModelSpec(
             KNN_C,
             lambda p, y, x: NearestNeighbours(
-                k=p["n_neighbors"], weights=p["weights"], metric=p["metric"], classify=True,
+                k=p["n_neighbors"], weights=p["weights"], metric=p["metric"], broadcastBytes=p.get("broadcast_bytes", BROADCAST_BYTES), classify=True,
                 featuresCol=x, labelCol=y,
             ),
             {"n_neighbors": 5, "weights": "uniform", "metric": "euclidean"},

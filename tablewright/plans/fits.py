@@ -166,17 +166,24 @@ _NEAREST = """, nb AS (SELECT q.row_id, any_value(q.y) AS y, arg_min(t.y, {d}, 5
 _SQ5 = " + ".join(f"(q.x{i} - t.x{i}) ** 2" for i in range(1, 6))
 
 
-@query(
-    "g10_nearest_neighbours",
+_G10 = (
     _REG_SRC
     + _NEAREST.format(d=_SQ5)
     + ", f AS (SELECT y, list_avg(near) AS p, FALSE AS is_train FROM nb) "
-    + checking.regression_scores("f"),
+    + checking.regression_scores("f")
 )
+
+
+@query("g10_nearest_neighbours", _G10)
 def nearest_neighbours(spark, sf):
     return _reg_scores(spark, sf, models.KNN)
 
 
+@query("g10_neighbours_in_cells", _G10)
+def nearest_neighbours_in_cells(spark, sf):
+    return _reg_scores(spark, sf, models.KNN, knn={"broadcast_bytes": 0})
+
+
 # -------------------------------------------------------------------------- classifiers
 
 
@@ -286,20 +293,31 @@ def vectors(spark, sf):
     return split.hold_out(rows, ["vec_id"], eager=True).persist()
 
 
-@query(
-    "h2_neighbour_rows",
+_NEIGHBOUR_ROWS = (
     _VEC
     + ", "
     + _vec_neighbours("euclidean", "nb")
-    + " SELECT vec_id, rank::INTEGER AS rank, neighbour::VARCHAR AS neighbour, round(d, 8) AS distance, label::DOUBLE AS label FROM nb",
+    + " SELECT vec_id, rank::INTEGER AS rank, neighbour::VARCHAR AS neighbour, round(d, 8) AS distance, label::DOUBLE AS label FROM nb"
 )
-def vector_neighbours(spark, sf):
+
+
+def _neighbour_rows(spark, sf, **search):
     rows = vectors(spark, sf)
-    model = NearestNeighbours(k=5, classify=True, idCol="vec_id").fit(_train(rows))
+    model = NearestNeighbours(k=5, classify=True, idCol="vec_id", **search).fit(_train(rows))
     out = neighbour_rows(model.neighbours(_test(rows)), ["vec_id"])
     return out.select("vec_id", "rank", "neighbour", "label", rounded(F.col("distance"), 8).alias("distance"))
 
 
+@query("h2_neighbour_rows", _NEIGHBOUR_ROWS)
+def vector_neighbours(spark, sf):
+    return _neighbour_rows(spark, sf)
+
+
+@query("h2_neighbours_in_cells", _NEIGHBOUR_ROWS)
+def vector_neighbours_in_cells(spark, sf):
+    return _neighbour_rows(spark, sf, broadcastBytes=0, blockRows=500)
+
+
 _VEC_VOTE = """, vote AS (SELECT vec_id, y, label, count(*) AS n FROM {nb} GROUP BY ALL),
 win AS (SELECT vec_id, any_value(y) AS y, arg_min(label, (-n, label)) AS p, max(n) / 5.0 AS share FROM vote GROUP BY 1)"""
 

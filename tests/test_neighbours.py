@@ -47,6 +47,20 @@ def test_same_as_full_search(spark, metric, case, path):
     assert [got[i] for i in q[0]] == _brute(q[1], r[0], r[1], 5, metric)
 
 
+def test_rounds_visit_few_of_the_cells(spark):
+    """Rows in clumps: the list of cells is short, and later rounds need not read all of it."""
+    rng = np.random.default_rng(8)
+    clumps = rng.normal(scale=40, size=(20, 3))
+    x = clumps[rng.integers(20, size=2000)] + rng.normal(size=(2000, 3))
+    q = [f"q{i}" for i in range(60)], clumps[rng.integers(20, size=60)] + rng.normal(size=(60, 3))
+    asked, held = _frames(spark, q, ([f"r{i:04d}" for i in range(2000)], x))
+    asked = asked.select(F.col("_id").alias("qid"), F.col("_x").alias("qx"))
+    near, visits = knn.search_cells(asked, held, 2000, 5, "euclidean", block_rows=40)
+    got = {r["qid"]: r["ids"] for r in near.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("d", "id"))).alias("n")).select("qid", "n.id").withColumnRenamed("id", "ids").collect()}
+    assert [got[i] for i in q[0]] == _brute(q[1], [f"r{i:04d}" for i in range(2000)], x, 5, "euclidean")
+    assert visits.count() == visits.distinct().count() < 0.2 * 60 * 100
+
+
 def test_fewer_reference_rows_than_k(spark):
     q, r = _points(10, 2, 3), _points(3, 2, 4)
     asked, held = _frames(spark, q, r)
