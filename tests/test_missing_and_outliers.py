@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 
+from tablewright import session
 from tablewright.functions.order_stats import exact_quantiles
 from tablewright.operators import explore, features, profiling
 from tablewright.session import spread_out
@@ -106,3 +107,16 @@ def test_spreading_runs_no_job(spark, tmp_path):
         assert not spark.sparkContext.statusTracker().getJobIdsForGroup("spreading")
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_parts_grow_with_the_source(spark, tmp_path, monkeypatch):
+    """A part of a table stays as small as ever, whatever the table's size and however its files are named."""
+    folder = tmp_path / "with space%41.parquet"
+    spark.range(100_000).selectExpr("id", "uuid() AS v").coalesce(1).write.parquet(str(folder))
+    df = spark.read.parquet(str(folder))
+    size = sum(f.stat().st_size for f in folder.glob("*.parquet"))
+    monkeypatch.setattr(session, "PART_BYTES", size // 40)
+    spread = spread_out(df, "id")
+    assert spread.rdd.getNumPartitions() in (40, 41) and spread.count() == 100_000
+    monkeypatch.setattr(session, "PART_BYTES", size)
+    assert spread_out(df, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
