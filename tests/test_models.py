@@ -186,3 +186,27 @@ def test_classification_track_in_development_mode(spark, sf, tmp_path):
     table = spark.read.option("header", True).csv(f"{out}/classification_comparison_dev")
     assert table.count() == 1
     assert spark.read.json(f"{out}/run_log_classification_dev").count() >= 3
+
+
+def test_support_vector_regression_keeps_no_mapped_rows(spark, monkeypatch):
+    """Rounds scan the inputs; what is held meanwhile has as many cells as there are inputs, and is let go."""
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(500, 2))
+    rows = local_table(spark, [(float(a), float(b), float(np.sin(a) + b)) for a, b in x], "a double, b double, y double")
+    rows = features.TabularFeatures(numeric=["a", "b"]).fit(rows).transform(rows)
+    held, original = [], type(rows).persist
+    monkeypatch.setattr(type(rows), "persist", lambda df, *level: held.append(df.columns) or original(df, *level))
+    fit = SupportVectorRegressor(labelCol="y", C=10.0, components=64).fit(rows)
+    assert held == [["features", "_y"]]
+    error = fit.transform(rows).agg(F.avg(F.abs(F.col("y") - F.col("prediction")))).first()[0]
+    assert error < 0.2
+
+
+def test_support_vector_classifier_holds_inputs_alone(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    rows = local_table(spark, [(*map(float, r), float((r**2).sum() < 1.2)) for r in rng.normal(size=(300, 2))], "a double, b double, label double")
+    rows = features.TabularFeatures(numeric=["a", "b"]).fit(rows).transform(rows)
+    held, original = [], type(rows).persist
+    monkeypatch.setattr(type(rows), "persist", lambda df, *level: held.append(df.columns) or original(df, *level))
+    SupportVectorClassifier(components=16, maxIter=3).fit(rows)
+    assert held == [["features", "label"]]
