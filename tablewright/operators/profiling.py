@@ -39,13 +39,19 @@ def audit(df: DataFrame, row_id: str, columns: Sequence[str] | None = None) -> D
     ``example`` is the first non-null value in ``row_id`` order.
     """
     columns = list(columns) if columns else [c for c in df.columns if c != row_id]
-    cells = melt(df, columns, keep=[row_id], cast="string")
-    present = F.col("value").isNotNull()
-    rows = cells.groupBy("column").agg(
-        F.count("*").alias("_n"),
-        F.count_if(~present).alias("missing"),
-        F.min_by("value", F.when(present, col(row_id))).alias("example"),
-    )
+    # aggregates of the whole table, column by column: no cell is grouped, sorted or moved
+    found = []
+    for c in columns:
+        value = known(df, c).cast("string")
+        found.append(
+            F.struct(
+                F.lit(c).alias("column"),
+                F.count("*").alias("_n"),
+                F.count_if(value.isNull()).alias("missing"),
+                F.min_by(value, F.when(value.isNotNull(), col(row_id))).alias("example"),
+            )
+        )
+    rows = df.agg(F.array(*found).alias("_found")).select(F.explode("_found").alias("_f")).select("_f.*").where("_n > 0")
     unique = frequencies(df, columns).groupBy("column").agg(F.count("*").alias("n_unique"))
     return (
         column_table(df, columns)

@@ -120,3 +120,15 @@ def test_parts_grow_with_the_source(spark, tmp_path, monkeypatch):
     assert spread.rdd.getNumPartitions() in (40, 41) and spread.count() == 100_000
     monkeypatch.setattr(session, "PART_BYTES", size)
     assert spread_out(df, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_audit_sorts_no_cells(spark):
+    """Only the different values are grouped: no sort, and no cell goes through a generator twice."""
+    df = spark.createDataFrame([("b", 1.0, None), ("a", NAN, "x"), ("c", 2.0, "y")], "row_id string, v double, t string")
+    out = profiling.audit(df, "row_id")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("min_by") == 2 and "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString().replace("SortAggregate(key=[], ", "")
+    got = {r["column"]: (r["missing"], r["n_unique"], r["example"]) for r in out.collect()}
+    assert got == {"v": (1, 2, "1.0"), "t": (1, 2, "x")}
+    none = {r["column"]: (r["missing"], r["missing_pct"], r["example"]) for r in profiling.audit(df.where("false"), "row_id").collect()}
+    assert none == {"v": (0, None, None), "t": (0, None, None)}
