@@ -173,7 +173,8 @@ def _cell_search(
     queries: DataFrame, reference: DataFrame, n: int, k: int, metric: str, block_rows: int
 ) -> DataFrame:
     asked = queries.select(col("_id").cast("string").alias("qid"), F.col("_x").alias("qx"))
-    near, _ = search_cells(asked, reference, n, k, metric, block_rows)
+    near, visits = search_cells(asked, reference, n, k, metric, block_rows)
+    _discard(visits)
     best = (
         near.groupBy("qid")
         .agg(F.array_sort(F.collect_list(F.struct("d", "id", "label"))).alias("_near"))
@@ -217,6 +218,7 @@ def search_cells(
 
     placed = points.withColumn("_r", nearest_region("x"))
     placed = _written(placed.select("id", "x", "label", "_r.region", "_r.gap"), "regions")
+    _discard(points)
     sampled = F.pmod(F.xxhash64("id", F.lit("pivot")), F.lit(max(1, block_rows // 2))) == 0
     pivots = placed.where(sampled | F.col("id").isin([r["id"] for r in chosen]))
     pivots = pivots.select("region", F.col("id").alias("cell"), F.col("x").alias("cx"))
@@ -235,9 +237,11 @@ def search_cells(
         radius[row["region"]] = row["r"]
     radius_shared = spark.sparkContext.broadcast(radius)
     cells = _per_region(pivots, placed.select("region", "id", "x"), place, "id string, cell string, gap double", block_rows)
+    in_regions = placed
     placed = _written(placed.select("id", "x", "label", "region").join(cells, "id"), "cells")
     sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r"))
     cells = _written(pivots.join(sizes, "cell"), "pivots")
+    _discard(in_regions)
 
     def home(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         if c.empty or q.empty:
@@ -258,7 +262,8 @@ def search_cells(
         bound = near.groupBy("qid").agg(F.when(F.count("*") >= k, F.max("d")).otherwise(float("inf")).alias("bound"))
         return rows.join(bound, "qid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
 
-    near = merged(_visit(own.join(asked, "qid"), placed, cells, k, metric, block_rows))
+    first = own.join(asked, "qid").withColumn("bound", F.lit(float("inf")))
+    near = merged(_visit(first, placed, cells, k, metric, block_rows))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def reachable(x: pd.Series, bound: pd.Series) -> pd.Series:
@@ -289,15 +294,20 @@ def search_cells(
     routes = _per_region(cells, reach, route, "qid string, cell string, least double", block_rows)
     nearest = Window.partitionBy("qid").orderBy("least", "cell")
     routes = _written(routes.withColumn("turn", F.row_number().over(nearest)), "routes")
+    _discard(own)
     done, last, visits = 0, STEP, []
     while True:
         open_ = with_bound(routes.where(F.col("turn") > done), near)
         open_ = open_.where(F.col("least") <= F.col("bound") * (1 + 1e-9) + 1e-12)
-        now = _written(open_.where(F.col("turn") <= last).select("qid", "cell"), "visits")
-        visits.append(now)
+        now = _written(open_.where(F.col("turn") <= last).select("qid", "cell", "bound"), "visits")
+        visits.append(now.select("qid", "cell"))
         if not now.isEmpty():
-            near = merged(near.unionByName(_visit(now.join(asked, "qid"), placed, cells, k, metric, block_rows)))
+            before, found = near, _visit(now.join(asked, "qid"), placed, cells, k, metric, block_rows)
+            near = merged(near.unionByName(found))
+            _discard(before)
         elif open_.isEmpty():
+            for table in (placed, cells, asked, routes):
+                _discard(table)
             return near, reduce(DataFrame.unionByName, visits)
         done, last = last, last * STEP
 
@@ -343,10 +353,18 @@ def _written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _discard(df: DataFrame) -> None:
+    """Deletes the tables that ``_written`` made for ``df`` and that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _visit(
     visits: DataFrame, placed: DataFrame, cells: DataFrame, k: int, metric: str, block_rows: int
 ) -> DataFrame:
-    """Top k of every visit (qid, qx, cell): (qid, id, d, label).
+    """Top k within the bound of every visit (qid, qx, cell, bound): (qid, id, d, label).
 
     A cell's rows are spread over its blocks and the visits of a cell over batches, both
     by hash; one group is one block against one batch.
@@ -357,7 +375,7 @@ def _visit(
         visits.join(plan, "cell")
         .withColumn("batch", F.pmod(F.xxhash64("qid"), F.col("batches")).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("cell", "block", "batch", "qid", "qx")
+        .select("cell", "block", "batch", "qid", "qx", "bound")
     )
     held = (
         placed.join(plan, "cell")
@@ -371,6 +389,9 @@ def _visit(
             return _empty(qid=object, id=object, d=float, label=float)
         r = r.sort_values("id", kind="stable")
         places, gaps = top_k(_matrix(q["qx"]), _matrix(r["x"]), k, metric)
+        # farther rows cannot be among the k nearest: most visits of a later round give none
+        kept = [_within(g, b) for g, b in zip(gaps, q["bound"].to_numpy())]
+        places, gaps = [p[m] for p, m in zip(places, kept)], [g[m] for g, m in zip(gaps, kept)]
         flat = np.concatenate(places)
         return pd.DataFrame(
             {

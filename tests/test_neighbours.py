@@ -1,3 +1,6 @@
+from pathlib import Path
+from urllib.parse import urlparse
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -91,3 +94,16 @@ def test_user_columns_survive_and_model_round_trips(spark, tmp_path):
     a = {r["row_id"]: (r["prediction"], list(r["probability"])) for r in first.collect()}
     b = {r["row_id"]: (r["prediction"], list(r["probability"])) for r in again.collect()}
     assert a == b
+
+
+def test_cell_search_lets_finished_tables_go(spark, monkeypatch):
+    """Of all tables a search writes, the nearest rows alone are left for its reader."""
+    made, original = [], knn._written
+    monkeypatch.setattr(knn, "_written", lambda df, label: made.append((label, original(df, label))) or made[-1][1])
+    q, r = _points(40, 3, 5), _points(300, 3, 6)
+    asked, held = _frames(spark, q, r)
+    found = with_neighbours(asked, held, 5, broadcast_bytes=0, block_rows=25).collect()
+    got = {row["_id"]: list(row["neighbours"]["ids"]) for row in found}
+    assert [got[i] for i in q[0]] == _brute(q[1], r[0], r[1], 5, "euclidean")
+    left = [label for label, df in made if any(Path(urlparse(f).path).exists() for f in df.inputFiles())]
+    assert left == ["near"] and len(made) > 10
