@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import mixing, near_copies, quality, sentence_pieces, suffix_dedup
+from tablewright.llm import mixing, near_copies, quality, sentence_pieces, simhash, suffix_dedup
 from tablewright.llm.common import stored, table, tokenizer_path, words_in
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,8 +23,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five words, likeness 0.8 or more) the document of smallest doc_id (then of smallest digest;
-    one without doc_id only if all are); of repeated rows one."""
-    groups = near_copies.near_copies(docs.select("doc_id", "text"), words=5, likeness=0.8)
+    one without doc_id only if all are); of repeated rows one. Candidates are the groups of SimHash and, beyond its four
+    bits, shared least hashes; the exact likeness decides."""
+    texts = docs.select("doc_id", "text")
+    groups = near_copies.near_copies(texts, words=5, likeness=0.8, groups=simhash.near_duplicates(texts, words=5))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "digest")
     first = groups.groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.doc_id").alias("_id"), F.col("first.digest").alias("_digest"))
     rows = docs.select(*COLUMNS, F.xxhash64("text").alias("_own"))

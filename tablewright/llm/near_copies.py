@@ -161,18 +161,25 @@ def _crowded(bands: DataFrame, counts: DataFrame, sets: DataFrame, likeness: flo
     return met.repartition("key", "block").sortWithinPartitions("key", "block").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_copies(docs: DataFrame, words: int = 5, likeness: float = 0.8) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = 5, likeness: float = 0.8, groups: DataFrame | None = None) -> DataFrame:
     """Rows (doc_id, digest, component), one per document; texts without a word are alike.
 
     Reads ``doc_id`` and ``text``; other columns may have any names. Null and empty texts have no word; long
     ones are read whole; repeated rows keep their rows; an empty table gives no rows. Equal sets of shingles meet
     once. Every two sets that share a key are compared, pair by pair under most keys and block by block
-    under crowded ones, so both ways find the same components.
+    under crowded ones, so both ways find the same components. Documents of one of the ``groups`` (doc_id, digest,
+    component) that another search found, such as SimHash, share a key as well and are held to the same likeness.
     """
     prints = stored(_prints(docs, words), "prints")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest")).alias("first")
     distinct = prints.groupBy("set").agg(first, F.first("keys").alias("keys"))
-    bands = stored(distinct.select("set", "first", F.explode("keys").alias("key")), "bands")
+    keyed = distinct.select("set", "first", F.explode("keys").alias("key"))
+    if groups is not None:
+        of = groups.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), F.xxhash64("component", F.lit("group")).alias("key"))
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest"))
+        members = prints.select("doc_id", "digest", "set").join(of, same).select("set", "key").distinct()
+        keyed = keyed.unionByName(distinct.select("set", "first").join(members, "set")).distinct()
+    bands = stored(keyed, "bands")
     counts = bands.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(bands.join(counts, "key").select("key", "n", "set", F.col("first.doc_id").alias("id"), F.col("first.digest").alias("of")), "shared")
     sets = stored(_sets(docs, shared.select("set", "id", "of").distinct(), words), "sets")

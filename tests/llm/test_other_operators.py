@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from tablewright.llm import mixing, near_copies, quality, top_k, warc
+from tablewright.llm import mixing, near_copies, quality, simhash, top_k, warc
 from tablewright.session import scratch_path
 
 # --- top-k -----------------------------------------------------------------------------------
@@ -438,3 +438,16 @@ def test_blocks_link_what_pairs_do():
 
 def test_no_near_copies_of_nothing(spark, nothing):
     assert near_copies.near_copies(nothing).count() == 0
+
+
+def test_near_copies_stage_runs_simhash_and_keeps_to_the_likeness(spark, monkeypatch):
+    """Without any least hash in common, SimHash alone brings the copies together; the unlike ones stay."""
+    monkeypatch.setattr(near_copies, "band_keys", lambda found: [])
+    words = [f"w{i}" for i in range(400)]
+    near = [*words[:200], "x", *words[201:]]
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(reversed(words))), (4, ""), (5, None)]
+    frame = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    prints = {r["doc_id"]: int(r["fingerprint"]) for r in simhash.fingerprints(frame, 5).collect()}
+    assert ((prints[1] ^ prints[2]) & (1 << 64) - 1).bit_count() <= 4
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.without_near_copies(spark, frame, "").collect())
+    assert kept == [1, 3, 4]
