@@ -107,3 +107,39 @@ def test_cell_search_lets_finished_tables_go(spark, monkeypatch):
     assert [got[i] for i in q[0]] == _brute(q[1], r[0], r[1], 5, "euclidean")
     left = [label for label, df in made if any(Path(urlparse(f).path).exists() for f in df.inputFiles())]
     assert left == ["near"] and len(made) > 10
+
+
+def _few_values(n, seed):
+    """Numbers and categories of few values, with copies: many rows are equally far."""
+    rng = np.random.default_rng(seed)
+    x = np.column_stack([rng.integers(0, 50, n) / 15, rng.uniform(0, 3.4, n), rng.integers(0, 11, n) / 3, np.eye(2)[rng.integers(0, 2, n)]])
+    x[: n // 10] = x[0]
+    return x
+
+
+@pytest.mark.parametrize("metric", knn.METRICS)
+def test_broadcast_search_rules_out_most_rows(monkeypatch, metric):
+    """The answer of a full search, of which most distances are never computed."""
+    r, q = _few_values(40_000, 3), _few_values(500, 4)
+    q[:20] = r[0]
+    full = knn.top_k(q, r, 7, metric)
+    boxes, pairs, measured = knn.Boxes(r), [0], knn.distances
+
+    def counted(a, b, m):
+        pairs[0] += len(a) * len(b)
+        return measured(a, b, m)
+
+    monkeypatch.setattr(knn, "distances", counted)
+    found = boxes.top_k(q, 7, metric)
+    assert all(np.array_equal(a, b) for part, own in zip(full, found) for a, b in zip(part, own))
+    assert pairs[0] < len(q) * len(r) / 3
+
+
+def test_boxes_leave_rows_that_rule_out_little_or_are_not_finite_to_the_full_search():
+    rng = np.random.default_rng(5)
+    wide, asked = rng.normal(size=(9000, 40)), rng.normal(size=(50, 40))
+    holes = _few_values(9000, 6)
+    holes[5, 0] = np.nan
+    for q, r in ((asked, wide), (_few_values(50, 7), holes)):
+        full, found = knn.top_k(q, r, 5, "manhattan"), knn.Boxes(r).top_k(q, 5, "manhattan")
+        assert all(np.array_equal(a, b) for part, own in zip(full, found) for a, b in zip(part, own))
