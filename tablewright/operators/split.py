@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -167,10 +168,19 @@ def hold_out(
     """
     by = [stratify] if stratify else []
     hashed = df.withColumn("_digest", row_hash(*key, seed=seed))
-    sizes = _sizes(hashed, by)
-    cuts = _cut_digests(hashed, by, _test_ranks(sizes, by, test_size), sizes)
+    # two scans look for the cut digests: when that is done now, they share one computation of the digests
+    digests = hashed.select(*[col(b) for b in by], "_digest")
+    if eager:
+        digests = digests.persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = _sizes(digests, by)
+    cuts = _cut_digests(digests, by, _test_ranks(sizes, by, test_size), sizes)
+    try:
+        assigned = _assign(hashed, by, cuts, eager)
+    finally:
+        if eager:
+            digests.unpersist()
     return (
-        _assign(hashed, by, cuts, eager)
+        assigned
         .withColumn("split", F.when(F.col("_slot") == 0, "test").otherwise("train"))
         .drop("_digest", "_slot")
     )

@@ -182,3 +182,19 @@ def test_duplicates_keep_the_first_row(spark):
     kept = profiling.drop_duplicates(df, ["x", "y"], "id").collect()
     assert sorted(r["id"] for r in kept) == ["r1", "r3"]
     assert profiling.duplicate_rows(df, ["x", "y"]).first()["duplicate_rows"] == 2
+
+
+def test_an_eager_split_computes_each_digest_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def key(i):
+        seen.add(1)
+        return f"k{i}"
+
+    rows = spark.range(0, 900, 1, 3).withColumn("key", key("id")).withColumn("class", F.col("id") % 3)
+    for by in (None, "class"):
+        before = seen.value
+        eager = split.hold_out(rows, ["key"], stratify=by, eager=True)
+        assert seen.value - before == 900
+        assert sorted(eager.collect()) == sorted(split.hold_out(rows, ["key"], stratify=by).collect())
