@@ -156,6 +156,9 @@ class _Counts:
         first = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
         n = np.add.reduceat(n[order], first)
         at = order[first]
+        # phrases of one last word, and in it of one kind, stand together: their equal bytes are what is compressed
+        near = np.lexsort((kind[at], last[at]))
+        at, n = at[near], n[near]
         columns = [kind[at].astype(np.int32), prefix[at].view(np.int64), last[at].view(np.int64), n.astype(np.int64)]
         for i in range(0, len(at), 1 << 16):
             yield pa.RecordBatch.from_arrays([pa.array(c[i : i + (1 << 16)]) for c in columns], ["kind", "prefix", "last", "n"])

@@ -64,6 +64,20 @@ def test_ties_at_the_last_rank(spark):
     assert sorted(tuple(r) for r in got.collect()) == _phrases(rows, 4, 5)
 
 
+def test_counts_of_one_last_word_are_handed_on_together():
+    """Equal bytes stand together for the shuffle's compression; counts are the same in any order."""
+    rng = np.random.default_rng(4)
+    counts, want = collocations._Counts(), Counter()
+    for _ in range(3):
+        prefix, last = rng.integers(1, 60, 2000).astype(np.uint64), rng.integers(1, 25, 2000).astype(np.uint64)
+        counts.add(2, np.ones(2000, dtype=np.int32), prefix, last, collocations.joined_key(prefix, last))
+        want.update(zip(prefix.tolist(), last.tolist()))
+    (batch,) = counts.rows()
+    rows = batch.to_pydict()
+    assert rows["last"] == sorted(rows["last"])
+    assert dict(zip(zip(rows["prefix"], rows["last"]), rows["n"])) == want
+
+
 def test_no_collocations(spark, nothing):
     assert collocations.collocations(nothing).count() == 0
     rare = spark.createDataFrame([(None, None), ("en", ""), ("en", "a b c")], "lang string, text string")
