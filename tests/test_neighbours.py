@@ -143,3 +143,43 @@ def test_boxes_leave_rows_that_rule_out_little_or_are_not_finite_to_the_full_sea
     for q, r in ((asked, wide), (_few_values(50, 7), holes)):
         full, found = knn.top_k(q, r, 5, "manhattan"), knn.Boxes(r).top_k(q, 5, "manhattan")
         assert all(np.array_equal(a, b) for part, own in zip(full, found) for a, b in zip(part, own))
+
+
+@pytest.mark.parametrize("metric", knn.METRICS)
+@pytest.mark.parametrize("case", ["wide", "whole numbers", "far from zero", "copies", "not finite"])
+def test_rough_distances_change_no_answer(monkeypatch, metric, case):
+    """Few rows are measured exactly, and answers are those of the full measure bit by bit."""
+    rng = np.random.default_rng(11)
+    r, q = rng.normal(size=(6000, 20)), rng.normal(size=(300, 20))
+    if case == "whole numbers":
+        r, q = np.round(r[:, :4]), np.round(q[:, :4])
+    elif case == "far from zero":
+        r, q = r + 1e5, q + 1e5
+    elif case == "copies":
+        r[:2500], q[:100] = r[0], r[0]
+    elif case == "not finite":
+        r[7, 3], q[5, 2] = np.nan, np.inf
+    full = knn._measured_top_k(q, r, 5, metric)
+    measured, exact = [], knn.Rough._exact
+    monkeypatch.setattr(knn.Rough, "_exact", lambda self, q, at, row: measured.append(len(at)) or exact(self, q, at, row))
+    found = knn.top_k(q, r, 5, metric)
+    assert all(np.array_equal(a, b) for part, own in zip(full, found) for a, b in zip(part, own))
+    if case == "wide":
+        assert len(measured) == 2 and sum(measured) < 10 * len(q)
+
+
+@pytest.mark.parametrize("metric", knn.METRICS)
+def test_cells_that_rule_out_little_are_not_listed(spark, monkeypatch, metric):
+    """In many dimensions no list of visits is written: all rows are searched, with the answer of a full search."""
+    monkeypatch.setattr(knn, "LISTED", 0)
+    made, original = [], knn._written
+    monkeypatch.setattr(knn, "_written", lambda df, label: made.append((label, original(df, label))) or made[-1][1])
+    q, r = _points(60, 20, 12), _points(500, 20, 13)
+    r[1][:100] = r[1][0]
+    asked, held = _frames(spark, q, r)
+    found = with_neighbours(asked, held, 5, metric, broadcast_bytes=0, block_rows=25).collect()
+    got = {row["_id"]: list(row["neighbours"]["ids"]) for row in found}
+    assert [got[i] for i in q[0]] == _brute(q[1], r[0], r[1], 5, metric)
+    assert "routes" not in [label for label, _ in made]
+    left = [label for label, df in made if any(Path(urlparse(f).path).exists() for f in df.inputFiles())]
+    assert left == ["near"]
