@@ -198,3 +198,20 @@ def test_an_eager_split_computes_each_digest_once(spark):
         eager = split.hold_out(rows, ["key"], stratify=by, eager=True)
         assert seen.value - before == 900
         assert sorted(eager.collect()) == sorted(split.hold_out(rows, ["key"], stratify=by).collect())
+
+
+def test_tables_that_differ_nowhere_shuffle_no_rows(spark):
+    """Buckets of rows are compared by their sums; the rows of those that differ alone are counted whole."""
+    schema, nan = "id long, x double, s string", float("nan")
+    rows = [(1, 0.0, "a"), (1, 0.0, "a"), (2, nan, None), (3, None, "c"), (None, 1.0, "d"), (5, 2.0, "e"), (None, None, None)]
+    other = [(1, -0.0, "a"), (2, nan, None), (3, None, "c"), (None, 1.0, "d"), (6, 2.0, "e"), (6, 2.0, "e"), (None, None, None), (None, 3.0, None)]
+
+    def compared(a, b):
+        found = split.rows_in_one_only(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema))
+        return tuple(found.collect()[0]), found._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+
+    assert compared(rows, other)[0] == (2, 3)
+    assert compared([(1, None, "a")], [(None, 1.0, "a")])[0] == (1, 1)
+    assert compared([], [])[0] == (0, 0)
+    same, plan = compared(rows, rows[::-1])
+    assert same == (0, 0) and "hashpartitioning" not in plan
