@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm.common import discard, stored
@@ -98,7 +98,7 @@ def prefix_of(key: np.ndarray, last: np.ndarray) -> np.ndarray:
 
 
 def tail_of(last: np.ndarray) -> np.ndarray:
-    """What open counts keep of the hash of a last word."""
+    """What open counts keep of the hash of a last word; for a single word, of that of its language."""
     return (last & np.uint64(0xFFFF)).astype(np.int32)
 
 
@@ -236,11 +236,12 @@ def _scan(blocks: DataFrame, rounds, number: int, shards: int, longest: int, bit
         reached = np.frombuffer(zstandard.ZstdDecompressor().decompress(rounds.value), dtype=np.uint8)
         counts = _Open(bits)
         for batch in batches:
-            for raw, packed in zip(*(c.to_pylist() for c in batch.columns)):
+            for lang, raw, packed in zip(*(c.to_pylist() for c in batch.columns)):
                 hashes = np.frombuffer(raw, dtype=np.uint64)
                 codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed), dtype=np.uint32)
                 if number < shards:
-                    counts.add(1, 0, hashes[2:], hashes[2:], np.bincount(codes, minlength=len(hashes))[2:])
+                    own = np.full(len(hashes) - 2, seed_of(lang), dtype=np.uint64)
+                    counts.add(1, 0, hashes[2:], own, np.bincount(codes, minlength=len(hashes))[2:])
                 of_word = reached[place_of(hashes, len(reached))].astype(np.int32)
                 of_word[:2] = _NEVER
                 when = of_word[codes]
@@ -264,7 +265,7 @@ def _scan(blocks: DataFrame, rounds, number: int, shards: int, longest: int, bit
                     yield from counts.rows()
         yield from counts.rows()
 
-    return blocks.select("hashes", "codes").mapInArrow(run, "part int, open binary")
+    return blocks.select("lang", "hashes", "codes").mapInArrow(run, "part int, open binary")
 
 
 def _added_up(met: DataFrame, number: int, shards: int, threshold: int) -> DataFrame:
@@ -290,8 +291,21 @@ def _spread(packed: DataFrame) -> DataFrame:
     return packed.mapInArrow(run, _ROW)
 
 
+def _bits_of(last: str) -> Column:
+    return F.col(last).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("tail")
+
+
+def _words(blocks: DataFrame, ones: DataFrame, seeds: DataFrame, places: int) -> DataFrame:
+    """Rows (key, of): each frequent word and the hash of its language. Blocks are read for it only if languages share a tail."""
+    known = seeds.select("of", _bits_of("of"))
+    found = ones.join(known, "tail").select("key", "of")
+    if known.groupBy("tail").count().where("count > 1").head(1):
+        found = found.join(_of_language(blocks, ones.select("key"), places), ["key", "of"], "left_semi")
+    return found
+
+
 def _of_language(blocks: DataFrame, wanted: DataFrame, places: int) -> DataFrame:
-    """Rows (key, of, tail): the hash of the language of each wanted word, and what open counts keep of its own."""
+    """Rows (key, of): the hash of the language of each wanted word, and of words that share their places."""
     needed = np.zeros(places, dtype=np.uint8)
     needed[_places(wanted, places)] = 1
     shared = _sent(blocks.sparkSession, needed)
@@ -303,10 +317,9 @@ def _of_language(blocks: DataFrame, wanted: DataFrame, places: int) -> DataFrame
                 hashes = np.frombuffer(raw, dtype=np.uint64)[2:]
                 hashes = hashes[needed[place_of(hashes, places)] > 0]
                 of = np.full(len(hashes), seed_of(lang), dtype=np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(of), pa.array(tail_of(hashes))], ["key", "of", "tail"])
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(of)], ["key", "of"])
 
-    found = blocks.select("lang", "hashes").mapInArrow(run, "key long, of long, tail int").distinct()
-    return found.join(wanted, "key", "left_semi")
+    return blocks.select("lang", "hashes").mapInArrow(run, "key long, of long")
 
 
 def _with_prefix(rows: DataFrame) -> DataFrame:
@@ -449,9 +462,10 @@ def collocations(
     blocks = spark.read.schema("lang string, tokens long, hashes binary, codes binary, words binary, shard int").parquet(path)
     totals = stored(blocks.groupBy("lang").agg(F.sum("tokens").alias("n")), "totals")
     found = frequent_phrases(blocks, threshold, longest, shards, places).withColumn("words", F.col("kind").bitwiseAND(F.lit(7)))
-    ones = stored(_of_language(blocks, found.where("words = 1").select("key"), places), "words")
+    seeds = _seeds(totals)
+    ones = stored(_words(blocks, found.where("words = 1").select("key", "tail"), seeds, places), "words")
     # another word of the same tail leaves a prefix that no phrase has
-    pairs = _with_prefix(found.where("words > 1").join(ones.select("tail", F.col("key").alias("last")), "tail"))
+    pairs = _with_prefix(found.where("words > 1").join(ones.select(_bits_of("key"), F.col("key").alias("last")), "tail"))
     pairs = stored(pairs, "frequent")
 
     level = ones.select("key", F.array("key").alias("hashes"), "of")
@@ -469,7 +483,6 @@ def collocations(
     )
     most = inner.groupBy("key").agg(F.max("a").alias("longer"))
     kept = phrases.join(most, "key", "left").where(F.col("longer").isNull() | (100 * F.col("longer") < absorb * F.col("a")))
-    seeds = _seeds(totals)
     cut = cuts.join(counts.select(F.col("key").alias("left"), F.col("n").alias("l")), "left").join(
         counts.select(F.col("key").alias("right"), F.col("n").alias("r")), "right"
     )

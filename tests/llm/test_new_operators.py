@@ -121,6 +121,19 @@ def test_last_words_that_share_their_bits(spark):
     assert sorted(tuple(r) for r in got.collect()) == expected and len(expected) > 100
 
 
+def test_languages_that_share_their_bits(spark):
+    """Words of languages with the same tail are told apart by the blocks."""
+    met, langs = {}, []
+    for i in range(2000):
+        other = met.setdefault(collocations.seed_of(f"l{i}") & 0xFFFF, i)
+        langs = langs or ([f"l{other}", f"l{i}"] if other != i else [])
+    rng = random.Random(4)
+    rows = [(langs[i % 2], " ".join(rng.choice("abcd" if i % 2 else "cdefg") for _ in range(60))) for i in range(40)]
+    got = collocations.collocations(spark.createDataFrame(rows, "lang string, text string"), threshold=5, best=500, shards=2)
+    expected = _phrases(rows, 5, 500)
+    assert sorted(tuple(r) for r in got.collect()) == expected and {r[0] for r in expected} == set(langs)
+
+
 def test_no_collocations(spark, nothing):
     assert collocations.collocations(nothing).count() == 0
     rare = spark.createDataFrame([(None, None), ("en", ""), ("en", "a b c")], "lang string, text string")
