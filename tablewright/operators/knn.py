@@ -1,16 +1,16 @@
 """k nearest neighbours, exact at any size.
 
 A reference side below a checked byte size is broadcast and the search is one map over
-the query rows, in which boxes of reference rows are ruled out by their distance. Beyond that, reference rows are grouped into cells around sampled
-pivots on two levels, and the triangle inequality rules cells out (``search_cells``):
+the query rows, in which boxes of reference rows are ruled out by their distance. Beyond that, space is cut into cells
+of about ``block_rows`` reference rows at medians of sampled rows (``search_cells``):
 
-1. a query searches its own cell, which bounds its k-th distance;
-2. it then visits the other cells whose ball reaches within that bound, nearest first, in
-   rounds between which the bound shrinks. Where the balls rule out little, as with many inputs,
+1. a query searches the cell it lies in, which bounds its k-th distance;
+2. it then visits the other cells whose box of rows reaches within that bound, nearest first, in
+   rounds between which the bound shrinks. Where boxes rule out little, as with many inputs,
    no visits are listed: blocks of all rows meet batches of queries instead.
 
 Cells are split into blocks and visits into batches of bounded size, so neither a hot
-cell nor a hot query region ends in one task. Reference copies collapse to k rows each
+cell nor a hot query region ends in one task. Reference copies are thinned to k rows each per block of input
 beforehand. Nothing is cut off: the answer equals a full search, ties broken by id.
 """
 
@@ -22,6 +22,8 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -37,9 +39,10 @@ from pyspark.ml.util import (
     MLWritable,
     MLWriter,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.exprs import col
 from ..session import scratch_path
@@ -50,6 +53,8 @@ BLOCK_ROWS = 20_000
 STEP = 4
 #: Rows of a box of the broadcast search, queries that are sorted into boxes together, and those that are tried first.
 LEAF, QUERIES, TRIED = 2048, 10_000, 100
+#: Rows of a box inside a cell that many queries lie in, and sampled rows per cell.
+FINE, SAMPLED = 256, 32
 #: Queries and reference rows of one step of the rough search, and near rows of it held together.
 CHUNK, TILE, HELD = 256, 2048, 4_000_000
 #: Listed visits below which the search in cells goes on even if they rule out little.
@@ -250,17 +255,17 @@ def _rank(query: np.ndarray) -> np.ndarray:
 
 
 class Boxes:
-    """Reference rows (sorted by id) dealt into boxes of at most ``LEAF`` rows, cut at medians.
+    """Reference rows (sorted by id) dealt into boxes of at most ``leaf`` rows, cut at medians.
 
     Rows that are not all finite stay in one box.
     """
 
-    def __init__(self, points: np.ndarray):
+    def __init__(self, points: np.ndarray, leaf: int = LEAF):
         self.points, finite = points, bool(np.isfinite(points).all())
         self.rows, open_ = [], [np.arange(len(points))]
         while open_:
             own = open_.pop()
-            if len(own) <= LEAF or not finite:
+            if len(own) <= leaf or not finite:
                 self.rows.append(np.sort(own))
                 continue
             x = points[own]
@@ -285,26 +290,33 @@ class Boxes:
         return np.sqrt(out, out=out) if metric == "euclidean" else out
 
     def top_k(self, q: np.ndarray, k: int, metric: str) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """The same as ``top_k`` over all rows.
+        """The same as ``top_k`` over all rows."""
+        places, gaps = self.nearest(q, k, metric)
+        return list(places), list(gaps)
+
+    def nearest(self, q: np.ndarray, k: int, metric: str, bound: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Positions and distances of the k nearest rows as two matrices; rows beyond a query's bound may be
+        left out, for which the position is the number of rows.
 
         Queries of one nearest box go together through the boxes, nearest first, until the next one is farther
         than every k-th distance. Where boxes rule out little, as with many inputs, all rows are searched.
         """
         k = min(k, len(self.points))
-        places, gaps = [], []
+        bound = np.full(len(q), np.inf) if bound is None else bound * (1 + 1e-9) + 1e-12
+        places, gaps = [np.empty((0, k), dtype=int)], [np.empty((0, k))]
         for start in range(0, len(q), QUERIES):
-            part = q[start : start + QUERIES]
-            found = self._search(part, k, metric) if len(self.rows) > 3 and np.isfinite(part).all() else None
+            part, limit = q[start : start + QUERIES], bound[start : start + QUERIES]
+            found = self._search(part, k, metric, limit) if len(self.rows) > 3 and np.isfinite(part).all() else None
             found = found or top_k(part, self.points, k, metric)
-            places += found[0]
-            gaps += found[1]
-        return places, gaps
+            places.append(np.asarray(found[0]))
+            gaps.append(np.asarray(found[1]))
+        return np.concatenate(places), np.concatenate(gaps)
 
-    def _search(self, q: np.ndarray, k: int, metric: str):
+    def _search(self, q: np.ndarray, k: int, metric: str, bound: np.ndarray):
         some = slice(None, None, -(-len(q) // TRIED))
-        if self._homes(q[some], k, metric) is None:
+        if len(q) > TRIED and self._homes(q[some], k, metric, bound[some]) is None:
             return None
-        found = self._homes(q, k, metric)
+        found = self._homes(q, k, metric, bound)
         if found is None:
             return None
         least, home, groups, place, gap = found
@@ -316,17 +328,18 @@ class Boxes:
                     break
                 if box != home[own[0]]:
                     self._visit(q, own[_within(part[:, box], gap[own, -1])], box, place, gap, metric)
-        return list(place), list(gap)
+        return place, gap
 
-    def _homes(self, q: np.ndarray, k: int, metric: str):
+    def _homes(self, q: np.ndarray, k: int, metric: str, bound: np.ndarray):
         """Every query in its nearest box; None if the bounds so found rule out little."""
         least = self.least(q, metric)
         home = least.argmin(axis=1)
-        place, gap = np.full((len(q), k), len(self.points)), np.full((len(q), k), np.inf)
+        place, gap = np.full((len(q), k), len(self.points)), np.repeat(bound[:, None], k, axis=1)
         order = np.argsort(home, kind="stable")
         groups = np.split(order, np.flatnonzero(np.diff(home[order])) + 1)
         for own in groups:
-            self._visit(q, own, home[own[0]], place, gap, metric)
+            box = home[own[0]]
+            self._visit(q, own[_within(least[own, box], gap[own, -1])], box, place, gap, metric)
         if np.count_nonzero(_within(least, gap[:, -1:])) > least.size / 4:
             return None
         return least, home, groups, place, gap
@@ -409,22 +422,13 @@ def _broadcast_search(queries: DataFrame, reference: DataFrame, k: int, metric:
 def _cell_search(
     queries: DataFrame, reference: DataFrame, n: int, k: int, metric: str, block_rows: int
 ) -> DataFrame:
-    asked = queries.select(col("_id").cast("string").alias("qid"), F.col("_x").alias("qx"))
-    near, visits = search_cells(asked, reference, n, k, metric, block_rows)
+    # equal vectors have equal neighbours: a query is known by its vector, a crowded one in 64 parts, and keys may repeat
+    part = F.pmod(F.xxhash64("_id"), F.lit(64))
+    key = F.concat_ws("-", *[F.hex(F.xxhash64(F.lit(seed), part, "_x")) for seed in (1, 2)])
+    near, visits = _in_cells(queries.select(key.alias("qid"), F.col("_x").alias("qx")), reference, n, k, metric, block_rows)
     _discard(visits)
-    best = (
-        near.groupBy("qid")
-        .agg(F.array_sort(F.collect_list(F.struct("d", "id", "label"))).alias("_near"))
-        .select(
-            "qid",
-            F.struct(
-                F.col("_near.id").alias("ids"),
-                F.col("_near.d").alias("distances"),
-                F.col("_near.label").alias("labels"),
-            ).alias("neighbours"),
-        )
-    )
-    return queries.join(best, col("_id").cast("string") == F.col("qid"), "left").drop("qid")
+    best = near.select(F.col("qid").alias("_qid"), F.struct("ids", "distances", "labels").alias("neighbours"))
+    return queries.withColumn("_key", key).join(best, F.col("_key") == F.col("_qid"), "left").drop("_key", "_qid")
 
 
 def search_cells(
@@ -432,136 +436,188 @@ def search_cells(
 ) -> tuple[DataFrame, DataFrame]:
     """(k nearest rows (qid, d, id, label), visits (qid, cell) beyond the home cell) of queries (qid, qx).
 
-    Reference rows lie in cells around pivots, on two levels: about sqrt(n / block_rows) regions, whose
-    centres are broadcast, and in each region one cell per sampled row, about 2 n / block_rows in all,
-    which meet the rows of their region alone. A query searches its home cell, lists the cells that
-    the triangle inequality leaves within its k-th distance, and visits them nearest first in rounds of
-    4, 16, 64 and so on; after each round its k-th distance shrinks and rules out more. The list holds
-    names and bounds, no vectors. Rounds number the logarithm of the longest list. Where a long list would name
-    over a quarter of all cells, all rows are searched instead and no visits are returned.
+    Space is cut into about n / block_rows cells at medians of sampled reference rows; a query's home is the cell
+    it lies in. The k-th distance there leaves those cells whose box of rows is within it; they are visited nearest
+    first in rounds of 4, 16, 64 and so on, after each of which the k-th distance shrinks and rules out more.
+    Queries that list over a quarter of all cells meet all rows instead and have no visits.
     """
+    near, visits = _in_cells(asked, reference, n, k, metric, block_rows)
+    rows = F.explode(F.arrays_zip(F.col("distances").alias("d"), F.col("ids").alias("id"), F.col("labels").alias("label")))
+    return near.select("qid", rows.alias("_n")).select("qid", "_n.d", "_n.id", "_n.label"), visits
+
+
+_NEAR = "ids array<string>, distances array<double>, labels array<double>"
+
+
+def _in_cells(
+    asked: DataFrame, reference: DataFrame, n: int, k: int, metric: str, block_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """The search of ``search_cells``, with the neighbours of a query as one row (qid, ids, distances, labels)."""
     spark = asked.sparkSession
-    points = _written(_without_copies(reference, k), "points")
-    regions = max(1, math.ceil(math.sqrt(n / block_rows)))
-    chosen = points.orderBy(F.md5("id"), "id").limit(regions).select("id", "x").collect()
-    centres = _matrix([r["x"] for r in chosen])
-    shared = spark.sparkContext.broadcast(centres)
-
-    @F.pandas_udf("region int, gap double")
-    def nearest_region(x: pd.Series) -> pd.DataFrame:
-        if len(x) == 0:
-            return _empty(region="int32", gap=float)
-        best, gaps = _nearest(_matrix(x), shared.value, metric)
-        return pd.DataFrame({"region": best.astype("int32"), "gap": gaps})
-
-    placed = points.withColumn("_r", nearest_region("x"))
-    placed = _written(placed.select("id", "x", "label", "_r.region", "_r.gap"), "regions")
-    _discard(points)
-    sampled = F.pmod(F.xxhash64("id", F.lit("pivot")), F.lit(max(1, block_rows // 2))) == 0
-    pivots = placed.where(sampled | F.col("id").isin([r["id"] for r in chosen]))
-    pivots = pivots.select("region", F.col("id").alias("cell"), F.col("x").alias("cx"))
-
-    def place(p: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if p.empty or r.empty:
-            return _empty(id=object, cell=object, gap=float)
-        p = p.sort_values("cell", kind="stable")
-        best, gaps = _nearest(_matrix(r["x"]), _matrix(p["cx"]), metric)
-        return pd.DataFrame({"id": r["id"].to_numpy(), "cell": p["cell"].to_numpy()[best], "gap": gaps})
-
-    # one row per region
-    stats = placed.groupBy("region").agg(F.count("*").alias("n"), F.max("gap").alias("r")).collect()
-    radius = np.full(len(centres), -np.inf)  # an empty region is never reached
-    for row in stats:
-        radius[row["region"]] = row["r"]
-    radius_shared = spark.sparkContext.broadcast(radius)
-    cells = _per_region(pivots, placed.select("region", "id", "x"), place, "id string, cell string, gap double", block_rows)
-    in_regions = placed
-    placed = _written(placed.select("id", "x", "label", "region").join(cells, "id"), "cells")
-    sizes = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r"))
-    cells = _written(pivots.join(sizes, "cell"), "pivots")
-    _discard(in_regions)
-
-    def home(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if c.empty or q.empty:
-            return _empty(qid=object, cell=object)
-        c = c.sort_values("cell", kind="stable")
-        best, _ = _nearest(_matrix(q["qx"]), _matrix(c["cx"]), metric)
-        return pd.DataFrame({"qid": q["qid"].to_numpy(), "cell": c["cell"].to_numpy()[best]})
-
-    asked = _written(asked, "asked")
-    own = asked.withColumn("_r", nearest_region("qx")).select("qid", "qx", "_r.region")
-    own = _written(_per_region(cells, own, home, "qid string, cell string", block_rows), "homes")
-    order = Window.partitionBy("qid").orderBy("d", "id")
-
-    def merged(found: DataFrame) -> DataFrame:
-        return _written(found.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= k).drop("_rn"), "near")
-
-    def with_bound(rows: DataFrame, near: DataFrame) -> DataFrame:
-        bound = near.groupBy("qid").agg(F.when(F.count("*") >= k, F.max("d")).otherwise(float("inf")).alias("bound"))
-        return rows.join(bound, "qid", "left").withColumn("bound", F.coalesce("bound", F.lit(float("inf"))))
-
-    first = own.join(asked, "qid").withColumn("bound", F.lit(float("inf")))
-    near = merged(_visit(first, placed, cells, k, metric, block_rows))
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def reachable(x: pd.Series, bound: pd.Series) -> pd.Series:
-        if len(x) == 0:
-            return pd.Series([], dtype=object)
-        q, limit, out = _matrix(x), bound.to_numpy(), []
-        for start in range(0, len(q), 2048):
-            d = distances(q[start : start + 2048], shared.value, metric)
-            reach = _within(d - radius_shared.value[None, :], limit[start : start + 2048, None])
-            reach &= np.isfinite(radius_shared.value)[None, :]
-            out += [list(np.flatnonzero(r).astype("int32")) for r in reach]
-        return pd.Series(out)
-
-    def route(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-        if c.empty or q.empty:
-            return _empty(qid=object, cell=object, least=float)
-        names, cx, r = c["cell"].to_numpy(), _matrix(c["cx"]), c["r"].to_numpy()
-        parts = []
-        for start in range(0, len(q), 2048):
-            part = q.iloc[start : start + 2048]
-            least = distances(_matrix(part["qx"]), cx, metric) - r[None, :]
-            at, cell = np.nonzero(_within(least, part["bound"].to_numpy()[:, None]) & (names[None, :] != part["own"].to_numpy()[:, None]))
-            parts.append(pd.DataFrame({"qid": part["qid"].to_numpy()[at], "cell": names[cell], "least": least[at, cell]}))
-        return pd.concat(parts)
-
-    reach = with_bound(asked.join(own.withColumnRenamed("cell", "own"), "qid"), near)
-    reach = reach.withColumn("region", F.explode(reachable("qx", "bound")))
-    routes = _per_region(cells, reach, route, "qid string, cell string, least double", block_rows)
-    if _rules_out_little(asked, cells, routes_of=lambda some: _per_region(cells, reach.join(some, "qid", "left_semi"), route, "qid string, cell string, least double", block_rows)):
-        before, near = near, merged(near.unionByName(_search_all(with_bound(own.join(asked, "qid"), near), placed, k, metric, block_rows)))
-        for table in (before, own, placed, cells, asked):
-            _discard(table)
-        return near, spark.createDataFrame([], "qid string, cell string")
-    nearest = Window.partitionBy("qid").orderBy("least", "cell")
-    routes = _written(routes.withColumn("turn", F.row_number().over(nearest)), "routes")
-    _discard(own)
-    done, last, visits = 0, STEP, []
+    wanted = max(1, math.ceil(n / block_rows))
+    apart = max(1, n // (wanted * SAMPLED))
+    rows = reference.select(col("id").cast("string").alias("id"), "x", col("label").cast("double").alias("label"))
+    sample = _written(rows.where(F.pmod(F.xxhash64("x", "id"), F.lit(apart)) == 0).select("x"), "sample")
+    drawn = [r["x"] for r in sample.collect()] or [r["x"] for r in rows.select("x").limit(1).collect()]
+    _discard(sample)
+    tree = Cells(_matrix(drawn), max(1, len(drawn) // wanted))
+    shared = spark.sparkContext.broadcast(tree)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _joined(batches, block_rows):
+            x = _cells(table["x"])
+            kept = _few_copies(x, table["id"], k)
+            yield from table.take(pa.array(kept)).append_column("cell", pa.array(shared.value.of(x[kept]))).to_batches()
+
+    placed = _written(rows.mapInArrow(place, "id string, x array<double>, label double, cell int"), "cells")
+    width = range(len(drawn[0]))
+    sides = [f(F.col("x")[i]).alias(f"{side}{i}") for side, f in (("l", F.min), ("h", F.max)) for i in width]
+    boxes = _written(placed.groupBy("cell").agg(F.count("*").alias("n"), *sides), "boxes")
+    tree.bounded({r["cell"]: ([r[f"l{i}"] for i in width], [r[f"h{i}"] for i in width]) for r in boxes.collect()})
+    cells, reach = boxes.select("cell", "n"), spark.sparkContext.broadcast(tree)
+
+    def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.append_column("cell", pa.array(reach.value.of(_cells(batch.column("qx"))))).append_column("bound", pa.array(np.full(len(batch), np.inf)))
+
+    own = asked.select("qid", "qx").mapInArrow(home, "qid string, qx array<double>, cell int, bound double")
+    near = _written(_merged(_visit(own, placed, cells, k, metric, block_rows, every=True), k), "near")
+    queries, quarter = near.count(), boxes.count() / 4
+    whole = queries * boxes.count() >= LISTED
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            q, bound = _cells(batch.column("qx")), _bounds(batch.column("distances"), k)
+            at, cell, least = reach.value.within(q, bound, metric)
+            other = cell != reach.value.of(q)[at]
+            at, cell, least = at[other], cell[other], least[other]
+            order = np.lexsort((cell, least, at))
+            at, cell, least = at[order], cell[order], least[order]
+            sizes = np.bincount(at, minlength=len(q))
+            far = sizes > quarter if whole else np.zeros(len(q), dtype=bool)
+            short = ~far[at]
+            listed = [_lists(v[short], np.where(far, 0, sizes)) for v in (cell, least)]
+            table = pa.table([batch.column("qid"), batch.column("qx"), pa.array(reach.value.of(q)), pa.array(bound), pa.array(far), *listed], names=["qid", "qx", "cell", "bound", "far", "cells", "least"])
+            yield from table.filter(pa.array(sizes > 0)).to_batches()
+
+    listing = "qid string, qx array<double>, cell int, bound double, far boolean, cells array<int>, least array<double>"
+    routes = _written(near.mapInArrow(route, listing), "asked")
+    found, visits = [], []
+    far = routes.where("far")
+    if not far.isEmpty():
+        found.append(_written(_search_all(far, placed, k, metric, block_rows), "found"))
+    done, last = 0, STEP
     while True:
-        open_ = with_bound(routes.where(F.col("turn") > done), near)
+        open_ = routes.where(F.size("cells") > done).withColumn("cells", F.slice("cells", done + 1, 1 << 30)).withColumn("least", F.slice("least", done + 1, 1 << 30))
+        if visits:
+            # only queries whose list goes on: few of them are left after each round
+            parts = [df.select("qid", *_NAMES).join(open_.select("qid"), "qid", "left_semi") for df in (near, *found)]
+            bounds = _merged(reduce(DataFrame.unionByName, parts), k).select("qid", F.when(F.size("distances") >= k, F.element_at("distances", -1)).otherwise(float("inf")).alias("bound"))
+            open_ = open_.drop("bound").join(bounds, "qid")
+        turns = F.posexplode(F.arrays_zip("cells", "least"))
+        open_ = open_.select("qid", "qx", "bound", turns.alias("turn", "_v")).select("qid", "qx", "bound", "turn", "_v.cells", "_v.least").withColumnRenamed("cells", "cell")
         open_ = open_.where(F.col("least") <= F.col("bound") * (1 + 1e-9) + 1e-12)
-        now = _written(open_.where(F.col("turn") <= last).select("qid", "cell", "bound"), "visits")
+        now = _written(open_.where(F.col("turn") < last - done).drop("turn", "least"), "visits")
         visits.append(now.select("qid", "cell"))
         if not now.isEmpty():
-            before, found = near, _visit(now.join(asked, "qid"), placed, cells, k, metric, block_rows)
-            near = merged(near.unionByName(found))
-            _discard(before)
+            found.append(_written(_visit(now, placed, cells, k, metric, block_rows), "found"))
         elif open_.isEmpty():
-            for table in (placed, cells, asked, routes):
-                _discard(table)
-            return near, reduce(DataFrame.unionByName, visits)
+            break
         done, last = last, last * STEP
+    before, near = near, near.select("qid", *_NAMES)
+    if found:
+        more = _merged(reduce(DataFrame.unionByName, [df.select("qid", *_NAMES) for df in found]), k)
+        more = more.select("qid", *[F.col(c).alias(f"_{c}") for c in _NAMES])
+        near = near.join(more, "qid", "left").select("qid", *_nearest_of([F.struct(*_NAMES), F.struct(*[F.col(f"_{c}").alias(c) for c in _NAMES])], k))
+        near = _written(near, "near")
+        _discard(before)
+    for table in (placed, boxes, routes, *found):
+        _discard(table)
+    return near, reduce(DataFrame.unionByName, visits)
+
+
+class Cells:
+    """A tree of cuts at medians of sampled points, whose leaves are the cells, and the boxes of the rows in them."""
+
+    def __init__(self, points: np.ndarray, most: int):
+        self.axis, self.cut, self.child, self.cell = [], [], [], []
+        open_, leaves = [(points, None)], 0
+        while open_:
+            own, parent = open_.pop()
+            if parent is not None:
+                self.child[parent[0]][parent[1]] = len(self.axis)
+            axis, cut = _median_cut(own) if len(own) > most else (0, None)
+            self.axis.append(axis)
+            self.cut.append(np.nan if cut is None else cut)
+            self.child.append([len(self.child)] * 2)
+            self.cell.append(leaves if cut is None else -1)
+            leaves += cut is None
+            if cut is not None:
+                low = own[:, axis] < cut
+                open_ += [(own[~low], (len(self.axis) - 1, 1)), (own[low], (len(self.axis) - 1, 0))]
+        self.axis, self.cut, self.child, self.cell = (np.array(v) for v in (self.axis, self.cut, self.child, self.cell))
+        self.low = self.high = None
+
+    def of(self, x: np.ndarray) -> np.ndarray:
+        """The cell every row lies in."""
+        node, open_ = np.zeros(len(x), dtype=int), np.arange(len(x))
+        while len(open_ := open_[self.cell[node[open_]] < 0]):
+            at = node[open_]
+            node[open_] = self.child[at, (~(x[open_, self.axis[at]] < self.cut[at])).astype(int)]
+        return self.cell[node].astype("int32")
+
+    def bounded(self, boxes: dict[int, tuple[list, list]]) -> None:
+        """Sets the boxes: low and high sides by cell; a cell without rows is never reached."""
+        width = len(next(iter(boxes.values()))[0])
+        self.low, self.high = np.full((len(self.cell), width), np.inf), np.full((len(self.cell), width), -np.inf)
+        for node in range(len(self.cell) - 1, -1, -1):
+            if self.cell[node] < 0:
+                pair = self.child[node]
+                self.low[node], self.high[node] = self.low[pair].min(axis=0), self.high[pair].max(axis=0)
+            elif self.cell[node] in boxes:
+                low, high = (np.array(side, dtype=float) for side in boxes[self.cell[node]])
+                # NaN is the largest number to Spark
+                self.low[node], self.high[node] = np.where(np.isnan(low), -np.inf, low), np.where(np.isnan(high), np.inf, high)
+
+    def within(self, q: np.ndarray, bound: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, cell, distance to the box of its rows) for the cells within the bound of each query."""
+        parts = []
+        for start in range(0, len(q), CHUNK):
+            at = np.arange(start, min(start + CHUNK, len(q)))
+            node = np.zeros(len(at), dtype=int)
+            while len(at):
+                least = self._least(q[at], node, metric)
+                near = _within(least, bound[at])
+                at, node, least = at[near], node[near], least[near]
+                leaf = self.cell[node] >= 0
+                parts.append((at[leaf], self.cell[node[leaf]], least[leaf]))
+                at, node = np.repeat(at[~leaf], 2), self.child[node[~leaf]].ravel()
+        at, cell, least = (np.concatenate(p) for p in zip(*parts)) if parts else (np.array([], dtype=int), np.array([], dtype=int), np.array([]))
+        return at, cell.astype("int32"), least
+
+    def _least(self, q: np.ndarray, node: np.ndarray, metric: str) -> np.ndarray:
+        out = np.zeros(len(q))
+        for j in range(q.shape[1]):
+            x = q[:, j]
+            gap = np.maximum(np.maximum(self.low[node, j] - x, x - self.high[node, j]), 0.0)
+            if metric == "euclidean":
+                out += gap * gap
+            elif metric == "manhattan":
+                out += gap
+            else:
+                np.maximum(out, gap, out=out)
+        return np.sqrt(out, out=out) if metric == "euclidean" else out
 
 
-def _rules_out_little(asked: DataFrame, cells: DataFrame, routes_of) -> bool:
-    """Whether a few queries list over a quarter of all cells, and all lists would be long. It picks a path, not results."""
-    queries, names = asked.count(), cells.count()
-    if queries * names < LISTED:
-        return False
-    some = asked.select("qid").where(F.pmod(F.xxhash64("qid"), F.lit(max(1, queries // 1000))) == 0)
-    return routes_of(some).count() > some.count() * names / 4
+def _median_cut(points: np.ndarray) -> tuple[int, float | None]:
+    """(input of the widest range, value nearest to its median that parts the points); no value if all are equal."""
+    finite = points[np.isfinite(points).all(axis=1)]
+    if not len(finite):
+        return 0, None
+    axis = int(np.argmax(finite.max(axis=0) - finite.min(axis=0)))
+    x = np.sort(finite[:, axis])
+    starts = np.flatnonzero(np.diff(x)) + 1
+    return axis, float(x[starts[np.argmin(np.abs(starts - len(x) // 2))]]) if len(starts) else None
 
 
 def _search_all(asked: DataFrame, placed: DataFrame, k: int, metric: str, block_rows: int) -> DataFrame:
@@ -576,48 +632,107 @@ def _search_all(asked: DataFrame, placed: DataFrame, k: int, metric: str, block_
     batches = max(1, -(-queries // QUERIES), min(-(-4 * tasks // blocks), -(-queries // CHUNK)))
     numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     asked = asked.withColumn("batch", F.pmod(F.xxhash64("qid"), F.lit(batches)).cast("int")).withColumn("block", numbers(blocks))
-    held = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("batch", numbers(batches))
+    held = placed.withColumn("block", F.pmod(F.xxhash64("id", "x"), F.lit(blocks)).cast("int")).withColumn("batch", numbers(batches))
     asked = asked.select("block", "batch", "qid", "qx", "cell", "bound")
     held = held.select("block", "batch", "id", "x", "label", "cell")
+    return _cogrouped(asked, held, ["block", "batch"], k, metric, apart=True)
 
-    def search(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or r.empty:
-            return _empty(qid=object, id=object, d=float, label=float)
-        return _found(q, r, k, metric, apart=True)
-
-    keys = ["block", "batch"]
-    return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(search, "qid string, id string, d double, label double")
-
-
-def _found(q: pd.DataFrame, r: pd.DataFrame, k: int, metric: str, apart: bool = False) -> pd.DataFrame:
-    """The k nearest rows within the bound of each query; ``apart`` leaves out those of its own cell."""
-    r = r.sort_values("id", kind="stable")
-    places, gaps = top_k(_matrix(q["qx"]), _matrix(r["x"]), k, metric)
-    # farther rows cannot be among the k nearest: most visits of a later round give none
-    kept = [_within(g, b) for g, b in zip(gaps, q["bound"].to_numpy())]
-    if apart:
-        cells = r["cell"].to_numpy()
-        kept = [m & (cells[p] != c) for m, p, c in zip(kept, places, q["cell"].to_numpy())]
-    places, gaps = [p[m] for p, m in zip(places, kept)], [g[m] for g, m in zip(gaps, kept)]
-    flat = np.concatenate(places)
-    return pd.DataFrame(
-        {
-            "qid": np.repeat(q["qid"].to_numpy(), [len(p) for p in places]),
-            "id": r["id"].to_numpy()[flat],
-            "d": np.concatenate(gaps),
-            "label": r["label"].to_numpy(dtype=float)[flat],
-        }
-    )
 
+_NAMES = ["ids", "distances", "labels"]
 
-def _nearest(q: np.ndarray, r: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
-    """The nearest row of ``r`` to each of ``q``, the first of equal ones, and its distance."""
-    best, gaps = [], []
-    for start in range(0, len(q), 2048):
-        d = distances(q[start : start + 2048], r, metric)
-        best.append(d.argmin(axis=1))
-        gaps.append(d[np.arange(len(d)), best[-1]])
-    return np.concatenate(best), np.concatenate(gaps)
+
+def _cogrouped(asked: DataFrame, held: DataFrame, keys: list[str], k: int, metric: str, apart: bool = False, every: bool = False) -> DataFrame:
+    """The k nearest rows of the same group within the bound of each query, as (qid, qx, ids, distances, labels).
+
+    Queries without any are left out, or kept with ``every``; ``apart`` leaves out rows of a query's own cell.
+    """
+    schema = to_arrow_schema(T.StructType.fromDDL(f"qid string, qx array<double>, {_NEAR}"))
+
+    def search(q: pa.Table, r: pa.Table) -> pa.Table:
+        if not len(q) or not (every or len(r)):
+            return schema.empty_table()
+        _, first = np.unique(q["qid"].to_numpy(), return_index=True)
+        q, r = q.take(pa.array(first)), r.sort_by("id")
+        if not len(r):
+            sizes, flat, gaps = np.zeros(len(q), dtype=int), np.array([], dtype=int), np.array([])
+        else:
+            # farther rows cannot be among the k nearest: most visits of a later round give none
+            bound = q["bound"].to_numpy()
+            places, gaps = Boxes(_cells(r["x"]), FINE if len(q) * 8 > len(r) else LEAF // 2).nearest(_cells(q["qx"]), k, metric, bound)
+            kept = (places < len(r)) & _within(gaps, bound[:, None])
+            if apart:
+                kept &= r["cell"].to_numpy()[np.minimum(places, len(r) - 1)] != q["cell"].to_numpy()[:, None]
+            sizes, flat, gaps = kept.sum(axis=1), places[kept], gaps[kept]
+        at = pa.array(flat)
+        lists = [_lists(v, sizes) for v in (r["id"].combine_chunks().take(at), gaps, r["label"].combine_chunks().take(at))]
+        out = pa.table([q["qid"], q["qx"], *lists], names=schema.names).cast(schema)
+        return out if every else out.filter(pa.array(sizes > 0))
+
+    return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(search, f"qid string, qx array<double>, {_NEAR}")
+
+
+def _merged(found: DataFrame, k: int) -> DataFrame:
+    """The k nearest of all found rows of each query, which come from disjoint parts of the reference."""
+    own = [F.first("qx").alias("qx")] if "qx" in found.columns else []
+    lists = found.groupBy("qid").agg(*own, F.collect_list(F.struct(*_NAMES)).alias("_all"))
+    return lists.select("qid", *(["qx"] if own else []), *_nearest_of(F.col("_all"), k))
+
+
+def _nearest_of(lists, k: int) -> list[Column]:
+    """ids, distances and labels of the k nearest among several lists of rows, ties by id; a list may be null."""
+    lists = F.array(*lists) if isinstance(lists, list) else lists
+    rows = F.flatten(F.transform(lists, lambda n: F.when(n["ids"].isNotNull(), F.arrays_zip(n["distances"].alias("d"), n["ids"].alias("id"), n["labels"].alias("label"))).otherwise(F.array())))
+    best = F.slice(F.array_sort(rows), 1, k)
+    return [best["id"].alias("ids"), best["d"].alias("distances"), best["label"].alias("labels")]
+
+
+def _bounds(distances: pa.Array, k: int) -> np.ndarray:
+    """The k-th distance of every list; infinite where there are fewer."""
+    sizes = np.diff(distances.offsets.to_numpy())
+    out, full = np.full(len(distances), np.inf), sizes >= k
+    out[full] = distances.values.to_numpy(zero_copy_only=False)[distances.offsets.to_numpy()[1:][full] - 1]
+    return out
+
+
+def _lists(values, sizes: np.ndarray) -> pa.ListArray:
+    """A list column: the values in order, so many to each row."""
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype("int32")
+    return pa.ListArray.from_arrays(pa.array(offsets), values if isinstance(values, pa.Array) else pa.array(values))
+
+
+def _cells(x: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of vectors as a matrix."""
+    x = x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x
+    return x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), -1)
+
+
+def _joined(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.Table]:
+    """The batches as tables of at least so many rows, but the last."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def _few_copies(x: np.ndarray, ids: pa.ChunkedArray, k: int) -> np.ndarray:
+    """Places of the rows that stay if the k smallest ids stand for all rows of one vector."""
+    odd = np.random.default_rng(0).integers(1 << 62, size=x.shape[1]) * 2 + 1
+    key = (np.ascontiguousarray(x).view(np.int64) * odd).sum(axis=1)
+    _, group, sizes = np.unique(key, return_inverse=True, return_counts=True)
+    crowd = np.flatnonzero(sizes[group] > k)
+    if not len(crowd):
+        return np.arange(len(x))
+    _, vector = np.unique(x[crowd], axis=0, return_inverse=True)  # keys of two vectors may agree
+    order = np.asarray(pc.sort_indices(ids.take(pa.array(crowd))))
+    order = order[np.argsort(vector.ravel()[order], kind="stable")]
+    stays = np.ones(len(x), dtype=bool)
+    stays[crowd[order[_rank(vector.ravel()[order]) >= k]]] = False
+    return np.flatnonzero(stays)
 
 
 def _within(least: np.ndarray, bound: np.ndarray) -> np.ndarray:
@@ -625,25 +740,6 @@ def _within(least: np.ndarray, bound: np.ndarray) -> np.ndarray:
     return least <= bound * (1 + 1e-9) + 1e-12
 
 
-def _without_copies(reference: DataFrame, k: int) -> DataFrame:
-    """The k smallest ids stand for all rows of one vector; a crowded vector is thinned in 64 parts first."""
-    rows = reference.select(col("id").cast("string").alias("id"), "x", col("label").cast("double").alias("label"))
-    for keys in (["x", F.pmod(F.xxhash64("id"), F.lit(64))], ["x"]):
-        rows = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy("id"))).where(F.col("_rn") <= k).drop("_rn")
-    return rows
-
-
-def _per_region(cells: DataFrame, rows: DataFrame, work, schema: str, block_rows: int) -> DataFrame:
-    """``work`` on the cells of each region and a batch of about ``block_rows`` of the rows that lie in it."""
-    load = rows.groupBy("region").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("batches"))
-    keyed = rows.join(load, "region").withColumn("batch", F.pmod(F.xxhash64(rows.columns[0], rows.columns[1]), F.col("batches")).cast("int"))
-    held = cells.join(load, "region").withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1)))
-    keys = ["region", "batch"]
-    # columns under new names: both sides may come from one table
-    held, keyed = (df.select(*(F.col(c).alias(c) for c in df.columns if c != "batches")) for df in (held, keyed))
-    return held.groupBy(*keys).cogroup(keyed.groupBy(*keys)).applyInPandas(work, schema)
-
-
 def _written(df: DataFrame, label: str) -> DataFrame:
     """The rows as a table in the shared folder: computed once, safe when executors go."""
     path = scratch_path(df.sparkSession, label)
@@ -660,37 +756,28 @@ def _discard(df: DataFrame) -> None:
 
 
 def _visit(
-    visits: DataFrame, placed: DataFrame, cells: DataFrame, k: int, metric: str, block_rows: int
+    visits: DataFrame, placed: DataFrame, cells: DataFrame, k: int, metric: str, block_rows: int, every: bool = False
 ) -> DataFrame:
-    """Top k within the bound of every visit (qid, qx, cell, bound): (qid, id, d, label).
+    """Top k within the bound of every visit (qid, qx, cell, bound): (qid, qx, ids, distances, labels).
 
-    A cell's rows are spread over its blocks and the visits of a cell over batches, both
+    A large cell's rows are spread over its blocks and the visits of a cell over batches, both
     by hash; one group is one block against one batch.
     """
-    load = visits.groupBy("cell").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("batches"))
-    plan = cells.select("cell", F.ceil(F.col("n") / block_rows).cast("int").alias("blocks")).join(load, "cell")
+    load = visits.groupBy("cell").agg(F.ceil(F.count("*") / (2 * block_rows)).cast("int").alias("batches"))
+    plan = cells.select("cell", F.ceil(F.col("n") / (2 * block_rows)).cast("int").alias("blocks")).join(load, "cell")
     asked = (
-        visits.join(plan, "cell")
+        visits.join(F.broadcast(plan), "cell")
         .withColumn("batch", F.pmod(F.xxhash64("qid"), F.col("batches")).cast("int"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("cell", "block", "batch", "qid", "qx", "bound")
     )
     held = (
-        placed.join(plan, "cell")
-        .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+        placed.join(F.broadcast(plan), "cell")
+        .withColumn("block", F.pmod(F.xxhash64("id", "x"), F.col("blocks")).cast("int"))
         .withColumn("batch", F.explode(F.sequence(F.lit(0), F.col("batches") - 1)))
         .select("cell", "block", "batch", "id", "x", "label")
     )
-
-    def search(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or r.empty:
-            return _empty(qid=object, id=object, d=float, label=float)
-        return _found(q, r, k, metric)
-
-    keys = ["cell", "block", "batch"]
-    return asked.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(
-        search, "qid string, id string, d double, label double"
-    )
+    return _cogrouped(asked, held, ["cell", "block", "batch"], k, metric, every=every)
 
 
 # ------------------------------------------------------------------------- voting

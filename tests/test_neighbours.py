@@ -183,3 +183,28 @@ def test_cells_that_rule_out_little_are_not_listed(spark, monkeypatch, metric):
     assert "routes" not in [label for label, _ in made]
     left = [label for label, df in made if any(Path(urlparse(f).path).exists() for f in df.inputFiles())]
     assert left == ["near"]
+
+
+def test_a_query_visits_the_few_cells_whose_box_is_near(spark):
+    """Inputs of few values beside one of many: the boxes of the rows leave two of 30 cells on average."""
+    r, q = _few_values(6000, 21), _few_values(200, 22)
+    asked, held = _frames(spark, ([f"q{i}" for i in range(200)], q), ([f"r{i:04d}" for i in range(6000)], r))
+    asked = asked.select(F.col("_id").alias("qid"), F.col("_x").alias("qx"))
+    near, visits = knn.search_cells(asked, held, 6000, 5, "euclidean", block_rows=200)
+    got = {n["qid"]: [m["id"] for m in n["n"]] for n in near.groupBy("qid").agg(F.array_sort(F.collect_list(F.struct("d", "id"))).alias("n")).collect()}
+    places, _ = knn._measured_top_k(q, r, 5, "euclidean")
+    assert [got[f"q{i}"] for i in range(200)] == [[f"r{j:04d}" for j in p] for p in places]
+    assert visits.count() < 200 * 3
+
+
+def test_keys_may_repeat_or_be_null_in_cells(spark):
+    """The search in cells and the one over a broadcast agree where rows share a key, have none, or come twice."""
+    q, r = _points(60, 3, 31), _points(300, 3, 32)
+    q[0][1], q[0][3], r[0][5] = q[0][0], None, r[0][4]
+    q[0][8], q[1][8], r[0][9], r[1][9] = q[0][7], q[1][7], r[0][8], r[1][8]
+    asked, held = _frames(spark, q, r)
+    rows = []
+    for size in ({}, {"broadcast_bytes": 0, "block_rows": 25}):
+        found = with_neighbours(asked, held, 5, **size).select("_id", "_x", "neighbours.ids", "neighbours.distances").collect()
+        rows.append(sorted((str(f["_id"]), f["_x"], f["ids"], f["distances"]) for f in found))
+    assert len(rows[0]) == 60 and rows[0] == rows[1]
