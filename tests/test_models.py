@@ -210,3 +210,10 @@ def test_support_vector_classifier_holds_inputs_alone(spark, monkeypatch):
     monkeypatch.setattr(type(rows), "persist", lambda df, *level: held.append(df.columns) or original(df, *level))
     SupportVectorClassifier(components=16, maxIter=3).fit(rows)
     assert held == [["features", "label"]]
+
+
+def test_boosting_query_runs_all_rounds_of_the_registry(monkeypatch):
+    from tablewright.plans import fits
+
+    monkeypatch.setattr(fits, "_reg_scores", lambda spark, sf, name, *inputs, **changes: models.regressors(**changes)[name].defaults)
+    assert fits.gradient_boosting(None, None) == models.regressors()[models.BOOSTING].defaults == {"learning_rate": 0.1, "n_estimators": 200}
