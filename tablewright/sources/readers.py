@@ -14,6 +14,8 @@ from ..session import local_table
 from .contracts import DatasetSpec, shape_report
 
 CORRUPT = "_corrupt_row"
+#: Bytes of a file that a task may hold as one cell.
+WHOLE_BYTES = 256 << 20
 
 
 class DatasetMissing(FileNotFoundError):
@@ -89,14 +91,17 @@ def row_digest(df: DataFrame) -> DataFrame:
 def provenance(spark: SparkSession, spec: DatasetSpec, root: str, df: DataFrame) -> DataFrame:
     """One row: file hash, bytes, shape, row digest, source and date.
 
-    Every file is hashed in a task of its own. A source of one file has that file's hash; one
-    of several has the hash of the sorted list of their names, lengths and hashes.
+    Every file is hashed in a task of its own, or as a stream if it is too long for a cell. A source of one file has
+    that file's hash; one of several has the hash of the sorted list of their names, lengths and hashes.
     """
     path = source_path(spec, root)
     files = spark.read.format("binaryFile").load(path)
-    each = files.select(
-        F.substring_index("path", "/", -1).alias("name"), "length", F.sha2("content", 256).alias("h")
-    )
+    most = min(WHOLE_BYTES, int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str(WHOLE_BYTES))))
+    name, long = F.substring_index("path", "/", -1).alias("name"), F.col("length") > most
+    each = files.where(~long).select(name, "length", F.sha2("content", 256).alias("h"))
+    # names and lengths alone: contents are read by the stream
+    streamed = [(r["name"], r["length"], _streamed_hash(spark, r["path"])) for r in files.where(long).select("path", name, "length").collect()]
+    each = each.unionByName(local_table(spark, streamed, "name string, length bigint, h string"))
     listed = F.array_sort(F.collect_list(F.concat_ws(" ", "name", "length", "h")))
     size = each.agg(
         F.sum("length").alias("b"), F.count("*").alias("n"), F.max("h").alias("h"),
@@ -116,6 +121,19 @@ def provenance(spark: SparkSession, spec: DatasetSpec, root: str, df: DataFrame)
     )
 
 
+def _streamed_hash(spark: SparkSession, path: str) -> str:
+    """The SHA-256 of a file of any length on any file system Spark reads, a megabyte in memory at a time.
+
+    The hash needs every byte in order, so more tasks would not help, and Spark hands a task a file as one cell below 2 GB.
+    """
+    jvm = spark._jvm
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    digest = jvm.java.security.MessageDigest.getInstance("SHA-256")
+    source = jvm.java.security.DigestInputStream(file.getFileSystem(spark._jsc.hadoopConfiguration()).open(file), digest)
+    jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, jvm.java.io.OutputStream.nullOutputStream(), 1 << 20, True)
+    return bytes(digest.digest()).hex()
+
+
 def upsert(existing: DataFrame | None, new: DataFrame, key: str = "track") -> DataFrame:
     """``existing`` with the rows of ``new`` replacing those of the same key."""
     if existing is None:

@@ -95,3 +95,22 @@ def test_leakage_is_reported(spark):
 
 def test_contract_features():
     assert NET_PRICE.features == ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linestatus"]
+
+
+def test_files_too_long_for_a_cell_are_hashed_as_a_stream(spark, tmp_path):
+    """The same hash whichever way a file is read, of one file and of a folder with files of both kinds."""
+    spec = contracts.DatasetSpec("t", "copy", "rows.csv", "a", ("a",), (), (3, 1))
+    folder = tmp_path / "many"
+    (folder / "rows.csv").mkdir(parents=True)
+    for name, text in (("a.csv", "a\n" + "1\n" * 2000), ("b.csv", "a\n2\n"), ("c d.csv", "a\n" + "3\n" * 900)):
+        (folder / "rows.csv" / name).write_text(text)
+    (tmp_path / "rows.csv").write_text("a\n" + "1\n" * 3000)
+    df, key = spark.range(3), "spark.sql.sources.binaryFile.maxLength"
+    read = lambda root: readers.provenance(spark, spec, str(root), df).select("sha256", "size_bytes").first()
+    whole = [read(root) for root in (tmp_path, folder)]
+    assert whole[0]["sha256"] == hashlib.sha256((tmp_path / "rows.csv").read_bytes()).hexdigest()
+    spark.conf.set(key, "1000")
+    try:
+        assert [read(root) for root in (tmp_path, folder)] == whole
+    finally:
+        spark.conf.unset(key)
