@@ -18,16 +18,15 @@ from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasFeaturesCol, HasInputCol, HasLabelCol, HasOutputCol, HasPredictionCol
-from pyspark.ml.regression import LinearRegression
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import SEED, col
-from .linear import WEIGHT
 
 KERNEL = "kernel_features"
 
@@ -117,7 +116,7 @@ class SupportVectorRegressor(Estimator, _MachineParams, DefaultParamsReadable, D
     The loss is half the absolute errors against y - epsilon and y + epsilon (less a
     constant), so it is fitted by iteratively reweighted ridge regression, and the objective
     never rises. Every round is one scan of the unmapped inputs, which maps them a batch at a time
-    and returns weighted sums of products; mapped rows are never kept. The last fit is MLlib's.
+    and returns weighted sums of products, which give the next line; mapped rows are never kept.
     """
 
     epsilon = Param(Params._dummy(), "epsilon", "tube half width", TypeConverters.toFloat)
@@ -132,7 +131,7 @@ class SupportVectorRegressor(Estimator, _MachineParams, DefaultParamsReadable, D
 
     def _fit(self, df: DataFrame) -> PipelineModel:
         with _kept(df.select(self.getFeaturesCol(), col(self.getLabelCol()).cast("double").alias("_y")), df) as rows:
-            stages, mapped, source = self._mapped(rows)
+            stages, _, _ = self._mapped(rows)
             facts = rows.agg(
                 F.stddev_pop("_y").alias("s"), F.avg("_y").alias("m"), F.count("*").alias("n"), F.count(F.when(~F.isnan("_y"), 1)).alias("yn")
             ).first()
@@ -140,32 +139,28 @@ class SupportVectorRegressor(Estimator, _MachineParams, DefaultParamsReadable, D
                 raise ValueError(f"rows without {self.getLabelCol()}")
             floor = 1e-4 * (facts["s"] or 1.0)
             drawn = stages[0].drawn() if stages else None
-            line, before, objective = (None, facts["m"]), None, None
+            line, objective = (None, facts["m"]), None
             for _ in range(self.getOrDefault("maxIter")):
                 norm = 0.0 if line[0] is None else float(line[0] @ line[0])
-                loss, following, penalty = self._round(rows, drawn, line, floor)
+                loss, following = self._round(rows, drawn, line, floor)
                 value = norm / 2 + self.getOrDefault("C") * loss
                 if objective is not None and objective - value < self.getOrDefault("tol") * abs(objective):
                     break
-                objective, before, line = value, (line, penalty), following
-            (line, penalty) = before
-            y, low, high = F.col("_y"), *self._weights(F.col("_y") - _fitted(self.getFeaturesCol(), drawn, line), floor, F.abs, F.greatest)
-            eps = self.getOrDefault("epsilon")
-            step = mapped.select(source, (low + high).alias(WEIGHT), ((high * (y - eps) + low * (y + eps)) / (low + high)).alias("_t"))
-            model = LinearRegression(
-                featuresCol=source, labelCol="_t", weightCol=WEIGHT, predictionCol="_f",
-                regParam=penalty, elasticNetParam=0.0, standardization=False, solver="normal",
-            ).fit(step)
-        return PipelineModel([*stages, model.setPredictionCol(self.getPredictionCol())])
-
-    def _weights(self, err, floor: float, magnitude, greatest):
-        """Weights of the two absolute errors, below and above the tube; of columns or of arrays."""
+                objective, line = value, following
+        coefficients, intercept = line
+        fit = LineModel(
+            weights=[float(c) for c in coefficients], constant=intercept,
+            featuresCol=self.getFeaturesCol(), predictionCol=self.getPredictionCol(),
+        )
+        return PipelineModel([*stages, fit.under(stages[0]) if stages else fit])
+
+    def _weights(self, err: np.ndarray, floor: float) -> tuple[np.ndarray, np.ndarray]:
+        """Weights of the two absolute errors, below and above the tube."""
         eps, c = self.getOrDefault("epsilon"), self.getOrDefault("C")
-        least = F.lit(floor) if greatest is F.greatest else floor
-        return c / (2 * greatest(magnitude(err + eps), least)), c / (2 * greatest(magnitude(err - eps), least))
+        return c / (2 * np.maximum(np.abs(err + eps), floor)), c / (2 * np.maximum(np.abs(err - eps), floor))
 
-    def _round(self, rows: DataFrame, drawn, line, floor: float) -> tuple[float, tuple[np.ndarray, float], float]:
-        """(loss of a line, the line of the next round, MLlib's penalty for it), from one scan."""
+    def _round(self, rows: DataFrame, drawn, line, floor: float) -> tuple[float, tuple[np.ndarray, float]]:
+        """(loss of a line, the line of the next round), from one scan."""
         eps, weights = self.getOrDefault("epsilon"), self._weights
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +171,7 @@ class SupportVectorRegressor(Estimator, _MachineParams, DefaultParamsReadable, D
                 z = _mapped_cells(batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1), drawn)
                 y = batch.column(1).to_numpy()
                 err = y - line[1] - (0.0 if line[0] is None else z @ line[0])
-                low, high = weights(err, floor, np.abs, np.maximum)
+                low, high = weights(err, floor)
                 t = (high * (y - eps) + low * (y + eps)) / (low + high)
                 x = np.column_stack([z, np.ones(len(z)), t])
                 sums = sums + (x * (low + high)[:, None]).T @ x
@@ -197,7 +192,7 @@ class SupportVectorRegressor(Estimator, _MachineParams, DefaultParamsReadable, D
         spread = full / total - np.outer(mean, mean)
         coefficients = np.linalg.solve(spread[:d, :d] + np.eye(d) / total, spread[:d, -1])
         intercept = float(mean[-1] - mean[:d] @ coefficients)
-        return float(cells[-1]), (coefficients, intercept), math.sqrt(max(spread[-1, -1], 0.0)) / total
+        return float(cells[-1]), (coefficients, intercept)
 
 
 def _mapped_cells(x: np.ndarray, drawn) -> np.ndarray:
@@ -208,17 +203,47 @@ def _mapped_cells(x: np.ndarray, drawn) -> np.ndarray:
     return scale * np.cos(x @ w + b)
 
 
-def _fitted(features: str, drawn, line):
-    """The line's value on every row, as a column."""
-    coefficients, intercept = line
-    if coefficients is None:
-        return F.lit(intercept)
+class LineModel(Model, HasFeaturesCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
+    """A fitted line: the prediction is the product of its coefficients with the features, plus its intercept.
+
+    ``under`` a map of the features it takes the unmapped ones and maps a batch at a time, so that a prediction is one
+    number from Python and no mapped row.
+    """
+
+    weights = Param(Params._dummy(), "weights", "coefficients", TypeConverters.toListFloat)
+    constant = Param(Params._dummy(), "constant", "intercept", TypeConverters.toFloat)
+    gamma = Param(Params._dummy(), "gamma", "kernel width of the map; 0 without one", TypeConverters.toFloat)
+    width = Param(Params._dummy(), "width", "inputs of the map", TypeConverters.toInt)
+    seed = Param(Params._dummy(), "seed", "seed of the map", TypeConverters.toInt)
+
+    @keyword_only
+    def __init__(self, *, weights=None, constant=0.0, featuresCol="features", predictionCol="prediction"):
+        super().__init__()
+        self._setDefault(weights=[], constant=0.0, gamma=0.0, width=1, seed=SEED)
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+
+    def under(self, mapping: FourierFeaturesModel) -> "LineModel":
+        return self._set(**{p: mapping.getOrDefault(p) for p in ("gamma", "width", "seed")})
+
+    @property
+    def coefficients(self) -> DenseVector:
+        return DenseVector(self.getOrDefault("weights"))
+
+    @property
+    def intercept(self) -> float:
+        return self.getOrDefault("constant")
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        coefficients, intercept, drawn = np.array(self.getOrDefault("weights")), self.intercept, None
+        if self.getOrDefault("gamma"):
+            own = {p: self.getOrDefault(p) for p in ("gamma", "width", "seed")}
+            drawn = FourierFeaturesModel(components=len(coefficients), **own).drawn()
 
-    @F.pandas_udf("double")
-    def value(x: pd.Series) -> pd.Series:
-        return pd.Series(_mapped_cells(np.stack(x.to_numpy()), drawn) @ coefficients + intercept if len(x) else [], dtype="float64")
+        @F.pandas_udf("double")
+        def value(x: pd.Series) -> pd.Series:
+            return pd.Series(_mapped_cells(np.stack(x.to_numpy()), drawn) @ coefficients + intercept if len(x) else [], dtype="float64")
 
-    return value(vector_to_array(features))
+        return df.withColumn(self.getPredictionCol(), value(vector_to_array(self.getFeaturesCol())))
 
 
 @contextmanager

@@ -217,3 +217,20 @@ def test_boosting_query_runs_all_rounds_of_the_registry(monkeypatch):
 
     monkeypatch.setattr(fits, "_reg_scores", lambda spark, sf, name, *inputs, **changes: models.regressors(**changes)[name].defaults)
     assert fits.gradient_boosting(None, None) == models.regressors()[models.BOOSTING].defaults == {"learning_rate": 0.1, "n_estimators": 200}
+
+
+@pytest.mark.parametrize("kernel", ["rbf", "linear"])
+def test_support_vector_regression_scans_once_per_round(spark, monkeypatch, kernel):
+    """The last round's sums of products are the fit: MLlib, which maps and reads all rows twice more, is not asked."""
+    from pyspark.ml.regression import LinearRegression
+
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(400, 2))
+    rows = local_table(spark, [(float(a), float(b), float(a + 2 * b + 1)) for a, b in x], "a double, b double, y double")
+    rows = features.TabularFeatures(numeric=["a", "b"], scale=False).fit(rows).transform(rows)
+    monkeypatch.setattr(LinearRegression, "_fit", lambda self, df: pytest.fail("a further fit"))
+    fit = SupportVectorRegressor(kernel=kernel, labelCol="y", C=10.0, components=64).fit(rows)
+    error = fit.transform(rows).agg(F.avg(F.abs(F.col("y") - F.col("prediction")))).first()[0]
+    assert error < 0.2
+    if kernel == "linear":
+        assert list(fit.stages[-1].coefficients) == pytest.approx([1, 2], abs=0.05)
