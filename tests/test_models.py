@@ -234,3 +234,21 @@ def test_support_vector_regression_scans_once_per_round(spark, monkeypatch, kern
     assert error < 0.2
     if kernel == "linear":
         assert list(fit.stages[-1].coefficients) == pytest.approx([1, 2], abs=0.05)
+
+
+def test_neighbour_grid_searches_once_per_fold(spark, sf, monkeypatch):
+    """Held and training rows are searched together, and what was found is read, not searched again, by every point."""
+    from tablewright.operators import knn
+
+    spec = models.regressors()[models.KNN]
+    points = selection.grid_points(spec)[:4]
+    rows = split.k_folds(reg_rows(spark, sf).where("l_quantity < 8"), ["row_id"], 2).persist()
+    searches, original = [], knn.with_neighbours
+    monkeypatch.setattr(knn, "with_neighbours", lambda queries, *a: searches.append(1) or original(queries, *a))
+    trace, _ = selection.grid_search(spec, rows, REG_K, selection.R2, folds=2, points=points)
+    assert len(searches) == 2
+    got = {(r["point"], r["fold"], r["part"]): r["score"] for r in trace.collect()}
+    assert len(got) == 16 and all(got[1, k, "train"] == 1.0 for k in range(2))
+    direct = selection.fold_scores({"m": spec.with_params(**points[3])}, rows, REG_K, selection.R2, 2)
+    assert {r["fold"]: r["score"] for r in direct.collect()} == pytest.approx({k: got[3, k, "test"] for k in range(2)})
+    rows.unpersist()
